@@ -38,10 +38,11 @@ PLACE = ("location", "place", "loc", "gpe", "geo")
 
 #: Titles by script, and the ends of organisation names. Fixed values.
 TITLES = frozenset("dr mr mrs ms miss prof capt sir hr fr frau herr st".split())
-HAN_TITLES = ("先生", "女士", "小姐", "医生", "醫生", "老师", "さん", "様", "氏", "君")
+HAN_TITLES = ("先生", "女士", "小姐", "夫人", "医生", "醫生", "老师", "站长", "经理", "主任", "教授", "博士", "队长", "校长", "船长", "さん", "様", "氏", "君")
 THAI_TITLES = ("นางสาว", "นาย", "นาง", "คุณ", "ดร.")
 DEVA_TITLES = ("श्रीमती", "श्री", "डॉ.", "डॉ")
 ORG_ENDS = ("公司", "协会", "協會", "商行", "研究所", "图书馆", "圖書館", "学校", "医院", "银行")
+STOP_WORDS = frozenset(("the", "ltd", "of", "and", "limited", "inc", "gmbh"))
 ORG_WORDS = {"lab": "laboratory", "tr": "trust", "assoc": "association", "inst": "institute", "corp": "corporation", "bros": "brothers", "co": "company", "dept": "department", "dep": "department", "univ": "university"}
 NICKNAMES = {
     "peggy": "margaret", "maggie": "margaret", "josie": "josephine", "nell": "eleanor", "kate": "katherine", "ulli": "ulrike", "dora": "dorothea", "paddy": "patrick",
@@ -115,6 +116,10 @@ class Lexicon:
     def base(self, text: str) -> str:
         return "".join(self.chars.get(c, c) for c in text)
 
+    def org_end(self, text: str) -> str:
+        """The ending by which ``text`` (in base characters) is an organisation, or an empty string."""
+        return next((e for e in map(self.base, ORG_ENDS) if text.endswith(e)), "")
+
 
 def han_core(text: str) -> tuple[str, bool]:
     """Without spaces, titles and seat; (core, whether a title was cut off)."""
@@ -151,11 +156,10 @@ def forms(name: str | None, kind: str | None, lex: Lexicon) -> tuple[list[str],
     if s == "han":
         t, titled = han_core(name)
         t = lex.base(t)
-        org = kind == "org" or kind is None and t.endswith(ORG_ENDS)
-        if org:
-            if t.endswith(ORG_ENDS):
+        end = lex.org_end(t)
+        if kind == "org" or kind is None and end:
+            if end:
                 full.append("H:" + t)
-                end = next(e for e in ORG_ENDS if t.endswith(e))
                 head = t[: -len(end)]
                 covers.append("h:" + head)
                 if len(head) >= 3:
@@ -195,7 +199,7 @@ def forms(name: str | None, kind: str | None, lex: Lexicon) -> tuple[list[str],
             words = [lex.words.get(t, t) for t in tokens]
             if "of" in words[1:2]:
                 words = words[2:] + words[:1]
-            words = [w for w in words if w not in ("the", "ltd", "of", "limited", "inc", "gmbh")]
+            words = [w for w in words if w not in STOP_WORDS]
             if len(words) >= 2:
                 full.append("L:" + " ".join(sorted(words)))
                 covers.append("a:" + "".join(w[0] for w in words))
@@ -332,7 +336,7 @@ def build_lexicon(rows: list[tuple[str, str, str, int]]) -> Lexicon:
     for kind, a, b, n in rows:
         if kind == "w":
             short, long_ = (a, b) if (freq[a], -len(a)) < (freq[b], -len(b)) else (b, a)
-            if n >= 3 and short not in lex.words and long_ not in lex.words and short not in lex.words.values() and distance(short, long_) > 2 and short[0] == long_[0]:
+            if n >= 3 and min(len(a), len(b)) > 2 and not {a, b} & STOP_WORDS and short not in lex.words and long_ not in lex.words and short not in lex.words.values() and distance(short, long_) > 2:
                 lex.words[short] = long_
     return lex
 
