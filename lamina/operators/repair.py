@@ -24,11 +24,12 @@ _TARGET = {(k.obj_type, k.field): k.target for k in rf.FOREIGN_KEYS}
 def repair(objects: dict[str, DataFrame], segments: DataFrame, violations: DataFrame) -> dict[str, DataFrame]:
     """One pass: objects with errors of their own go; ids that then point nowhere leave the arrays; objects whose required key points nowhere go too.
 
-    Reference errors alone do not delete an object whose array can be cleaned.
+    Reference errors alone do not delete an object whose array can be cleaned. Writes the errors, the
+    kept objects and their ids, each of which is read several times.
     """
-    own = violations.where("severity = 'ERROR' and gate <> 'reference'")
-    kept = {name: va.accepted(df, name, own) for name, df in objects.items()}
-    index = rf.ids({**kept, "Segment": segments})
+    own = cut(violations.where("severity = 'ERROR' and gate <> 'reference'").select("severity", "obj_type", "obj_id").distinct(), "errors")
+    kept = {name: cut(va.accepted(df, name, own), f"kept-{name}") for name, df in objects.items()}
+    index = cut(rf.ids({**kept, "Segment": segments}), "ids")
     out = {}
     for name, df in kept.items():
         for c in _ARRAYS.get(name, ()):
@@ -51,7 +52,7 @@ def repair_loop(objects: dict[str, DataFrame], segments: DataFrame, attempts: in
     used = 0
     written: dict[str, DataFrame] = {}
     for _ in range(attempts):
-        violations = va.validate(objects, segments)
+        violations = cut(va.validate(objects, segments), "violations")
         if violations.where("severity = 'ERROR'").limit(1).count() == 0:
             break
         fresh = {name: cut(df, f"repair-{name}") for name, df in repair(objects, segments, violations).items()}

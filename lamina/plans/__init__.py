@@ -1,6 +1,6 @@
 """Named queries and the SQL each is checked against."""
 
-from . import records
+from . import knowledge, records
 
 #: The registries of the core, in the order in which their queries are listed.
-ALL = [records.query]
+ALL = [records.query, knowledge.query]
