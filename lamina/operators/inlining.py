@@ -165,7 +165,7 @@ def _edges(root: object, elements: dict[str, tuple[str, ...]], out: dict) -> Non
             continue
         if not isinstance(value, dict):
             continue
-        kind = label if label == ROOT and tally is None else element_type(value, label, elements)
+        kind = element_type(value, label, elements)
         if tally is not None:
             e = out[(parent, kind)]
             e[0] += 1
@@ -248,7 +248,7 @@ def shred_one(value: object, obj_id: str | None, scheme: Plan, elements: dict[st
             continue
         if not isinstance(v, dict):
             continue
-        kind = ROOT if path == ROOT else element_type(v, label, elements)
+        kind = element_type(v, label, elements)
         own = v.get("id") if isinstance(v.get("id"), str) else None
         if home is None or scheme.is_table(kind):
             row = (kind, path, home[0] if home else None, home[1] if home else None, near, own, ordinal, {})
