@@ -244,7 +244,8 @@ def graded(documents: DataFrame, labels: DataFrame, iterations: int = 4, step: f
         return pd.Series(out)
 
     lev = F.nanvl(level("value", "lang"), F.lit(None).cast("double"))
-    return valued.withColumn("level", lev).select("doc_id", "lang", "chars", "value", "level", F.least(F.greatest(F.floor(F.col("level") + 0.5), F.lit(1)), F.lit(5)).cast("int").alias("grade"))
+    grade = F.when(F.col("level").isNotNull(), F.least(F.greatest(F.floor(F.col("level") + 0.5), F.lit(1)), F.lit(5)).cast("int"))
+    return valued.withColumn("level", lev).select("doc_id", "lang", "chars", "value", "level", grade.alias("grade"))
 
 
 def profile(grades: DataFrame) -> DataFrame:
