@@ -1,0 +1,73 @@
+"""The model as a pluggable source of answers. Offline it is a replay of kept answers or a rule."""
+
+from __future__ import annotations
+
+import os
+import time
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: What a client is: prompt -> text.
+Client = Callable[[str], str]
+
+
+@dataclass(frozen=True)
+class Endpoint:
+    """Where and how to ask; environment variables override the defaults, arguments override both."""
+
+    url: str = ""
+    model: str = ""
+    api_key: str = ""
+    options: dict = field(default_factory=dict)
+
+    @classmethod
+    def resolve(cls, **given: object) -> Endpoint:
+        env = {"url": os.environ.get("LAMINA_URL"), "model": os.environ.get("LAMINA_MODEL"), "api_key": os.environ.get("LAMINA_API_KEY")}
+        return cls(**{k: v for k, v in (env | given).items() if v is not None})
+
+    def masked(self) -> dict:
+        key = self.api_key
+        return {"url": self.url, "model": self.model, "api_key": key[:3] + "…" + key[-2:] if len(key) > 8 else "…" if key else "", "options": self.options}
+
+
+def ask(prompts: DataFrame, client: Client, tries: int = 3, pause: float = 2.0) -> DataFrame:
+    """doc_id, batch_index, raw_text, error, seconds. ``prompts``: doc_id, batch_index, prompt.
+
+    Runs on the executors, one call at a time per task. A call that keeps failing gives a row with
+    an error, so one bad batch does not stop the others.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for doc, b, prompt in zip(pdf["doc_id"], pdf["batch_index"], pdf["prompt"]):
+                began, text, error = time.monotonic(), None, None
+                for k in range(tries):
+                    try:
+                        text, error = client(prompt), None
+                        break
+                    except Exception as e:  # whatever the client raises is that batch's error
+                        error = f"{type(e).__name__}: {e}"
+                        if k + 1 < tries:
+                            time.sleep(pause * 2**k)
+                rows.append((doc, b, text, error, time.monotonic() - began))
+            yield pd.DataFrame(rows, columns=["doc_id", "batch_index", "raw_text", "error", "seconds"])
+
+    return prompts.select("doc_id", "batch_index", "prompt").mapInPandas(run, "doc_id string, batch_index int, raw_text string, error string, seconds double")
+
+
+def batch_prompts(segments: DataFrame, batches: DataFrame, instruction: str) -> DataFrame:
+    """doc_id, batch_index, prompt: the instruction and the lines of one batch."""
+    from ..operators.candidates import is_noise
+
+    line = F.concat(F.lit("["), "id", F.lit("|"), F.coalesce("segment_type", F.lit("")), F.lit("] "), "text_slice")
+    rows = segments.where(~is_noise(F.col("text_slice"))).join(batches, ["doc_id", "id"])
+    body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block_index", "start_offset", line.alias("line")))), lambda x: x["line"]), "\n")
+    return rows.groupBy("doc_id", "batch_index").agg(F.concat(F.lit(instruction + "\n\n"), body).alias("prompt"))
+
+
+INSTRUCTION = 'Answer with a JSON array of objects: {"t":"E","lid","n","k","a","sid","q"} for entities, {"t":"EV","n","k","p","sid","q"} for events, {"t":"C","s","p","o","m","pol","sid","q"} for claims. Quote the text exactly in "q" and name its segments in "sid".'
