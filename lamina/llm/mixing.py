@@ -70,6 +70,11 @@ def plan(stock: DataFrame, targets: DataFrame, total_tokens: int | None = None,
     return rows, total_tokens
 
 
+def corpus_size(stock: DataFrame) -> int:
+    """Tokens of all documents that may be drawn, as a total for :func:`draw`. One job, one row."""
+    return int(stock.agg(F.sum("tokens").alias("n")).collect()[0].n or 0)
+
+
 def _slots(sources: list[dict], count: int, spark: object) -> DataFrame:
     """slot, source, rank."""
     edges, at = [], 0.0

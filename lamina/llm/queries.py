@@ -80,6 +80,14 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(mixing.draw(mixing.supply(table(spark, sf_dir, "documents")), targets), targets)
 
 
+@query("p8_full_shares")
+def p8_full_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares of a mix as large as the corpus, where small sources reach their cap and fall short."""
+    targets = table(spark, sf_dir, "mix_targets")
+    stock = mixing.supply(table(spark, sf_dir, "documents"))
+    return mixing.shares(mixing.draw(stock, targets, mixing.corpus_size(stock)), targets)
+
+
 @query("p9_found")
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = reading.graded(table(spark, sf_dir, "documents"), table(spark, sf_dir, "reading_labels"))
