@@ -138,6 +138,57 @@ def parse(text: str | None) -> tuple[list[dict], bool]:
     return found, bool(found)
 
 
+_COMMENT = re.compile(r"(?m)(?<![:\"'\w/])//[^\n]*$")
+
+
+def balanced_objects(text: str) -> list[dict]:
+    """Every outermost {...} that parses, from a text that was cut or has prose around it."""
+    out: list[dict] = []
+    decoder = json.JSONDecoder()
+    at = text.find("{")
+    while at >= 0:
+        try:
+            x, end = decoder.raw_decode(text, at)
+            out.append(x)
+        except ValueError:
+            end = at + 1
+        at = text.find("{", end)
+    return out
+
+
+def verbose_objects(text: str | None) -> list[tuple[str, dict]]:
+    """(class, data) of a verbose answer: objects with their class in ``type``, their data flat or under ``data``; cut answers give their complete objects."""
+    if not text:
+        return []
+    body = _COMMENT.sub("", without_fence(text))
+    lo, hi = body.find("["), body.rfind("]")
+    try:
+        found = json.loads(body[lo : hi + 1]) if 0 <= lo < hi else [json.loads(body)]
+    except (ValueError, RecursionError):
+        found = balanced_objects(body)
+    out = []
+    for x in found if isinstance(found, list) else []:
+        if isinstance(x, dict) and isinstance(x.get("type"), str):
+            data = x.get("data")
+            out.append((x["type"], data if isinstance(data, dict) else {k: v for k, v in x.items() if k != "type"}))
+    return out
+
+
+def scanned_names(text: str | None) -> list[dict]:
+    """Entities of a pre-scan answer: name, kind, aliases; the first of a name wins."""
+    body = _COMMENT.sub("", without_fence(text or ""))
+    lo, hi = body.find("["), body.rfind("]")
+    try:
+        found = json.loads(body[lo : hi + 1]) if 0 <= lo < hi else []
+    except (ValueError, RecursionError):
+        found = balanced_objects(body)
+    out: dict[str, dict] = {}
+    for x in found if isinstance(found, list) else []:
+        if isinstance(x, dict) and isinstance(x.get("name"), str) and x["name"].strip():
+            out.setdefault(x["name"], {"name": x["name"], "kind": x.get("kind") if isinstance(x.get("kind"), str) else "", "aliases": _strings(x.get("aliases"))})
+    return list(out.values())
+
+
 def _strings(v: object) -> list[str]:
     return [v] if isinstance(v, str) else [x for x in v if isinstance(x, str)] if isinstance(v, list) else []
 

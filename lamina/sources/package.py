@@ -158,6 +158,10 @@ def write_package(sources: dict[str, str], homes: dict[str, str], target: str, c
 # ------------------------------------------------------------------ reading
 
 
+#: Argument names of older packages and what they mean. Fixed values.
+KEYWORDS = {"segment": "segment_id", "claim": "claim_id", "object": "object_ref", "source": "claim_source", "index": "block_index", "time": "event_time", "location": "place"}
+
+
 def read_module(source: str) -> tuple[list[dict], list[str]]:
     """(rows, errors) of a module. Only imports, assignments of constructor calls, keyword arguments, literals, names and signed numbers are allowed; a name must be defined above."""
     rows: list[dict] = []
@@ -204,7 +208,7 @@ def read_module(source: str) -> tuple[list[dict], list[str]]:
                 if call.args or any(k.arg is None for k in call.keywords):
                     raise ValueError(f"line {node.lineno}: keyword arguments only")
                 refs: dict[str, str] = {}
-                data = {k.arg: value(k.value, k.arg, refs) for k in call.keywords}
+                data = {KEYWORDS.get(k.arg, k.arg): value(k.value, k.arg, refs) for k in call.keywords}
                 known[name] = data.get("id", name)
                 rows.append({"type": call.func.id, "symbol": name, "data": data, "refs": refs})
             elif isinstance(node, ast.Expr) and isinstance(node.value, ast.Constant) and isinstance(node.value.value, str) or isinstance(node, ast.Assign) and isinstance(node.targets[0], ast.Name) and node.targets[0].id == "__all__":

@@ -59,6 +59,13 @@ def test_parse(text, n, recovered):
     assert (len(found), rec) == (n, recovered)
 
 
+def test_verbose_answers_and_scans():
+    flat, wrapped = '{"type":"Entity","id":"e","name":"http://x"}', '{"type":"Claim","data":{"id":"c"}}'
+    assert ca.verbose_objects(f"```json\n[{flat}, // note\n{wrapped}]\n```") == [("Entity", {"id": "e", "name": "http://x"}), ("Claim", {"id": "c"})]
+    assert ca.verbose_objects(f'[{flat},{{"type":"Claim","da') == [("Entity", {"id": "e", "name": "http://x"})] and ca.verbose_objects(None) == [] and ca.verbose_objects("none") == []
+    assert ca.scanned_names('x [{"name":"A","kind":"p"},{"name":"A","kind":"q"},{"name":" "},{"name":"B","aliases":["b",1]}]') == [{"name": "A", "kind": "p", "aliases": []}, {"name": "B", "kind": "", "aliases": ["b"]}]
+
+
 def test_coerce():
     c = ca.coerce({"t": "C", "sid": "s1", "q": ["a", 3], "s": "e1", "p": "met", "o": 5, "m": "odd", "pol": "maybe", "lid": 7})
     assert (c["sids"], c["quotes"], c["object"], c["modality"], c["polarity"], c["lid"]) == (["s1"], ["a"], "5", None, "positive", "7")

@@ -79,6 +79,11 @@ def test_grammar(source, error):
     assert re.search(error, " ".join(errors)) or rows
 
 
+def test_older_argument_names():
+    rows, _ = package.read_module("from lamina.ontology import Residual\nr = Residual(id='r', segment='s')")
+    assert rows[0]["data"] == {"id": "r", "segment_id": "s"}
+
+
 def test_references_keep_their_path():
     rows, errors = package.read_module("from .entities import ent_a\nfrom lamina.ontology import Event\ne = Event(id='v', participants=[ent_a, 'x'], n=-1)")
     assert not errors and rows[0]["refs"] == {"participants[0]": "ent_a"} and rows[0]["data"]["n"] == -1
