@@ -246,11 +246,11 @@ def forms(name: str | None, kind: str | None, lex: Lexicon) -> tuple[list[str],
 
 
 def _learn(names: list[str]) -> Iterator[tuple[str, str, str]]:
-    """Evidence from the spellings of one entity: (kind, a, b)."""
-    seen = list(dict.fromkeys(n for n in names if n and n.strip() and n.strip().lower() not in ANYBODY))[:12]
+    """Evidence from the spellings of one entity: (kind, a, b). Each spelling meets the first and the one before it, so the work is linear."""
+    seen = list(dict.fromkeys(n for n in names if n and n.strip() and n.strip().lower() not in ANYBODY))
     shapes = [(n, script(n)) for n in seen]
     for i, (n, s) in enumerate(shapes):
-        for m, u in shapes[i + 1 :]:
+        for m, u in dict.fromkeys(shapes[j] for j in (0, i - 1) if 0 <= j < i):
             if s == u == "han":
                 a, b = han_core(n)[0], han_core(m)[0]
                 if len(a) == len(b) >= 2 and a != b:

@@ -69,6 +69,11 @@ def _char_class(c: str) -> str:
     return "symbol" if cat[0] == "S" else "other"
 
 
+def json_like(text: str) -> bool:
+    """Whether the text holds JSON, bare, fenced or within prose."""
+    return _JSON_HEAD.search(text) is not None and '"' in text
+
+
 def structure(text: str) -> tuple[bool, int, int]:
     """(a string is open, open brackets, brackets closed too often) of JSON-like text from its first bracket on."""
     start = min((i for i in (text.find("["), text.find("{")) if i >= 0), default=0)
@@ -154,7 +159,7 @@ def describe(text: str, limits: list[int] | None, ends: dict[str, float] | None
                 out.append("limit")
     ell = _ELLIPSIS.search(body)
     core = body[: ell.start()] if ell else body
-    is_json = bool(_JSON_HEAD.search(text[:300])) and '"' in text[:300]
+    is_json = json_like(text)
     if is_json:
         inside, depth, over = structure(core)
         fenced = _FENCE.search(body) is not None
@@ -228,7 +233,7 @@ def cut_copies(text: str, limits: list[int] | None, rng: random.Random) -> list[
     places = [rng.randrange(max(8, n // 8), n - 2)]
     if limits and rng.random() < 0.6:
         places += [lim for lim in limits if lim < n - 2][:1]
-    is_json = bool(_JSON_HEAD.search(text[:300])) and '"' in text[:300]
+    is_json = json_like(text)
     for place in places:
         part = text[:place]
         if is_json and structure(part)[1] == 0 and not structure(part)[0]:
@@ -257,7 +262,7 @@ def cut_copies(text: str, limits: list[int] | None, rng: random.Random) -> list[
 def fit(values: list[tuple[str, list[int] | None]], seed: int = 17, epochs: int = 40, l2: float = 1e-4) -> tuple[np.ndarray, dict[str, float]]:
     """Weights of the logistic regression (the last entry is the bias) and the sentence endings they rely on."""
     rng = random.Random(seed)
-    ends = endings([t for t, _ in values if '{"' not in t[:300]])
+    ends = endings([t for t, _ in values if not json_like(t)])
     rows: list[np.ndarray] = []
     ys: list[float] = []
     for text, limits in values:
