@@ -455,7 +455,7 @@ def hesitant(text: str) -> list[str]:
 
 
 def _corpus_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = ["doc", "token", "a", "b", "c", "d"]
+    names = ["whole", "doc", "token", "a", "b", "c", "d"]
     total: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
     pairs: Counter = Counter()
 
@@ -463,33 +463,36 @@ def _corpus_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for (w, x), k in pairs.items():
             if total.get("x:" + x, (0, 0))[0] > total.get("x:" + x, (0, 0))[1]:
                 total["w:" + w][3] += k
-        rows = [(None, t, *v) for t, v in total.items()]
+        rows = [(True, "", t, *v) for t, v in total.items()]
         total.clear()
         pairs.clear()
         return pd.DataFrame(rows, columns=names)
 
     for pdf in batches:
-        rows = []
+        own: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0, 0, 0])
         for doc, text in zip(pdf["doc_id"], pdf["text"]):
             ev, pr = block_evidence(text)
             pairs.update(pr)
-            dotted = {k for k, v in ev.items() if k[0] == "w" and (v[0] or v[1])}
             for k, v in ev.items():
-                t = total[k]
-                for j in range(4):
-                    t[j] += v[j]
-                if doc is not None and (k in dotted or k[0] == "x" and (v[1] or v[3])):
-                    rows.append((doc, k, *v))
-        yield pd.DataFrame(rows, columns=names)
+                for t in (total[k], own[doc, k]) if doc is not None and k[0] in "wx" else (total[k],):
+                    for j in range(4):
+                        t[j] += v[j]
+        yield pd.DataFrame([(False, *k, *v) for k, v in own.items()], columns=names)
         if len(total) > 300_000:
             yield flush()
     yield flush()
 
 
-def evidence(blocks: DataFrame) -> DataFrame:
-    """doc (null: the whole corpus), token and four counts. ``blocks``: doc_id, text."""
-    raw = blocks.where(F.col("text").isNotNull()).select("doc_id", "text").mapInPandas(_corpus_rows, "doc string, token string, a bigint, b bigint, c bigint, d bigint")
-    return raw.groupBy("doc", "token").agg(*[F.sum(x).alias(x) for x in "abcd"])
+def evidence(blocks: DataFrame, need: DataFrame) -> DataFrame:
+    """whole (the corpus; doc is then empty), doc, token and four counts over all blocks of the document or the corpus.
+
+    ``blocks``: doc_id, text. ``need``: doc_id, token. Only documents and tokens in ``need`` are returned, so what
+    no cut of a document depends on ends here; the sums come first and share the keys of the join.
+    """
+    raw = blocks.where(F.col("text").isNotNull()).select("doc_id", "text").mapInPandas(_corpus_rows, "whole boolean, doc string, token string, a bigint, b bigint, c bigint, d bigint")
+    both = F.explode(F.array(F.struct(F.lit(True).alias("whole"), F.lit("").alias("doc")), F.struct(F.lit(False).alias("whole"), F.col("doc_id").alias("doc"))))
+    keys = need.select(both.alias("k"), "token").select("k.whole", "k.doc", "token").where("doc is not null").distinct()
+    return raw.groupBy("whole", "doc", "token").agg(*[F.sum(x).alias(x) for x in "abcd"]).join(keys, ["whole", "doc", "token"], "left_semi")
 
 
 def _names(blocks: DataFrame) -> DataFrame:
@@ -545,10 +548,9 @@ def units(blocks: DataFrame, broadcast_rows: int = 200_000) -> DataFrame:
         return texts.map(needs)
 
     need = blocks.select("id", "doc_id", F.explode(wanted("text")).alias("token"))
-    ev = cut(evidence(blocks), "evidence")
-    corpus = ev.where(F.col("doc").isNull()).select("token", F.struct(*"abcd").alias("corpus")).join(need.select("token").distinct(), "token", "left_semi")
-    corpus = cut(corpus, "corpus")
-    doc = ev.where(F.col("doc").isNotNull()).select(F.col("doc").alias("doc_id"), "token", F.struct(*"abcd").alias("own"))
+    ev = cut(evidence(blocks, need), "evidence")
+    corpus = ev.where("whole").select("token", F.struct(*"abcd").alias("corpus"))
+    doc = ev.where("not whole").select(F.col("doc").alias("doc_id"), "token", F.struct(*"abcd").alias("own"))
     if corpus.count() <= broadcast_rows:
         corpus = F.broadcast(corpus)
     known = need.join(doc, ["doc_id", "token"], "left").join(corpus, "token", "left").groupBy("id").agg(F.collect_list(F.struct("token", "own", "corpus")).alias("known"))

@@ -80,3 +80,17 @@ def test_broadcast_and_join_agree(spark):
     pick = lambda x: sorted((r.block_id, r.unit_start, r.unit_end) for r in x.collect())
     assert pick(s.units(df)) == pick(s.units(df, broadcast_rows=-1))
     assert "A Qx. 3 and a Qx. 4 met." in {r.text for r in s.units(df).collect()}
+
+
+def test_evidence_of_a_document_spans_its_blocks(spark):
+    blocks = [("a1", "a", "The Qx. Nobody knew. A Zed. While it rained, While sat.")]
+    blocks += [("a2", "a", "One qx. The Qx fell while it rained and while all slept.")]
+    blocks += [(f"b{i}", f"b{i}", "Then, While came. See Qx. 3 and Qx. 4.") for i in range(15)]
+    df = spark.createDataFrame([(i, d, "paragraph", t) for i, d, t in blocks], "id string, doc_id string, kind string, text string")
+    need = spark.createDataFrame([("a", "w:Qx"), ("a", "x:While"), ("b0", "w:Qx"), (None, "w:Zed")], "doc_id string, token string")
+    got = {(r.whole, r.doc, r.token): (r.a, r.b, r.c) for r in s.evidence(df, need).collect()}
+    assert got[False, "a", "w:Qx"] == (0, 1, 1) and got[False, "a", "x:While"][:2] == (2, 1) and got[False, "b0", "w:Qx"] == (2, 0, 0)
+    assert got[True, "", "w:Qx"] == (30, 1, 1) and set(got) == {(False, "a", "w:Qx"), (False, "a", "x:While"), (False, "b0", "w:Qx"), (True, "", "w:Qx"), (True, "", "x:While"), (True, "", "w:Zed")}
+    # the corpus takes Qx for an abbreviation, the other block of the document shows that it is a word here
+    found = [r.text for r in s.units(df).where("block_id = 'a1'").orderBy("unit_index").collect()]
+    assert found[0] == "The Qx."
