@@ -397,6 +397,10 @@ def entity_forms(entities: DataFrame, lex: Lexicon) -> DataFrame:
     return spellings.select("id", "work_id", F.explode(run("spelling", "kind")).alias("f")).select("id", "work_id", "f.role", "f.form").distinct()
 
 
+#: Marks of the full forms that are compared by edit distance.
+HEADS = ("L:", "D:", "T:")
+
+
 def radius(form: F.Column) -> F.Column:
     """Edit radius by script and length: long alphabetic forms may differ by two, others by one or not at all."""
     n = F.length(form) - 2
@@ -404,12 +408,17 @@ def radius(form: F.Column) -> F.Column:
     return F.when(head.isin("L:") & (n >= 10), 2).when(head.isin("L:", "D:") & (n >= 7), 1).when(head.isin("T:") & (n >= 8), 1).otherwise(0)
 
 
-def pivots(full: DataFrame, count: int = 16, sample: int = 1500) -> list[str]:
-    """Far-apart forms, chosen from at most ``sample`` distinct ones. One job. Any choice is exact; a good one is fast."""
-    some = [r.form for r in full.select("form").distinct().orderBy(F.xxhash64("form"), "form").limit(sample).collect()]
+def pivots(full: DataFrame, count: int = 16, sample: int = 300) -> list[str]:
+    """Far-apart forms, up to ``count`` per script, chosen from its ``sample`` distinct radius forms of least hash. One job.
+
+    A script with any radius form has at least one pivot; beyond that any choice is exact and a good one is fast.
+    """
+    near_able = full.where(radius(F.col("form")) > 0)
+    pools = [near_able.where(F.col("form").startswith(head)).select("form").distinct().orderBy(F.xxhash64("form"), "form").limit(sample).select("form", F.xxhash64("form").alias("h")) for head in HEADS]
+    some = [r.form for r in sorted(pools[0].unionByName(pools[1]).unionByName(pools[2]).collect(), key=lambda r: (r.h, r.form))]
     out: list[str] = []
-    for head in ("L:", "D:", "T:"):
-        pool = [f for f in some if f.startswith(head)][:300]
+    for head in HEADS:
+        pool = [f for f in some if f.startswith(head)]
         if not pool:
             continue
         chosen = [pool[0]]
@@ -433,7 +442,7 @@ def radius_join(full: DataFrame, count: int = 16) -> DataFrame:
         return full.where("false").select("work_id", F.col("form").alias("form_a"), F.col("form").alias("form_b"))
     reach = 2
     at = full.withColumn("r", radius(F.col("form"))).where("r > 0").withColumn("d", F.transform(F.array(*[F.lit(p) for p in pv]), lambda p: F.when(F.substring(p, 1, 2) == F.substring("form", 1, 2), F.levenshtein(F.col("form"), p))))
-    at = at.withColumn("home", F.array_min("d")).where("home is not null")
+    at = at.withColumn("home", F.array_min("d"))
     spots = at.select("work_id", "form", "r", "home", F.posexplode("d").alias("cell", "dist")).where(F.col("dist") <= F.col("home") + 2 * reach)
     home = spots.where(F.col("dist") == F.col("home")).select("work_id", "cell", F.col("form").alias("x"), F.col("r").alias("rx"), F.col("dist").alias("dx"), F.length("form").alias("lx"))
     copies = spots.select("work_id", "cell", F.col("form").alias("y"), F.col("r").alias("ry"), F.col("dist").alias("dy"), F.length("form").alias("ly"))

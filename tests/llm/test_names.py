@@ -92,3 +92,9 @@ def test_syllables(token, k, want):
 def test_classes_follow_chains(spark):
     held = spark.createDataFrame([(f"i{k:03d}", "w", f"f{k + j}") for k in range(40) for j in (0, 1)], "id string, work_id string, form string")
     assert n.classes(held).agg(F.count_distinct("label")).collect()[0][0] == 1
+
+
+def test_a_rare_script_has_pivots(spark):
+    many = spark.range(20000).select(F.col("id").cast("string").alias("work_id"), F.concat(F.lit("L:"), F.md5(F.col("id").cast("string"))).alias("form"))
+    few = spark.createDataFrame([("w", "T:มะลิแก้วนาวา"), ("w", "T:มะลิแก้วนาวี"), ("w", "D:रोहनतारकेश"), ("w", "D:रोहनतारकेस")], "work_id string, form string")
+    assert {r.form_a[0] for r in n.radius_join(many.unionByName(few)).collect()} == {"T", "D"}
