@@ -334,6 +334,30 @@ def ground_aliases(entities: DataFrame, segments: DataFrame) -> DataFrame:
     return hit.groupBy("id", "alias").agg(F.min(F.struct(own.alias("k"), "block_index", "start_offset", "segment_id")).alias("x")).select("id", "alias", F.col("x.segment_id").alias("segment_id"))
 
 
+def keep_grounded(entities: DataFrame, segments: DataFrame) -> DataFrame:
+    """``entities`` without the aliases that no segment of their document holds, and with the segments that hold the others.
+
+    An alias may also stand in the source segments taken together (joined by a space).
+    """
+    text = segments.select("doc_id", F.col("id").alias("segment_id"), "text_slice")
+    own = entities.select("id", "doc_id", F.posexplode("source_segment_ids").alias("pos", "segment_id")).join(text, ["doc_id", "segment_id"])
+    own = own.groupBy("id").agg(F.concat_ws(" ", F.transform(F.sort_array(F.collect_list(F.struct("pos", "text_slice"))), lambda x: x["text_slice"])).alias("_own"))
+    found = ground_aliases(entities, segments).groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("alias", "segment_id"))).alias("_found"))
+
+    def within(a: F.Column) -> F.Column:
+        return F.coalesce("_own", F.lit("")).contains(a)
+
+    def place(a: F.Column) -> F.Column:
+        return F.try_element_at("_found", a)
+
+    sids = F.coalesce("source_segment_ids", F.array().cast("array<string>"))
+    more = F.filter(F.transform(F.filter("aliases", lambda a: ~within(a)), place), lambda x: x.isNotNull())
+    kept = F.filter("aliases", lambda a: within(a) | place(a).isNotNull())
+    out = entities.join(own, "id", "left").join(found, "id", "left")
+    out = out.withColumn("source_segment_ids", F.when(F.col("aliases").isNull(), F.col("source_segment_ids")).otherwise(F.concat(sids, F.array_except(more, sids))))
+    return out.withColumn("aliases", kept).select(*entities.columns)
+
+
 def entity_map(entities: DataFrame) -> DataFrame:
     """doc_id, name, id: every name and alias; the later entity wins."""
     spelled = entities.select("doc_id", "id", F.explode(F.concat(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("name")).where("name is not null and name <> ''")

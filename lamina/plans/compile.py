@@ -34,7 +34,7 @@ def text_only(texts: DataFrame) -> Tables:
 
 
 def expand(answers: DataFrame, segments: DataFrame) -> Tables:
-    """Entity, Event and Claim tables from model answers (doc_id, batch_index, raw_text), with placed evidence."""
+    """Entity, Event and Claim tables from model answers (doc_id, batch_index, raw_text), with placed evidence and grounded aliases."""
     rows = cut(ca.with_ids(ca.candidates(answers)), "candidates")
     rows = cut(ca.derive_modality(ca.resolve_locals(rows, ca.local_ids(rows)), segments), "candidates")
     placed = ev.place_quotes(ca.quotes_of(rows), segments)
@@ -43,7 +43,7 @@ def expand(answers: DataFrame, segments: DataFrame) -> Tables:
     out = cut(out, "expanded")
     sids = F.col("sids").alias("source_segment_ids")
     return {
-        "Entity": out.where("t = 'E'").select("id", "doc_id", "name", "kind", "aliases", "evidence_refs", sids),
+        "Entity": cut(ca.keep_grounded(out.where("t = 'E'").select("id", "doc_id", "name", "kind", "aliases", "evidence_refs", sids), segments), "grounded"),
         "Event": out.where("t = 'EV'").select("id", "doc_id", "name", "kind", "participants", "event_time", "place", "evidence_refs", sids),
         "Claim": out.where("t = 'C'").select("id", "doc_id", "subject", "predicate", F.col("object").alias("object_ref"), "modality", "polarity", F.lit(1.0).alias("confidence"), F.lit(None).cast("string").alias("claim_source"), F.array().cast("array<string>").alias("derived_from"), "evidence_refs", sids),
     }

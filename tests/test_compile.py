@@ -67,3 +67,18 @@ def test_model_client(spark):
     assert sorted((r.raw_text or "", r.error or "") for r in rows)[0] == ("", "TimeoutError: late") and len(rows) > 1
     shown = model.Endpoint.resolve(url="u", api_key="abcdefghijkl").masked()
     assert "defgh" not in json.dumps(shown)
+
+
+def test_aliases_found_nowhere_merge_nothing(spark):
+    raw = json.dumps(
+        [
+            {"t": "E", "lid": "e1", "n": "Ann", "a": ["Zed", "Bob left"], "k": "person", "sid": ["d_seg_0002"], "q": ["Ann"]},
+            {"t": "E", "lid": "e2", "n": "Bob", "a": ["Zed", "Nobody", "Bob. Bob"], "k": "person", "sid": ["d_seg_0002", "d_seg_0003"], "q": ["Bob"]},
+        ]
+    )
+    df = spark.createDataFrame([("d", 0, raw)], "doc_id string, batch_index int, raw_text string")
+    made = co.expand(df, co.text_only(texts.from_memory(spark, {"d": TEXT}))["Segment"])["Entity"]
+    got = {r.id: (r.aliases, r.source_segment_ids) for r in made.collect()}
+    assert got == {"d_ent_0001": (["Bob left"], ["d_seg_0002", "d_seg_0003"]), "d_ent_0002": (["Nobody", "Bob. Bob"], ["d_seg_0002", "d_seg_0003", "d_seg_0004"])}
+    t = co.compile_texts(texts.from_memory(spark, {"d": TEXT}), df)
+    assert {r.id for r in t["Entity"].collect()} == {"d_ent_0001", "d_ent_0002"}
