@@ -23,14 +23,14 @@ import re
 import unicodedata
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import current_rows
+from ..runtime import current_rows, cut
 
 DIM = 1 << 14
 
@@ -126,8 +126,8 @@ _ENDED = re.compile(r"[^\s.!?。！？।॥…]{1,24}(?=[.!?。！？।॥…]
 _ANY_WORD = re.compile(r"[^\W\d_]+")
 
 
-def endings(texts: list[str]) -> dict[str, float]:
-    """Of each word (or last pair of characters) how often it stands at the end of a sentence."""
+def ending_counts(texts: Iterable[str]) -> tuple[Counter, Counter]:
+    """How often each word (or pair of characters) stands in the texts, and how often at the end of a sentence."""
     total: Counter = Counter()
     last: Counter = Counter()
     for t in texts:
@@ -138,9 +138,33 @@ def endings(texts: list[str]) -> dict[str, float]:
                 total.update(map(str.__add__, w, w[1:]))
         for w in _ENDED.findall(t):
             last[ending(w)] += 1
+    return total, last
+
+
+def endings(texts: list[str]) -> dict[str, float]:
+    """Of each word (or last pair of characters) how often it stands at the end of a sentence."""
+    total, last = ending_counts(texts)
     return {w: last[w] / n for w, n in total.items() if n >= 3}
 
 
+class _Asked(dict):
+    """Takes down the word whose ending share a text depends on."""
+
+    word: str | None = None
+
+    def get(self, key: str, default: float) -> float:  # type: ignore[override]
+        self.word = key
+        return default
+
+
+def asked(text: str | None) -> str | None:
+    """The word that stands before the closing ellipsis of running text, if there is one."""
+    note = _Asked()
+    if text and any(x in text for x in ("…", "...", ". . .")):
+        describe(text, None, note)
+    return note.word
+
+
 def describe(text: str, limits: list[int] | None, ends: dict[str, float] | None = None) -> list[str]:
     """Names of the features of one value. ``ends``: from :func:`endings`."""
     size, raw = len(text), len(text.encode("utf-8", "surrogatepass"))
@@ -191,7 +215,7 @@ def describe(text: str, limits: list[int] | None, ends: dict[str, float] | None
     if closing and not ended:
         out.append("text:closed")
     if ell:
-        share = (ends or {}).get(ending(core), -1.0)
+        share = ({} if ends is None else ends).get(ending(core), -1.0)
         known = "new" if share < 0 else "never" if share < 0.01 else "seldom" if share < 0.1 else "often"
         out += [f"text:ellipsis:{ell[0][:4]}", f"text:ellipsis:{ell[0][:4]}:{known}", f"text:ellipsis:{kind}:{known}", f"ellw:{ending(core)[-12:]}"]
     else:
@@ -259,18 +283,22 @@ def cut_copies(text: str, limits: list[int] | None, rng: random.Random) -> list[
     return out
 
 
-def fit(values: list[tuple[str, list[int] | None]], seed: int = 17, epochs: int = 40, l2: float = 1e-4) -> tuple[np.ndarray, dict[str, float]]:
-    """Weights of the logistic regression (the last entry is the bias) and the sentence endings they rely on."""
+def fit(values: list[tuple[str, list[int] | None]], seed: int = 17, epochs: int = 40, l2: float = 1e-4, shares: Callable[[set[str]], dict[str, float]] | None = None) -> tuple[np.ndarray, dict[str, float]]:
+    """Weights of the logistic regression (the last entry is the bias) and the sentence endings they rely on.
+
+    ``shares`` looks up the ending shares of words; without it they are counted in ``values``.
+    """
     rng = random.Random(seed)
-    ends = endings([t for t, _ in values if not json_like(t)])
-    rows: list[np.ndarray] = []
-    ys: list[float] = []
+    labelled: list[tuple[str, list[int] | None, float]] = []
     for text, limits in values:
-        rows.append(hashed(describe(text, limits, ends)))
-        ys.append(0.0)
-        for part in cut_copies(text, limits, rng):
-            rows.append(hashed(describe(part, limits, ends)))
-            ys.append(1.0)
+        labelled.append((text, limits, 0.0))
+        labelled += [(part, limits, 1.0) for part in cut_copies(text, limits, rng)]
+    if shares is None:
+        ends = endings([t for t, _ in values if not json_like(t)])
+    else:
+        ends = shares({w for text, _, _ in labelled if (w := asked(text)) is not None})
+    rows = [hashed(describe(text, limits, ends)) for text, limits, _ in labelled]
+    ys = [y for _, _, y in labelled]
     w = np.zeros(DIM + 1)
     if len(set(ys)) < 2:
         for name, v in (("json:open", 3.0), ("text:ended0", 1.5), ("text:tail", -1.0), ("note", 3.0), ("json:lacks", 1.5), ("json:obj:lacks", 3.0), ("text:closed", -1.5)):
@@ -319,37 +347,69 @@ def limits(rows: DataFrame, least: int = 12, share: float = 0.004, against: int
     return spikes.groupBy("model").agg(F.sort_array(F.collect_list("size")).alias("limits"))
 
 
-def train(rows: DataFrame, sample: int = 6000) -> tuple[np.ndarray, dict[str, float]]:
-    """Fit on at most ``sample`` values that look intact, drawn by a hash of the key. Runs one job."""
+def ending_shares(rows: DataFrame) -> DataFrame:
+    """word, share: :func:`endings` over every value of running text that looks intact, whatever its length. Writes the table."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            total, last = ending_counts(t for t in pdf["raw_text"] if not json_like(t))
+            yield pd.DataFrame([(w, n, last[w]) for w, n in total.items()] + [(w, 0, n) for w, n in last.items() if w not in total], columns=["word", "total", "last"])
+
+    counts = rows.where(F.col("looks_intact") & (F.length("raw_text") > 0)).select("raw_text").mapInPandas(run, "word string, total bigint, last bigint").groupBy("word").agg(F.sum("total").alias("total"), F.sum("last").alias("last"))
+    return cut(counts.where("total >= 3").select("word", (F.col("last") / F.col("total")).alias("share")), "endings")
+
+
+def train(rows: DataFrame, ends: DataFrame, sample: int = 6000) -> np.ndarray:
+    """Fit on at most ``sample`` values of up to 20 000 characters that look intact, drawn by a hash of the key. ``ends``: word, share. Runs two jobs."""
     intact = rows.where(F.col("looks_intact") & (F.length("raw_text") > 0) & (F.length("raw_text") <= 20000))
     picked = intact.orderBy(F.xxhash64("cache_key"), "cache_key").limit(sample).select("raw_text", "limits").collect()
-    return fit([(r.raw_text, list(r.limits) if r.limits else None) for r in picked])
 
+    def shares(words: set[str]) -> dict[str, float]:
+        if not words:
+            return {}
+        few = F.broadcast(rows.sparkSession.createDataFrame([(w,) for w in sorted(words)], "word string"))
+        return {r.word: r.share for r in ends.join(few, "word", "left_semi").collect()}
+
+    return fit([(r.raw_text, list(r.limits) if r.limits else None) for r in picked], shares=shares)[0]
+
+
+def score(rows: DataFrame, weights: np.ndarray, ends: DataFrame, broadcast_rows: int = 200_000) -> DataFrame:
+    """``rows`` with ``cut_score``: the probability that raw_text was cut off; null for null and empty texts.
+
+    ``ends``: word, share. The words before an ellipsis are looked up; they are broadcast only up to ``broadcast_rows``.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(weights)
 
-def score(rows: DataFrame, model: tuple[np.ndarray, dict[str, float]]) -> DataFrame:
-    """``rows`` with ``cut_score``: the probability that raw_text was cut off; null for null and empty texts."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    @F.pandas_udf("string")
+    def word(texts: pd.Series) -> pd.Series:
+        return texts.map(asked)
 
     @F.pandas_udf("double")
-    def probability(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        w, ends = shared.value
-        for text, lims in batches:
+    def probability(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        w = shared.value
+        for text, lims, words, shares in batches:
             out = np.full(len(text), np.nan)
-            for i, (t, lim) in enumerate(zip(text, lims)):
+            for i, (t, lim, x, share) in enumerate(zip(text, lims, words, shares)):
                 if t:
-                    z = w[hashed(describe(t, list(lim) if lim is not None else None, ends))].sum() + w[DIM]
+                    known = {x: share} if share == share and share is not None else {}
+                    z = w[hashed(describe(t, list(lim) if lim is not None else None, known))].sum() + w[DIM]
                     out[i] = 1 / (1 + np.exp(-max(-30.0, min(30.0, z))))
             yield pd.Series(out)
 
-    return rows.withColumn("cut_score", F.nanvl(probability("raw_text", "limits"), F.lit(None).cast("double")))
+    at = rows.withColumn("word", word("raw_text"))
+    used = cut(ends.join(at.select("word").distinct(), "word", "left_semi"), "used")
+    at = at.join(F.broadcast(used) if used.count() <= broadcast_rows else used, "word", "left")
+    return at.withColumn("cut_score", F.nanvl(probability("raw_text", "limits", "word", "share"), F.lit(None).cast("double"))).drop("word", "share")
 
 
 def scored(entries: DataFrame, sample: int = 6000) -> DataFrame:
-    """cache_key, model, cut_score for every current entry. Trains first (one job)."""
+    """cache_key, model, cut_score for every current entry. Writes the entries, counts endings and trains first."""
     rows = current_responses(entries).withColumn("_m", F.coalesce("model", F.lit("")))
+    rows = cut(rows, "responses")
     lim = limits(rows).withColumnRenamed("model", "_m")
     rows = rows.join(lim, "_m", "left").drop("_m")
-    return score(rows, train(rows, sample)).select("cache_key", "model", "cut_score")
+    ends = ending_shares(rows)
+    return score(rows, train(rows, ends, sample), ends).select("cache_key", "model", "cut_score")
 
 
 def truncated(entries: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -360,5 +420,5 @@ def truncated(entries: DataFrame, threshold: float = 0.5) -> DataFrame:
 def rates(entries: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Per model: texts, cut texts and their share."""
     s = scored(entries).where(F.col("cut_score").isNotNull())
-    cut = F.sum((F.col("cut_score") >= threshold).cast("bigint"))
-    return s.groupBy("model").agg(F.count("*").alias("texts"), cut.alias("cut"), F.round(cut / F.count("*"), 6).alias("cut_share"))
+    found = F.sum((F.col("cut_score") >= threshold).cast("bigint"))
+    return s.groupBy("model").agg(F.count("*").alias("texts"), found.alias("cut"), F.round(found / F.count("*"), 6).alias("cut_share"))

@@ -2,6 +2,9 @@ import datetime as dt
 import json
 import random
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from lamina.llm import truncation as t
 
 SCHEMA = "cache_key string, request struct<model:string>, response struct<raw_text:string,stop_reason:string>, quality struct<parse_ok:boolean,truncated:boolean>, loaded_at timestamp, raw_text string, label int"
@@ -59,3 +62,29 @@ def test_limits_are_spikes(spark):
 def test_structure():
     assert t.structure('[{"a":"b"}]') == (False, 0, 0) and t.structure('x [{"a":"b') == (True, 2, 0) and t.structure('[{"a":"]"},') == (False, 1, 0)
     assert t.structure('[{"a":"\\""}]') == (False, 0, 0)
+
+
+def test_endings_are_counted_over_all_rows(spark):
+    items = [(f"k{i}", "m", "The old cat saw the harbour. Nobody came.", "end_turn", 0) for i in range(40)] + [("long", "m", "She left the zebra. " * 1200, "end_turn", 0), ("cut", "m", "The zebra. " * 9, "max_tokens", 0)]
+    df = t.current_responses(rows(spark, items)).withColumn("limits", F.lit(None).cast("array<bigint>"))
+    ends = t.ending_shares(df)
+    assert {r.word: r.share for r in ends.collect()} == t.endings([x[2] for x in items[:-1]])
+    seen = []
+    fit, t.fit = t.fit, lambda values, shares: (seen.append((len(values), shares({"harbour", "zebra", "nowhere"}))), ({}, {}))[1]
+    try:
+        t.train(df, ends, sample=5)
+    finally:
+        t.fit = fit
+    assert seen == [(5, {"harbour": 1.0, "zebra": 1.0})]
+
+
+def test_scores_use_the_shares_of_all_rows(spark):
+    items = [("a", "m", "They came to the harbour...", "end_turn", 0), ("b", "m", "They came to the…", "end_turn", 0), ("c", "m", "No more. . .", "end_turn", 0), ("d", "m", None, "end_turn", 0), ("e", "m", "Done.", "end_turn", 0)]
+    df = t.current_responses(rows(spark, items)).withColumn("limits", F.lit(None).cast("array<bigint>"))
+    shares = {"harbour": 0.5, "the": 0.0, "more": 0.05, "other": 1.0}
+    ends = spark.createDataFrame(list(shares.items()), "word string, share double")
+    w = np.random.default_rng(1).normal(size=t.DIM + 1)
+    want = {k: None if x is None else 1 / (1 + np.exp(-np.clip(w[t.hashed(t.describe(x, None, shares))].sum() + w[t.DIM], -30, 30))) for k, _, x, _, _ in items}
+    for most in (200_000, -1):
+        got = {r.cache_key: r.cut_score for r in t.score(df, w, ends, most).collect()}
+        assert got.keys() == want.keys() and all(got[k] == want[k] or abs(got[k] - want[k]) < 1e-9 for k in want)
