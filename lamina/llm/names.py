@@ -9,9 +9,11 @@ share a form, or hold forms within the radius, are one class (minimum labels unt
 changes). Forms that name only a part (surname, initial and surname, acronym) join the one class
 of the work they fit; where several fit they join none.
 
-Lexicons are learned from how often two spellings stand together in one entity; they are bounded
-by ``max_lexicon`` entries (the best supported). Everything else covers all rows; pairs are only
-made inside a class, as the result asks for.
+Lexicons are learned from how often two spellings stand together in one entity, and every entry with
+enough support counts. While they are small they are broadcast; beyond that the readings of name
+parts, which grow with the data, are a table that is joined to the spellings (characters are bounded
+by their script, word equivalents are decided in order on the driver). Pairs are only made inside a
+class, as the result asks for.
 
 Defined cases: null ids, null works, tombstones and places take no part; null names and aliases
 are skipped; aliases that stand for many unlike names ("the captain") name nobody; repeated rows
@@ -24,7 +26,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -112,6 +114,7 @@ class Lexicon:
     readings: dict[str, str] = field(default_factory=dict)
     parts: dict[str, str] = field(default_factory=dict)
     words: dict[str, str] = field(default_factory=lambda: {**NICKNAMES, **ORG_WORDS})
+    goals: set[str] = field(default_factory=lambda: {*NICKNAMES.values(), *ORG_WORDS.values()})
 
     def base(self, text: str) -> str:
         return "".join(self.chars.get(c, c) for c in text)
@@ -284,8 +287,11 @@ def _learn(names: list[str]) -> Iterator[tuple[str, str, str]]:
                         yield "w", min(p, q), max(p, q)
 
 
-def learn(entities: DataFrame, least: int = 2, max_lexicon: int = 100_000) -> Lexicon:
-    """Lexicon from the aliases of all entities. One job that returns at most ``max_lexicon`` entries."""
+def learn(entities: DataFrame, least: int = 2, broadcast_rows: int = 100_000) -> tuple[Lexicon, DataFrame | None]:
+    """Lexicon from the aliases of all entities, and the readings of name parts (key, reading) where they do not go into it.
+
+    Writes the entries. Up to ``broadcast_rows`` of them the lexicon holds all and the table is None.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -295,8 +301,29 @@ def learn(entities: DataFrame, least: int = 2, max_lexicon: int = 100_000) -> Le
             yield pd.DataFrame([(*k, c) for k, c in n.items()], columns=["kind", "a", "b", "n"])
 
     counts = entities.where("aliases is not null and size(aliases) > 0").select("name", "aliases").mapInPandas(run, "kind string, a string, b string, n bigint").groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
-    rows = counts.where(F.col("n") >= least).orderBy(F.desc("n"), "kind", "a", "b").limit(max_lexicon).collect()
-    return build_lexicon([(r.kind, r.a, r.b, r.n) for r in rows])
+    rows = cut(counts.where(F.col("n") >= least), "lexicon")
+    if rows.count() <= broadcast_rows:
+        return build_lexicon([(r.kind, r.a, r.b, r.n) for r in rows.orderBy(F.desc("n"), "kind", "a", "b").collect()]), None
+    lex = build_lexicon([(r.kind, r.a, r.b, r.n) for r in rows.where("kind = 'v'").collect()])
+    base = F.translate("a", "".join(lex.chars), "".join(lex.chars.values())).alias("key")
+    best = rows.where("kind in ('r', 'p')").groupBy("kind", base).agg(F.max(F.struct("n", "b")).getField("b").alias("reading"))
+    lex.readings = {r.key: r.reading for r in best.where("kind = 'r'").collect()}
+    words = rows.where("kind = 'w'")
+    freq = words.select(F.explode(F.array("a", "b")).alias("word"), "n").groupBy("word").agg(F.sum("n").alias("freq"))
+    for end in "ab":
+        words = words.join(freq.select(F.col("word").alias(end), F.col("freq").alias("f" + end)), end)
+    likely = words.where((F.col("n") >= 3) & (F.length("a") > 2) & (F.length("b") > 2) & (F.levenshtein("a", "b") > 2))
+    for r in likely.orderBy(F.desc("n"), "a", "b").toLocalIterator():
+        add_word(lex, r.a, r.b, r.n, r.fa, r.fb)
+    return lex, cut(best.where("kind = 'p'").select("key", "reading"), "parts")
+
+
+def add_word(lex: Lexicon, a: str, b: str, n: int, freq_a: int, freq_b: int) -> None:
+    """Take ``a`` and ``b`` as equivalent, the rarer for the other, unless an entry before says otherwise."""
+    short, long_ = (a, b) if (freq_a, -len(a)) < (freq_b, -len(b)) else (b, a)
+    if n >= 3 and min(len(a), len(b)) > 2 and not {a, b} & STOP_WORDS and short not in lex.words and long_ not in lex.words and short not in lex.goals and distance(short, long_) > 2:
+        lex.words[short] = long_
+        lex.goals.add(long_)
 
 
 def build_lexicon(rows: list[tuple[str, str, str, int]]) -> Lexicon:
@@ -335,9 +362,7 @@ def build_lexicon(rows: list[tuple[str, str, str, int]]) -> Lexicon:
             freq[b] += n
     for kind, a, b, n in rows:
         if kind == "w":
-            short, long_ = (a, b) if (freq[a], -len(a)) < (freq[b], -len(b)) else (b, a)
-            if n >= 3 and min(len(a), len(b)) > 2 and not {a, b} & STOP_WORDS and short not in lex.words and long_ not in lex.words and short not in lex.words.values() and distance(short, long_) > 2:
-                lex.words[short] = long_
+            add_word(lex, a, b, n, freq[a], freq[b])
     return lex
 
 
@@ -377,24 +402,40 @@ def anybody(entities: DataFrame, least: int = 6) -> DataFrame:
     )
 
 
-def entity_forms(entities: DataFrame, lex: Lexicon) -> DataFrame:
-    """id, work_id, role (full, covers, part), form."""
+def part_keys(name: str | None, lex: Lexicon) -> list[str]:
+    """Keys under which :func:`forms` looks for readings of name parts; learned ones have at most four characters."""
+    t = lex.base(han_core(name)[0]) if name and script(name) == "han" else ""
+    return sorted({x for k in range(1, len(t)) if k <= 4 and len(t) - k <= 4 for x in (t[:k], t[k:])})
+
+
+def entity_forms(entities: DataFrame, lex: Lexicon, parts: DataFrame | None = None) -> DataFrame:
+    """id, work_id, role (full, covers, part), form. ``parts``: key, reading, where they are not in ``lex``."""
     shared = entities.sparkSession.sparkContext.broadcast(lex)
 
     @F.pandas_udf("array<struct<role:string,form:string>>")
-    def run(name: pd.Series, kind: pd.Series) -> pd.Series:
+    def run(name: pd.Series, kind: pd.Series, read: pd.Series) -> pd.Series:
         lx = shared.value
         out = []
-        for n, k in zip(name, kind):
-            full, covers, part = forms(n, k, lx)
+        for n, k, own in zip(name, kind, read):
+            full, covers, part = forms(n, k, lx if own is None else replace(lx, parts={x["key"]: x["reading"] for x in own}))
             out.append([{"role": r, "form": f} for r, fs in (("full", full), ("covers", covers), ("part", part)) for f in dict.fromkeys(fs)])
         return pd.Series(out)
 
+    @F.pandas_udf("array<string>")
+    def keys(name: pd.Series) -> pd.Series:
+        return name.map(lambda n: part_keys(n, shared.value))
+
     own = entities.select("id", "work_id", "kind", F.col("name").alias("spelling"), F.lit(True).alias("is_name"))
     alias = entities.select("id", "work_id", "kind", F.explode(F.array_distinct("aliases")).alias("spelling"), F.lit(False).alias("is_name")).where(F.col("spelling").isNotNull() & ~F.lower(F.trim("spelling")).isin(*ANYBODY))
     alias = alias.join(anybody(entities).withColumnRenamed("alias", "spelling"), "spelling", "left_anti").select("id", "work_id", "kind", "spelling", "is_name")
     spellings = own.unionByName(alias).dropDuplicates(["id", "spelling"])
-    return spellings.select("id", "work_id", F.explode(run("spelling", "kind")).alias("f")).select("id", "work_id", "f.role", "f.form").distinct()
+    read = "array<struct<key:string,reading:string>>"
+    if parts is None:
+        spellings = spellings.withColumn("read", F.lit(None).cast(read))
+    else:
+        wanted = spellings.select("spelling").distinct().select("spelling", F.explode(keys("spelling")).alias("key"))
+        spellings = spellings.join(wanted.join(parts, "key").groupBy("spelling").agg(F.collect_list(F.struct("key", "reading")).alias("read")), "spelling", "left")
+    return spellings.select("id", "work_id", F.explode(run("spelling", "kind", "read")).alias("f")).select("id", "work_id", "f.role", "f.form").distinct()
 
 
 #: Marks of the full forms that are compared by edit distance.
@@ -477,7 +518,7 @@ def linked(entities: DataFrame) -> DataFrame:
     ents = cut(ents, "entities")
     place = ents.where("kind = 'place'").select("work_id", "name").distinct()
     ents = ents.where("kind is null or kind <> 'place'").join(place, ["work_id", "name"], "left_anti").select("id", "work_id", "name", "kind", "aliases")
-    have = cut(entity_forms(ents, learn(ents)), "forms")
+    have = cut(entity_forms(ents, *learn(ents)), "forms")
     full = have.where("role = 'full'").select("id", "work_id", "form")
     close = cut(radius_join(full.select("work_id", "form").distinct()), "close")
     both = close.select("work_id", F.col("form_a").alias("form"), F.col("form_b").alias("other")).unionByName(close.select("work_id", F.col("form_b").alias("form"), F.col("form_a").alias("other")))

@@ -98,3 +98,15 @@ def test_a_rare_script_has_pivots(spark):
     many = spark.range(20000).select(F.col("id").cast("string").alias("work_id"), F.concat(F.lit("L:"), F.md5(F.col("id").cast("string"))).alias("form"))
     few = spark.createDataFrame([("w", "T:มะลิแก้วนาวา"), ("w", "T:มะลิแก้วนาวี"), ("w", "D:रोहनतारकेश"), ("w", "D:रोहनतारकेस")], "work_id string, form string")
     assert {r.form_a[0] for r in n.radius_join(many.unionByName(few)).collect()} == {"T", "D"}
+
+
+def test_a_large_lexicon_is_whole(spark):
+    pairs = [("孙凡松", "Sun Fansong"), ("孫凡松", "孙凡松"), ("欧阳明月", "Mingyue Ouyang"), ("Ulvira Marwick", "Bex Marwick")]
+    df = spark.createDataFrame([(f"{i}-{k}", "w", a, "person", [b]) for i, (a, b) in enumerate(pairs) for k in range(4)], "id string, work_id string, name string, kind string, aliases array<string>")
+    small, none = n.learn(df)
+    large, parts = n.learn(df, broadcast_rows=0)
+    assert none is None and {r.key: r.reading for r in parts.collect()} == small.parts and len(small.parts) > 8
+    assert (large.chars, large.readings, large.words) == (small.chars, small.readings, small.words) and len(small.words) == len(n.Lexicon().words) + 1
+    pick = lambda x: sorted(tuple(r) for r in x.collect())
+    assert pick(n.entity_forms(df, large, parts)) == pick(n.entity_forms(df, small))
+    assert any(r.form.startswith("R:") and r.id == "2-0" for r in n.entity_forms(df.withColumn("aliases", F.array().cast("array<string>")), large, parts).collect())
