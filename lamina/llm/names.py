@@ -3,17 +3,19 @@
 Method. Names are brought to comparable forms (case, accents, order, titles, initials; nicknames,
 abbreviations, character variants and romanisations as learned from the aliases of all entities).
 Full forms then meet in a metric space: every form goes to the cell of its nearest pivot and, by
-the triangle inequality, to each cell that a form within the radius could have as its own; inside a
-cell all forms of one work within the radius are found with the edit distance itself. Entities that
-share a form, or hold forms within the radius, are one class (minimum labels until nothing
-changes). Forms that name only a part (surname, initial and surname, acronym) join the one class
-of the work they fit; where several fit they join none.
-
-Lexicons are learned from how often two spellings stand together in one entity, and every entry with
-enough support counts. While they are small they are broadcast; beyond that the readings of name
-parts, which grow with the data, are a table that is joined to the spellings (characters are bounded
-by their script, word equivalents are decided in order on the driver). Pairs are only made inside a
-class, as the result asks for.
+the triangle inequality, to each cell that a form within the radius could have as its own; cells
+that are still large draw pivots of their own, so their number grows with the work. Inside a cell
+all forms of one work within the radius are found with the edit distance itself. Equal forms are
+one point (distance 0). Entities that hold the same point, or points within the radius, are one
+class. Forms that name only a part (surname, initial and surname, acronym) join the one class of
+the work they fit; where several fit they join none.
+
+No list of nicknames, abbreviations or generic aliases is built in: which spellings stand for the
+same word is learned from how often they stand together in one entity (three entities at least),
+and which stand for anybody from the unlike names they stand beside. While the lexicon is small it
+is broadcast; beyond that the readings of name parts, which grow with the data, are a table that
+is joined to the spellings (characters are bounded by their script, word equivalents are decided in
+order on the driver). Pairs are only made inside a class, as the result asks for.
 
 Defined cases: null ids, null works, tombstones and places take no part; null names and aliases
 are skipped; aliases that stand for many unlike names ("the captain") name nobody; repeated rows
@@ -45,13 +47,6 @@ THAI_TITLES = ("นางสาว", "นาย", "นาง", "คุณ", "ด
 DEVA_TITLES = ("श्रीमती", "श्री", "डॉ.", "डॉ")
 ORG_ENDS = ("公司", "协会", "協會", "商行", "研究所", "图书馆", "圖書館", "学校", "医院", "银行")
 STOP_WORDS = frozenset(("the", "ltd", "of", "and", "limited", "inc", "gmbh"))
-ORG_WORDS = {"lab": "laboratory", "tr": "trust", "assoc": "association", "inst": "institute", "corp": "corporation", "bros": "brothers", "co": "company", "dept": "department", "dep": "department", "univ": "university"}
-NICKNAMES = {
-    "peggy": "margaret", "maggie": "margaret", "josie": "josephine", "nell": "eleanor", "kate": "katherine", "ulli": "ulrike", "dora": "dorothea", "paddy": "patrick",
-    "will": "william", "bill": "william", "vicky": "victoria", "nate": "nathaniel", "chris": "christopher", "bob": "robert", "rob": "robert", "liz": "elizabeth", "beth": "elizabeth", "alex": "alexander", "fred": "frederick", "ted": "theodore", "theo": "theodore",
-}
-#: Aliases that stand for anybody. Fixed values, beside those found in the data.
-ANYBODY = frozenset(("the captain", "the keeper", "der kapitän", "掌柜", "那位先生", "先生", "หัวหน้า", "मुखिया", "the narrator"))
 
 _PINYIN = re.compile(r"(?:zh|ch|sh|[bpmfdtnlgkhjqxrzcsyw])?(?:iang|iong|uang|ueng|ang|eng|ing|ong|iao|ian|uai|uan|van|ai|ei|ao|ou|an|en|in|un|vn|ia|ie|iu|ua|uo|ui|ue|ve|er|a|o|e|i|u|v)")
 _SPACE = re.compile(r"[\s·・‧•]+")
@@ -113,8 +108,8 @@ class Lexicon:
     chars: dict[str, str] = field(default_factory=dict)
     readings: dict[str, str] = field(default_factory=dict)
     parts: dict[str, str] = field(default_factory=dict)
-    words: dict[str, str] = field(default_factory=lambda: {**NICKNAMES, **ORG_WORDS})
-    goals: set[str] = field(default_factory=lambda: {*NICKNAMES.values(), *ORG_WORDS.values()})
+    words: dict[str, str] = field(default_factory=dict)
+    goals: set[str] = field(default_factory=set)
 
     def base(self, text: str) -> str:
         return "".join(self.chars.get(c, c) for c in text)
@@ -248,12 +243,12 @@ def forms(name: str | None, kind: str | None, lex: Lexicon) -> tuple[list[str],
 # ------------------------------------------------------------------ lexicon
 
 
-def _learn(names: list[str]) -> Iterator[tuple[str, str, str]]:
-    """Evidence from the spellings of one entity: (kind, a, b). Each spelling meets the first and the one before it, so the work is linear."""
-    seen = list(dict.fromkeys(n for n in names if n and n.strip() and n.strip().lower() not in ANYBODY))
-    shapes = [(n, script(n)) for n in seen]
-    for i, (n, s) in enumerate(shapes):
-        for m, u in dict.fromkeys(shapes[j] for j in (0, i - 1) if 0 <= j < i):
+def _learn(left: list[str], right: list[str] | None = None) -> Iterator[tuple[str, str, str]]:
+    """Evidence from the spellings of one entity: (kind, a, b) for each pair within ``left``, or of ``left`` and ``right``."""
+    shapes = [(n, script(n)) for n in left if n and n.strip()]
+    others = shapes if right is None else [(n, script(n)) for n in right if n and n.strip()]
+    for i, (n, s) in enumerate(others):
+        for m, u in shapes[:i] if right is None else shapes:
             if s == u == "han":
                 a, b = han_core(n)[0], han_core(m)[0]
                 if len(a) == len(b) >= 2 and a != b:
@@ -287,20 +282,27 @@ def _learn(names: list[str]) -> Iterator[tuple[str, str, str]]:
                         yield "w", min(p, q), max(p, q)
 
 
-def learn(entities: DataFrame, least: int = 2, broadcast_rows: int = 100_000) -> tuple[Lexicon, DataFrame | None]:
+def learn(entities: DataFrame, least: int = 2, broadcast_rows: int = 100_000, block: int = 64) -> tuple[Lexicon, DataFrame | None]:
     """Lexicon from the aliases of all entities, and the readings of name parts (key, reading) where they do not go into it.
 
-    Writes the entries. Up to ``broadcast_rows`` of them the lexicon holds all and the table is None.
+    An entity of more than ``block`` spellings counts once per pair of blocks. Writes the entries. Up to ``broadcast_rows`` of them the lexicon holds all and the table is None.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             n: Counter = Counter()
-            for name, aliases in zip(pdf["name"], pdf["aliases"]):
-                n.update(set(_learn([name, *(aliases if aliases is not None else [])])))
+            for left, right, same in zip(pdf["l"], pdf["r"], pdf["same"]):
+                n.update(set(_learn(list(left), None if same else list(right))))
             yield pd.DataFrame([(*k, c) for k, c in n.items()], columns=["kind", "a", "b", "n"])
 
-    counts = entities.where("aliases is not null and size(aliases) > 0").select("name", "aliases").mapInPandas(run, "kind string, a string, b string, n bigint").groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
+    # every spelling of an entity meets every other, in blocks, so that no task holds more than two blocks of one entity
+    spelled = entities.where("aliases is not null and size(aliases) > 0").select(F.array_distinct(F.concat(F.array("name"), "aliases")).alias("s")).where("size(s) > 1")
+    last = F.floor((F.size("s") - 1) / block).cast("int")
+    spelled = spelled.select("s", last.alias("last"), F.explode(F.sequence(F.lit(0), last)).alias("i"))
+    spelled = spelled.select("s", "i", F.explode(F.sequence("i", "last")).alias("j"))
+    part = lambda k: F.slice("s", F.col(k) * block + 1, F.lit(block))
+    pairs_ = spelled.select(part("i").alias("l"), F.when(F.col("i") != F.col("j"), part("j")).alias("r"), (F.col("i") == F.col("j")).alias("same"))
+    counts = pairs_.mapInPandas(run, "kind string, a string, b string, n bigint").groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
     rows = cut(counts.where(F.col("n") >= least), "lexicon")
     if rows.count() <= broadcast_rows:
         return build_lexicon([(r.kind, r.a, r.b, r.n) for r in rows.orderBy(F.desc("n"), "kind", "a", "b").collect()]), None
@@ -312,16 +314,25 @@ def learn(entities: DataFrame, least: int = 2, broadcast_rows: int = 100_000) ->
     freq = words.select(F.explode(F.array("a", "b")).alias("word"), "n").groupBy("word").agg(F.sum("n").alias("freq"))
     for end in "ab":
         words = words.join(freq.select(F.col("word").alias(end), F.col("freq").alias("f" + end)), end)
-    likely = words.where((F.col("n") >= 3) & (F.length("a") > 2) & (F.length("b") > 2) & (F.levenshtein("a", "b") > 2))
+    likely = words.where((F.col("n") >= 3) & (F.greatest(F.length("a"), F.length("b")) > 2) & (F.levenshtein("a", "b") > 2))
     for r in likely.orderBy(F.desc("n"), "a", "b").toLocalIterator():
         add_word(lex, r.a, r.b, r.n, r.fa, r.fb)
     return lex, cut(best.where("kind = 'p'").select("key", "reading"), "parts")
 
 
+def shortens(short: str, long_: str) -> bool:
+    """Whether ``short`` is ``long_`` with letters left out behind the first."""
+    rest = iter(long_)
+    return len(short) < len(long_) and short[0] == long_[0] and all(c in rest for c in short)
+
+
 def add_word(lex: Lexicon, a: str, b: str, n: int, freq_a: int, freq_b: int) -> None:
-    """Take ``a`` and ``b`` as equivalent, the rarer for the other, unless an entry before says otherwise."""
+    """Take ``a`` and ``b`` as equivalent, an abbreviation for the word and else the rarer for the other, unless an entry before says otherwise."""
     short, long_ = (a, b) if (freq_a, -len(a)) < (freq_b, -len(b)) else (b, a)
-    if n >= 3 and min(len(a), len(b)) > 2 and not {a, b} & STOP_WORDS and short not in lex.words and long_ not in lex.words and short not in lex.goals and distance(short, long_) > 2:
+    least = 3
+    if shortens(a, b) or shortens(b, a):
+        short, long_, least = *sorted((a, b), key=len), 2
+    if n >= 3 and len(short) >= least and len(long_) > 2 and not {a, b} & STOP_WORDS and short not in lex.words and long_ not in lex.words and short not in lex.goals and distance(short, long_) > 2:
         lex.words[short] = long_
         lex.goals.add(long_)
 
@@ -389,14 +400,34 @@ def current_entities(entities: DataFrame) -> DataFrame:
     return rows.where("not gone and work_id is not null").select("id", "work_id", "name", "kind", "aliases")
 
 
-def anybody(entities: DataFrame, least: int = 6) -> DataFrame:
-    """alias: spellings that stand beside names with at least ``least`` different first letters in as many works."""
+_SCRIPT = ((r"[\u3040-\u30ff\u3400-\u9fff]", "han"), (r"[\u0e00-\u0e7f]", "thai"), (r"[\u0900-\u097f]", "deva"))
+
+
+def _written(c: F.Column) -> F.Column:
+    """The script of a spelling by its first tell-tale character."""
+    out = F.lit("latin")
+    for pattern, name in reversed(_SCRIPT):
+        out = F.when(c.rlike(pattern), name).otherwise(out)
+    return out
+
+
+def _pieces(c: F.Column) -> F.Column:
+    """Tokens in lower case; Han and kana one by one."""
+    return F.filter(F.split(F.lower(c), r"[\s,.]+|(?<=[\u3040-\u30ff\u3400-\u9fff])"), lambda x: x != "")
+
+
+def anybody(entities: DataFrame, least: int = 4) -> DataFrame:
+    """alias: spellings that stand for anybody, as they stand beside unlike names of their own script with at least
+    ``least`` different first letters, in as many works. Unlike: no token shared and neither inside the other."""
+    name, alias = F.col("name"), F.col("alias")
+    unlike = (_written(name) == _written(alias)) & ~F.arrays_overlap(_pieces(name), _pieces(alias)) & ~F.contains(F.lower(name), F.lower(alias)) & ~F.contains(F.lower(alias), F.lower(name))
     return (
         entities.where("name is not null and aliases is not null")
-        .select("work_id", F.upper(F.substring(F.trim("name"), 1, 1)).alias("first"), F.explode(F.array_distinct("aliases")).alias("alias"))
-        .where(F.col("alias").isNotNull())
+        .select("work_id", "name", F.upper(F.substring(F.trim("name"), 1, 1)).alias("first"), F.explode(F.array_distinct("aliases")).alias("alias"))
+        .where(alias.isNotNull() & (name != alias))
+        .where(unlike)
         .groupBy("alias")
-        .agg(F.count_distinct("first").alias("firsts"), F.approx_count_distinct("work_id").alias("works"))
+        .agg(F.approx_count_distinct("first", 0.02).alias("firsts"), F.approx_count_distinct("work_id").alias("works"))
         .where(f"firsts >= {least} and works >= {least}")
         .select("alias")
     )
@@ -417,7 +448,7 @@ def entity_forms(entities: DataFrame, lex: Lexicon, parts: DataFrame | None = No
         lx = shared.value
         out = []
         for n, k, own in zip(name, kind, read):
-            full, covers, part = forms(n, k, lx if own is None else replace(lx, parts={x["key"]: x["reading"] for x in own}))
+            full, covers, part = forms(n, k or None, lx if own is None else replace(lx, parts={x["key"]: x["reading"] for x in own}))
             out.append([{"role": r, "form": f} for r, fs in (("full", full), ("covers", covers), ("part", part)) for f in dict.fromkeys(fs)])
         return pd.Series(out)
 
@@ -425,91 +456,123 @@ def entity_forms(entities: DataFrame, lex: Lexicon, parts: DataFrame | None = No
     def keys(name: pd.Series) -> pd.Series:
         return name.map(lambda n: part_keys(n, shared.value))
 
-    own = entities.select("id", "work_id", "kind", F.col("name").alias("spelling"), F.lit(True).alias("is_name"))
-    alias = entities.select("id", "work_id", "kind", F.explode(F.array_distinct("aliases")).alias("spelling"), F.lit(False).alias("is_name")).where(F.col("spelling").isNotNull() & ~F.lower(F.trim("spelling")).isin(*ANYBODY))
-    alias = alias.join(anybody(entities).withColumnRenamed("alias", "spelling"), "spelling", "left_anti").select("id", "work_id", "kind", "spelling", "is_name")
-    spellings = own.unionByName(alias).dropDuplicates(["id", "spelling"])
+    kind = F.coalesce("kind", F.lit("")).alias("kind")
+    own = entities.where("name is not null").select("id", "work_id", kind, F.col("name").alias("spelling"))
+    alias = entities.select("id", "work_id", kind, F.explode(F.array_distinct("aliases")).alias("spelling")).where(F.col("spelling").isNotNull())
+    alias = alias.join(anybody(entities).withColumnRenamed("alias", "spelling"), "spelling", "left_anti").select("id", "work_id", "kind", "spelling")
+    spellings = cut(own.unionByName(alias).distinct(), "spellings")
+    distinct = spellings.select("spelling", "kind").distinct()
     read = "array<struct<key:string,reading:string>>"
     if parts is None:
-        spellings = spellings.withColumn("read", F.lit(None).cast(read))
+        distinct = distinct.withColumn("read", F.lit(None).cast(read))
     else:
-        wanted = spellings.select("spelling").distinct().select("spelling", F.explode(keys("spelling")).alias("key"))
-        spellings = spellings.join(wanted.join(parts, "key").groupBy("spelling").agg(F.collect_list(F.struct("key", "reading")).alias("read")), "spelling", "left")
-    return spellings.select("id", "work_id", F.explode(run("spelling", "kind", "read")).alias("f")).select("id", "work_id", "f.role", "f.form").distinct()
-
-
-#: Marks of the full forms that are compared by edit distance.
-HEADS = ("L:", "D:", "T:")
+        wanted = distinct.select("spelling").distinct().select("spelling", F.explode(keys("spelling")).alias("key"))
+        distinct = distinct.join(wanted.join(parts, "key").groupBy("spelling").agg(F.collect_list(F.struct("key", "reading")).alias("read")), "spelling", "left")
+    formed = distinct.select("spelling", "kind", run("spelling", "kind", "read").alias("fs"))
+    return spellings.join(formed, ["spelling", "kind"]).select("id", "work_id", F.explode("fs").alias("f")).select("id", "work_id", "f.role", "f.form").distinct()
 
 
 def radius(form: F.Column) -> F.Column:
-    """Edit radius by script and length: long alphabetic forms may differ by two, others by one or not at all."""
+    """Edit radius of a full form by script and length: two for long alphabetic ones, one for shorter, none where one letter is another name."""
     n = F.length(form) - 2
     head = F.substring(form, 1, 2)
-    return F.when(head.isin("L:") & (n >= 10), 2).when(head.isin("L:", "D:") & (n >= 7), 1).when(head.isin("T:") & (n >= 8), 1).otherwise(0)
-
+    one = (head.isin("L:", "D:") & (n >= 7)) | (head.isin("T:") & (n >= 8)) | (head.isin("R:") & (n >= LEAST_READ)) | (head.isin("H:") & (n >= LEAST_HAN))
+    return F.when(head.isin("L:") & (n >= 10), 2).when(one, 1).otherwise(0)
 
-def pivots(full: DataFrame, count: int = 16, sample: int = 300) -> list[str]:
-    """Far-apart forms, up to ``count`` per script, chosen from its ``sample`` distinct radius forms of least hash. One job.
 
-    A script with any radius form has at least one pivot; beyond that any choice is exact and a good one is fast.
-    """
-    near_able = full.where(radius(F.col("form")) > 0)
-    pools = [near_able.where(F.col("form").startswith(head)).select("form").distinct().orderBy(F.xxhash64("form"), "form").limit(sample).select("form", F.xxhash64("form").alias("h")) for head in HEADS]
-    some = [r.form for r in sorted(pools[0].unionByName(pools[1]).unionByName(pools[2]).collect(), key=lambda r: (r.h, r.form))]
-    out: list[str] = []
-    for head in HEADS:
-        pool = [f for f in some if f.startswith(head)]
-        if not pool:
-            continue
-        chosen = [pool[0]]
-        near = [distance(p, chosen[0]) for p in pool]
-        while len(chosen) < count and max(near) > 4:
-            i = max(range(len(pool)), key=lambda k: (near[k], pool[k]))
-            chosen.append(pool[i])
-            near = [min(d, distance(p, pool[i])) for d, p in zip(near, pool)]
-        out += chosen
-    return out
+#: Lengths from which romanised and Han forms may differ by one character; shorter ones are other names.
+LEAST_READ = 12
+LEAST_HAN = 6
 
 
-def radius_join(full: DataFrame, count: int = 16) -> DataFrame:
-    """work_id, form_a < form_b: all pairs of different forms of one work within the smaller of their radii.
+def cells(points: DataFrame, cell_items: int = 8, fan: int = 4) -> DataFrame:
+    """``points`` (work_id, form, r) spread over cells: work_id, cell, form, r, home. Writes a table per level.
 
-    ``full``: work_id, form (distinct). A form's home is its nearest pivot's cell; it is copied to
-    every cell whose pivot is at most 2 radii farther. Home forms meet the copies in their cell.
+    The first cell of a form is its work and script. Every cell of more than ``cell_items`` home forms draws ``fan``
+    pivots from its own forms (those of least hash in ``fan`` hash classes); a home form moves to the cell of its
+    nearest pivot, and every form is copied to each cell whose pivot is at most twice its radius farther than its
+    nearest. By the triangle inequality each pair within the smaller radius still meets in the home cell of either.
+    The number of pivots so grows with the work. A cell whose forms cannot be told apart stays as it is.
     """
-    pv = pivots(full, count)
-    if not pv:
-        return full.where("false").select("work_id", F.col("form").alias("form_a"), F.col("form").alias("form_b"))
-    reach = 2
-    at = full.withColumn("r", radius(F.col("form"))).where("r > 0").withColumn("d", F.transform(F.array(*[F.lit(p) for p in pv]), lambda p: F.when(F.substring(p, 1, 2) == F.substring("form", 1, 2), F.levenshtein(F.col("form"), p))))
-    at = at.withColumn("home", F.array_min("d"))
-    spots = at.select("work_id", "form", "r", "home", F.posexplode("d").alias("cell", "dist")).where(F.col("dist") <= F.col("home") + 2 * reach)
-    home = spots.where(F.col("dist") == F.col("home")).select("work_id", "cell", F.col("form").alias("x"), F.col("r").alias("rx"), F.col("dist").alias("dx"), F.length("form").alias("lx"))
-    copies = spots.select("work_id", "cell", F.col("form").alias("y"), F.col("r").alias("ry"), F.col("dist").alias("dy"), F.length("form").alias("ly"))
+    at = cut(points.select("work_id", F.xxhash64(F.substring("form", 1, 2)).alias("cell"), "form", "r", F.lit(True).alias("home"), F.lit(None).cast("bigint").alias("above")), "cells")
+    level = 0
+    while True:
+        level += 1
+        size = at.where("home").groupBy("work_id", "cell").agg(F.count("*").alias("n"), F.max("above").alias("above"))
+        big = size.where((F.col("n") > cell_items) & (F.col("above").isNull() | (F.col("n") < 0.9 * F.col("above")))).select("work_id", "cell", "n")
+        h = F.xxhash64("form", F.lit(level))
+        drawn = at.where("home").join(big, ["work_id", "cell"]).groupBy("work_id", "cell", "n", F.pmod(h, F.lit(fan)).alias("k")).agg(F.min(F.struct(h.alias("h"), "form")).getField("form").alias("pivot"))
+        pivots = cut(drawn.groupBy("work_id", "cell", "n").agg(F.sort_array(F.collect_list("pivot")).alias("pivots")), "pivots")
+        if pivots.limit(1).count() == 0:
+            release(pivots)
+            return at
+        dist = at.join(pivots, ["work_id", "cell"]).withColumn("d", F.transform("pivots", lambda p: F.levenshtein(F.col("form"), p))).withColumn("least", F.array_min("d"))
+        spots = dist.select("work_id", "cell", "form", "r", "home", "n", F.posexplode("d").alias("i", "far"), "least", (F.array_position("d", F.col("least")) - 1).alias("own"))
+        moved = spots.where(F.col("far") <= F.col("least") + 2 * F.col("r")).select("work_id", F.xxhash64("cell", "i").alias("cell"), "form", "r", (F.col("home") & (F.col("i") == F.col("own"))).alias("home"), F.col("n").alias("above"))
+        new = cut(at.join(pivots.select("work_id", "cell"), ["work_id", "cell"], "left_anti").unionByName(moved), "cells")
+        release(at)
+        release(pivots)
+        at = new
+
+
+def _word_by_word(x: F.Column, y: F.Column) -> F.Column:
+    """Whether no short word differs by two edits, where both forms have as many words."""
+    letters = lambda w: F.array_sort(F.split(w, ""))
+    near = lambda a, b: (F.least(F.length(a), F.length(b)) >= 5) | (F.levenshtein(a, b) <= 1) | (letters(a) == letters(b))
+    a, b = F.split(F.substr(x, F.lit(3)), " "), F.split(F.substr(y, F.lit(3)), " ")
+    return (F.size(a) != F.size(b)) | F.forall(F.zip_with(a, b, near), lambda ok: ok)
+
+
+def radius_join(full: DataFrame, cell_items: int = 8, fan: int = 4) -> DataFrame:
+    """work_id, form_a < form_b: all pairs of different forms of one work within the smaller of their radii. Writes the cells.
+
+    ``full``: work_id, form (distinct). Home forms meet all forms of their cell, and the edit distance itself decides. Two
+    edits in one word of under five letters make another word, unless its letters only changed places.
+    """
+    at = cells(full.withColumn("r", radius(F.col("form"))).where("r > 0"), cell_items, fan)
+    x = at.where("home").select("work_id", "cell", F.col("form").alias("x"), F.col("r").alias("rx"))
+    y = at.select("work_id", "cell", F.col("form").alias("y"), F.col("r").alias("ry"), F.col("home").alias("yh"))
     r = F.least("rx", "ry")
-    close = home.join(copies, ["work_id", "cell"]).where((F.col("x") != F.col("y")) & (F.abs(F.col("lx") - F.col("ly")) <= r) & (F.abs(F.col("dx") - F.col("dy")) <= r))
-    close = close.where(F.levenshtein(F.col("x"), F.col("y")) <= r)
+    met = x.join(y, ["work_id", "cell"]).where((F.col("x") < F.col("y")) | ((F.col("x") > F.col("y")) & ~F.col("yh"))).where(F.abs(F.length("x") - F.length("y")) <= r)
+    close = met.where(F.levenshtein(F.col("x"), F.col("y"), 2).between(0, r)).where(_word_by_word(F.col("x"), F.col("y")))
     return close.select("work_id", F.least("x", "y").alias("form_a"), F.greatest("x", "y").alias("form_b")).distinct()
 
 
-def classes(held: DataFrame, rounds: int = 25) -> DataFrame:
-    """id, label: connected classes of ids that share a form. ``held``: id, work_id, form. Writes a small table per round."""
-    held = cut(held.select("id", F.concat_ws("\x1f", "work_id", "form").alias("node")).distinct(), "held")
-    labels = cut(held.select("id").distinct().withColumn("label", F.col("id")), "labels")
-    for _ in range(rounds):
-        low = held.join(labels, "id").groupBy("node").agg(F.min("label").alias("low"))
-        step = held.join(low, "node").groupBy("id").agg(F.min("low").alias("low"))
-        moved = labels.join(step, "id").select("id", F.least("label", "low").alias("to"), "label")
-        # follow the label once more, which halves the number of rounds on chains
-        hop = moved.join(moved.select(F.col("id").alias("to"), F.col("to").alias("next")), "to", "left")
-        new = cut(hop.select("id", F.least(F.col("to"), F.coalesce("next", "to")).alias("label"), F.col("label").alias("old")), "labels")
-        done = new.where("label <> old").limit(1).count() == 0
-        release(labels)
-        labels = new
-        if done:
-            break
-    return labels.select("id", "label")
+def classes(held: DataFrame) -> DataFrame:
+    """id, label: connected classes of ids that share a form; the label is the least id. ``held``: id, work_id, form.
+
+    Every form is a star around its least id; the stars are contracted until no edge is left, however many rounds that
+    takes. In a round each end of an edge hooks onto the id of least hash within two steps, and on to where that one
+    hooks; hashes only fall, so no circle arises, a star ends in one round and chains shrink by a constant share.
+    Writes the hooks and the edges of each round.
+    """
+    nodes = held.select("id", "work_id", "form").distinct()
+    hub = nodes.groupBy("work_id", "form").agg(F.min("id").alias("hub"))
+    edges = cut(nodes.join(hub, ["work_id", "form"]).where(F.col("id") != F.col("hub")).select(F.col("id").alias("u"), F.col("hub").alias("v")).distinct(), "edges")
+    label = held.select("id").distinct().withColumn("label", F.col("id"))
+    steps: list[DataFrame] = []
+    while edges.limit(1).count():
+        salt = F.lit(len(steps))
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        mark = lambda c: F.struct(F.xxhash64(c, salt).alias("h"), F.col(c).alias("to"))
+        near = both.groupBy("u").agg(F.min(mark("v")).alias("m")).select("u", F.least(mark("u"), "m").alias("m"))
+        second = both.join(near, "u").groupBy("v").agg(F.min("m").getField("to").alias("to")).withColumnRenamed("v", "u")
+        hook = cut(second, "hooks")
+        to = hook.join(hook.select(F.col("u").alias("to"), F.col("to").alias("next")), "to").select("u", F.col("next").alias("to"))
+        left = edges.join(to.withColumnRenamed("to", "a"), "u").join(to.select(F.col("u").alias("v"), F.col("to").alias("b")), "v").where(F.col("a") != F.col("b"))
+        new = cut(left.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct(), "edges")
+        label = label.join(to.select(F.col("u").alias("label"), "to"), "label", "left").select("id", F.coalesce("to", "label").alias("label"))
+        steps.append(hook)
+        release(edges)
+        edges = new
+    release(edges)
+    if not steps:
+        return label
+    label = cut(label, "labels")
+    for hook in steps:
+        release(hook)
+    least = label.groupBy("label").agg(F.min("id").alias("least"))
+    return label.join(least, "label").select("id", F.col("least").alias("label"))
 
 
 def linked(entities: DataFrame) -> DataFrame:
@@ -539,7 +602,8 @@ def linked(entities: DataFrame) -> DataFrame:
 
 
 def pairs(classed: DataFrame) -> DataFrame:
-    """entity_id_a < entity_id_b of one work and class."""
+    """entity_id_a < entity_id_b of one work and class. Writes the classes."""
+    classed = cut(classed, "members")
     a = classed.select("work_id", "label", F.col("id").alias("entity_id_a"))
     b = classed.select("work_id", "label", F.col("id").alias("entity_id_b"))
     return a.join(b, ["work_id", "label"]).where(F.col("entity_id_a") < F.col("entity_id_b")).select("entity_id_a", "entity_id_b")

@@ -26,15 +26,21 @@ def classes(spark, items):
     return sorted(map(sorted, (v for v in out.values() if len(v) > 1)))
 
 
+def taught(*pairs):
+    """Entities of other works that hold both spellings, as a corpus would."""
+    return [(f"t{i}-{k}", f"{a} {x}", kind, [f"{b} {x}"]) for i, (a, b, kind) in enumerate(pairs) for k, x in enumerate(("Zarrow", "Quimby", "Feldstrom"))]
+
+
 def test_variants_of_one_person(spark):
     items = [("w", x, "person") for x in ("Margaret Thöanvic", "margaret thoeanvic", "Thöanvic, Margaret", "Peggy Thöanvic", "Margaret  B. Thöanvic", "Margaet Thöanvic", "M. Thöanvic", "Dr. Thöanvic", "MARGARET THÖANVIC")]
-    assert classes(spark, [*items, ("w", "Henrik Corfenwell", "person"), ("v", "Margaret Thöanvic", "person")]) == [[f"e{i:02d}" for i in range(9)]]
+    assert classes(spark, [*items, ("w", "Henrik Corfenwell", "person"), ("v", "Margaret Thöanvic", "person"), *taught(("Margaret", "Peggy", "person"))]) == [[f"e{i:02d}" for i in range(9)]]
 
 
 def test_organisations(spark):
     items = [("w", x, "org") for x in ("Wyngaport Lantern Trust", "W.L.T.", "WLT", "Trust of Wyngaport Lantern", "The Wyngaport Lantern Trust Ltd", "Wyngaport-Lantern Tr.", "Wyngapoort Lantern Trust")]
     items += [("w", x, "org") for x in ("望海仓储公司", "望仓", "望海仓储", "仓储公司（望海）", "望海 仓储公司总部", "望海仓储有限公司")]
-    assert classes(spark, items) == [[f"e{i:02d}" for i in range(7)], [f"e{i:02d}" for i in range(7, 13)]]
+    taught_words = [(f"t{k}", f"{x} Trust", "org", [f"{x} Tr."]) for k, x in enumerate(("Zarrow Lamp", "Quimby Sail", "Feldstrom Rope"))]
+    assert classes(spark, [*items, *taught_words]) == [[f"e{i:02d}" for i in range(7)], [f"e{i:02d}" for i in range(7, 13)]]
 
 
 def test_scripts_without_case(spark):
@@ -55,8 +61,7 @@ def test_what_must_stay_apart(spark):
 
 
 def test_generic_aliases_link_nobody(spark):
-    items = [("w", "Ann Marwick", "person", ["the captain", None]), ("w", "Zoë Quilling", "person", ["the captain"])]
-    items += [(f"w{i}", f"{c}xx Yyyy", "person", ["skipper of all"]) for i, c in enumerate("ABCDEFGH")] + [("v", "Qaa Bbb", "person", ["skipper of all"]), ("v", "Raa Ccc", "person", ["skipper of all"])]
+    items = [(f"w{i}", f"{c}xx Yyyy", "person", ["skipper of all"]) for i, c in enumerate("ABCDEFGH")] + [("v", "Qaa Bbb", "person", ["skipper of all"]), ("v", "Raa Ccc", "person", ["skipper of all"])]
     assert classes(spark, items) == []
 
 
@@ -73,10 +78,25 @@ words = st.text(alphabet="abc", min_size=7, max_size=12)
 @given(st.lists(words, min_size=3, max_size=25, unique=True))
 def test_radius_join_is_exact(spark, forms):
     df = spark.createDataFrame([("w", "L:" + f) for f in forms], "work_id string, form string")
-    got = {(r.form_a, r.form_b) for r in n.radius_join(df, count=4).collect()}
+    got = {(r.form_a, r.form_b) for r in n.radius_join(df, cell_items=3, fan=2).collect()}
     reach = {"L:" + f: 2 if len(f) >= 10 else 1 for f in forms}
     want = {tuple(sorted((a, b))) for a in reach for b in reach if a != b and n.distance(a, b) <= min(reach[a], reach[b])}
     assert got == want
+    one_cell = {(r.form_a, r.form_b) for r in n.radius_join(df, cell_items=10**6).collect()}
+    assert one_cell == want
+
+
+def test_a_hot_work_is_split_and_what_cannot_be_told_apart_ends(spark):
+    forms = [("w", f"L:{a}{b}{c} harborough {d}ine") for a in "abcdefg" for b in "mnop" for c in "xyz" for d in "rst"]
+    df = spark.createDataFrame(forms, "work_id string, form string").withColumn("r", n.radius(F.col("form")))
+    at = n.cells(df, cell_items=20, fan=4)
+    assert at.where("home").count() == len(forms) and at.where("home").select("form").distinct().count() == len(forms)
+    assert at.select("cell").distinct().count() > 4
+
+
+def test_short_words_replaced_whole_stay_apart(spark):
+    df = spark.createDataFrame([("w", "L:belbestad bob"), ("w", "L:belbestad zoe"), ("w", "L:belbestad jhon"), ("w", "L:belbestad john"), ("w", "L:harbour rivre"), ("w", "L:harbour river")], "work_id string, form string")
+    assert sorted(tuple(r)[1:] for r in n.radius_join(df).collect()) == [("L:belbestad jhon", "L:belbestad john"), ("L:harbour river", "L:harbour rivre")]
 
 
 @given(words, words, words)
