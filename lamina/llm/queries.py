@@ -69,6 +69,12 @@ def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fills(packing.containers(table(spark, sf_dir, "documents")))
 
 
+@query("p7_search")
+def p7_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers before and after the search, per shard, beside the bound."""
+    return packing.search_report(packing.sized(table(spark, sf_dir, "documents")))
+
+
 @query("p8_drawn")
 def p8_drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.draw(mixing.supply(table(spark, sf_dir, "documents")), table(spark, sf_dir, "mix_targets"))

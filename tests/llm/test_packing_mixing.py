@@ -25,7 +25,7 @@ def test_no_container_overflows_and_none_is_lost(sizes):
 
 def test_local_search_empties_containers():
     sizes = [6, 4, 4, 6, 5, 5]
-    bins = p.improve(sizes, [0, 0, 1, 1, 2, 3], 10, slack=0.0)
+    bins = p.improve(sizes, [0, 0, 1, 1, 2, 3], 10)
     assert len(set(bins)) == 3
     before = [30, 30, 20, 20, 50, 50]
     start = [0, 1, 1, 2, 3, 4]
@@ -39,6 +39,41 @@ def test_fill_is_close_to_the_bound():
     assert len(set(p.fill_shard(sizes, 2048))) <= sum(sizes) / 2048 * 1.02 + 1
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 30), max_size=60), st.randoms())
+def test_search_ends_and_never_lowers_the_squared_fill(sizes, rng):
+    start, used = [], []
+    for size in sizes:  # any valid start
+        k = rng.randrange(len(used) + 1)
+        if k == len(used) or used[k] + size > 30:
+            k = len(used)
+            used.append(0)
+        used[k] += size
+        start.append(k)
+    bins = p.improve(sizes, start, 30)
+    fill = {}
+    for size, b in zip(sizes, bins):
+        fill[b] = fill.get(b, 0) + size
+    assert all(f <= 30 for f in fill.values()) and sum(f * f for f in fill.values()) >= sum(f * f for f in used) and len(fill) <= len(used)
+    # no single move to a fuller container is left
+    for i, size in enumerate(sizes):
+        assert not any(b != bins[i] and fill[b] >= fill[bins[i]] and fill[b] + size <= 30 for b in fill)
+
+
+def test_search_fills_what_best_fit_leaves():
+    rng = random.Random(3)
+    sizes = [rng.randint(500, 749) for _ in range(3000)]
+    assert len(set(p.fill_shard(sizes, 2048))) < len(set(p.best_fit(sizes, 2048)))
+    many = [rng.randint(1, 1500) for _ in range(3000)]
+    bound, start = -(-sum(many) // 2048), p.next_fit(many, 2048)
+    assert len(set(p.improve(many, start, 2048))) <= bound * 1.005 < 1.2 * bound < len(set(start))
+
+
+def test_search_report(spark):
+    rows = [tuple(r) for r in p.search_report(spark.createDataFrame([(i, 300 + i % 700) for i in range(500)], "doc_id long, tokens long")).collect()]
+    assert len(rows) == 1 and rows[0][1] == 500 and rows[0][2] <= rows[0][5] <= min(rows[0][3:5])
+
+
 def test_pack(spark):
     rows = [(1, 5000, 9), (2, 2048, 9), (3, 2049, 9), (4, 0, 9), (5, None, 9), (None, 7, 9), (6, 100, 9), (6, 100, 9)]
     got = p.pack(spark.createDataFrame(rows, "doc_id long, tokens long, item int")).collect()
