@@ -189,17 +189,32 @@ class _Search:
         self.exchanges += 1
         return True
 
+    def move(self, target: int) -> bool:
+        """Only take the largest item that fits."""
+        there = np.flatnonzero(self.count)
+        k = int(np.searchsorted(there, self.capacity - self.fill[target], side="right"))
+        return k > 0 and self.exchange(target, 0, int(there[k - 1]), 0)
+
     def run(self) -> list[int]:
         before = -1
         while self.exchanges != before:
             before = self.exchanges
             self.reopen()
+            done, level = [], self.capacity  # handled, and as full as the next: they may still give to it
             for target in sorted(self.open, key=lambda b: (-self.fill[b], b)):
                 if target not in self.open:
                     continue
+                if self.fill[target] < level:
+                    for b in done:
+                        if b in self.open and self.fill[b] > self.fill[target]:
+                            self.leave(b)
+                    done, level = [], self.fill[target]
                 self.leave(target)
-                while (found := self.best(target)) and self.exchange(target, *found):
+                while (found := self.best(target)) and (self.exchange(target, *found) or self.move(target)):
                     pass
+                if self.fill[target] < self.capacity:
+                    self.enter(target)
+                    done.append(target)
         return self.bins
 
 
