@@ -5,13 +5,19 @@ goes on in lower case or with a figure is an abbreviation, one that is also writ
 stop is a word; a capitalised word that also occurs in lower case is a common word, one that
 occurs capitalised in mid-sentence is a name; a word that follows figures with a stop is a month; a
 Thai chunk behind a short opening chunk is a family name. The evidence is summed per document and,
-as fallback, over the corpus. Each block then gets just the evidence for its own ambiguous tokens
-(equi-joins on document and token, so no document is gathered in one task) and is cut by rules for
-its script: full stops in Latin script, the danda, ideographic stops, and spaces in Thai.
+as fallback, over the corpus; what follows from sums is decided on the sums, so the result does not
+depend on how rows are spread. No list of abbreviations is built in. Each block then gets just the
+evidence for its own ambiguous tokens (equi-joins on document and token, so no document is gathered
+in one task) and is cut by rules for its script: full stops in Latin script, the danda, ideographic
+stops, and spaces in Thai.
 
 Quotations and brackets are matched first. Nothing is cut inside them; a quotation keeps the clause
 that names its speaker; one that stands alone is a unit.
 
+Lengths that are rules of writing, not bounds on data: an abbreviation has at most six letters
+between stops, a clause that names a speaker at most 60 characters (24 in Han), a Thai family name is
+known by its first five characters, a name before an ellipsis that occurs nowhere else has at most 8.
+
 Defined cases: null and blank texts give no units; the current row of a block counts; null ids are
 dropped; marks without a counterpart are plain characters; text without any boundary is one unit.
 Whole texts are read.
@@ -26,14 +32,12 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import current_rows, cut
 
-#: Abbreviations known without any evidence, and those among them that may end a sentence. Fixed values.
-KNOWN = frozenset("Dr Mr Mrs Ms Prof Capt St Hr Fr No Nr Vol Fig fig Sec sec Art art p pp cf approx ca e.g i.e etc usw bzw vgl Abs a.m p.m".split())
-ENDERS = frozenset("etc usw a.m p.m".split())
 #: Verbs that name a speaker, by script. Fixed values.
 SAID_HAN = "说完|说道|问道|喊道|答道|回答|低声说|说|问|喊|叫|道|答|說|問"
 SAID_DEVA = "पूछा|कहा|बोला|बोली"
@@ -55,6 +59,9 @@ _MONTH = re.compile(r"(?<!\d)\d{1,2}\.\s+([A-ZÄÖÜ]\w+)")
 _MID = re.compile(r"[a-zß-öø-ÿ,;]\s+([A-ZÀ-ÖØ-Þ][\w'’-]*)")
 _THAI = re.compile(r"[\u0e00-\u0e7f]")
 _THAI_OPEN = re.compile(r"\A\s*([฀-๿]{2,8}) ([฀-๿]{4,})")
+_SAYS_HAN = re.compile(rf"[^，。！？：；…\s「『“”』」]{{1,24}}?(?:{SAID_HAN})(?=[，。！？…．]|\Z)")
+_SAYS_DEVA = re.compile(rf"[^।॥?!\",]{{1,60}}(?:{SAID_DEVA})\s*[।॥?!]")
+_SAYS_LATIN = re.compile(rf"[^.!?\"“„]{{1,60}}\s(?:{SAID_LATIN})\s*[.!?]")
 
 
 def script(c: str) -> str:
@@ -124,13 +131,11 @@ class Evidence:
         low, cap, plain, _ = self.corpus.get("w:" + w, (0, 0, 0, 0))
         if len(w) <= 6 and low + cap >= 3 and (low or w[:1].isupper()):
             return plain * 20 <= low + cap
-        return w in KNOWN
+        return False
 
     def ender(self, w: str) -> bool:
         low, cap, plain, common = self.corpus.get("w:" + w, (0, 0, 0, 0))
-        if low + cap >= 5:
-            return common * 5 >= low + cap
-        return w in ENDERS
+        return low + cap >= 5 and common * 5 >= low + cap
 
     def common(self, x: str) -> bool:
         if len(x) < 2:
@@ -205,8 +210,6 @@ def _full_stop(text: str, i: int, k: int, pos: int, ev: Evidence) -> bool:
         return ev.common(x) and not (len(w) == 1 and w.isupper()) or ev.ender(w)
     if nxt.islower() and not mixed(x):
         return False
-    if nxt.isdigit() and w in KNOWN:
-        return False
     return True
 
 
@@ -454,59 +457,89 @@ def hesitant(text: str) -> list[str]:
     return sorted({m[1] for m in _HESITANT.finditer(text)})
 
 
-def _corpus_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = ["whole", "doc", "token", "a", "b", "c", "d"]
-    total: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
-    pairs: Counter = Counter()
+FACTS = "kind string, id string, doc string, token string, other string, a bigint, b bigint, c bigint, d bigint"
 
-    def flush() -> pd.DataFrame:
-        for (w, x), k in pairs.items():
-            if total.get("x:" + x, (0, 0))[0] > total.get("x:" + x, (0, 0))[1]:
-                total["w:" + w][3] += k
-        rows = [(True, "", t, *v) for t, v in total.items()]
-        total.clear()
-        pairs.clear()
-        return pd.DataFrame(rows, columns=names)
-
-    for pdf in batches:
-        own: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0, 0, 0])
-        for doc, text in zip(pdf["doc_id"], pdf["text"]):
-            ev, pr = block_evidence(text)
-            pairs.update(pr)
-            for k, v in ev.items():
-                for t in (total[k], own[doc, k]) if doc is not None and k[0] in "wx" else (total[k],):
-                    for j in range(4):
-                        t[j] += v[j]
-        yield pd.DataFrame([(False, *k, *v) for k, v in own.items()], columns=names)
-        if len(total) > 300_000:
-            yield flush()
-    yield flush()
 
+def facts(blocks: DataFrame) -> DataFrame:
+    """What one pass over the texts yields, as rows of kind
 
-def evidence(blocks: DataFrame, need: DataFrame) -> DataFrame:
-    """whole (the corpus; doc is then empty), doc, token and four counts over all blocks of the document or the corpus.
+    corpus: counts of a token, summed per batch; doc: the same per document; pair: token with a stop and the
+    capitalised word behind it (other), with their number; need: a token of a block on which a cut depends; chunk: one
+    before an ellipsis. ``blocks``: id, doc_id, text.
+    """
 
-    ``blocks``: doc_id, text. ``need``: doc_id, token. Only documents and tokens in ``need`` are returned, so what
-    no cut of a document depends on ends here; the sums come first and share the keys of the join.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
+            own: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0, 0, 0])
+            pairs: Counter = Counter()
+            kind, ids, docs, tokens, other, n = [], [], [], [], [], []
+            for ident, doc, text in zip(batch.column("id").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                ev, pr = block_evidence(text)
+                pairs.update(pr)
+                for k, v in ev.items():
+                    t = whole[k]
+                    for j in range(4):
+                        t[j] += v[j]
+                    if doc is not None and k[0] in "wx":
+                        t = own[doc, k]
+                        for j in range(4):
+                            t[j] += v[j]
+                for k, found in (("need", needs(text)), ("chunk", hesitant(text) if "…" in text or "..." in text else ())):
+                    for token in found:
+                        kind.append(k)
+                        ids.append(ident)
+                        docs.append(doc)
+                        tokens.append(token)
+            other += [None] * len(kind)
+            n += [(0, 0, 0, 0)] * len(kind)
+            for k, rows in (("corpus", [(None, t, None, v) for t, v in whole.items()]), ("doc", [(d, t, None, v) for (d, t), v in own.items()]), ("pair", [(None, w, x, (m, 0, 0, 0)) for (w, x), m in pairs.items()])):
+                kind += [k] * len(rows)
+                ids += [None] * len(rows)
+                docs += [r[0] for r in rows]
+                tokens += [r[1] for r in rows]
+                other += [r[2] for r in rows]
+                n += [r[3] for r in rows]
+            counts = list(zip(*n)) if n else [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([*[pa.array(x, pa.string()) for x in (kind, ids, docs, tokens, other)], *[pa.array(x, pa.int64()) for x in counts]], names=["kind", "id", "doc", "token", "other", "a", "b", "c", "d"])
+
+    return blocks.where(F.col("text").isNotNull()).select(F.col("id").cast("string").alias("id"), "doc_id", "text").mapInArrow(run, FACTS)
+
+
+def _sums(df: DataFrame, *keys: str) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.sum(x).alias(x) for x in "abcd"])
+
+
+def document_evidence(found: DataFrame, need: DataFrame) -> DataFrame:
+    """doc, token and four counts over all blocks of the document, for the documents and tokens in ``need`` (doc, token). ``found``: from :func:`facts`."""
+    return _sums(found.where("kind = 'doc'"), "doc", "token").join(need.where("doc is not null").select("doc", "token").distinct(), ["doc", "token"], "left_semi")
+
+
+def corpus_evidence(found: DataFrame, need: DataFrame) -> DataFrame:
+    """token and four counts over the corpus, for the tokens in ``need``; the fourth of a word with a stop says how often a common word follows.
+
+    What is common is decided on the summed counts, so the result does not depend on how the blocks are spread. Writes the sums.
     """
-    raw = blocks.where(F.col("text").isNotNull()).select("doc_id", "text").mapInPandas(_corpus_rows, "whole boolean, doc string, token string, a bigint, b bigint, c bigint, d bigint")
-    both = F.explode(F.array(F.struct(F.lit(True).alias("whole"), F.lit("").alias("doc")), F.struct(F.lit(False).alias("whole"), F.col("doc_id").alias("doc"))))
-    keys = need.select(both.alias("k"), "token").select("k.whole", "k.doc", "token").where("doc is not null").distinct()
-    return raw.groupBy("whole", "doc", "token").agg(*[F.sum(x).alias(x) for x in "abcd"]).join(keys, ["whole", "doc", "token"], "left_semi")
+    total = cut(_sums(found.where("kind = 'corpus'"), "token").drop("d"), "tokens")
+    common = total.where("token like 'x:%' and a > b").select(F.substr("token", F.lit(3)).alias("other"))
+    follows = found.where("kind = 'pair'").groupBy("token", "other").agg(F.sum("a").alias("n")).join(common, "other", "left_semi").groupBy("token").agg(F.sum("n").alias("n"))
+    starts = _sums(found.where("kind = 'corpus' and token like 'x:%'"), "token").select("token", "d")
+    fourth = follows.select(F.concat(F.lit("w:"), "token").alias("token"), F.col("n").alias("d")).unionByName(starts)
+    used = need.select("token").distinct()
+    return total.join(used, "token", "left_semi").join(fourth.join(used, "token", "left_semi"), "token", "left").select("token", "a", "b", "c", F.coalesce("d", F.lit(0)).alias("d"))
 
 
-def _names(blocks: DataFrame) -> DataFrame:
-    """doc_id, names: hesitant chunks that the same document mostly uses inside longer clauses."""
+def names_before_ellipsis(blocks: DataFrame, chunks: DataFrame, buckets: int = 32) -> DataFrame:
+    """doc, token: chunks before an ellipsis that the same document mostly uses inside longer clauses. ``chunks``: doc, token.
 
-    @F.pandas_udf("array<string>")
-    def find(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: hesitant(t) if t and ("…" in t or "..." in t) else [])
+    The chunks of a document meet its blocks in up to ``buckets`` portions, so no row carries all of a long document.
+    """
 
     @F.pandas_udf("array<struct<chunk:string,inside:int,whole:int>>")
     def count(texts: pd.Series, chunks: pd.Series) -> pd.Series:
-        def one(t: str, cs: object) -> list[tuple]:
+        def one(t: str, cs: object) -> list[dict]:
             out = []
-            for c in cs if cs is not None else ():
+            for c in cs:
                 inside = whole = 0
                 at = t.find(c)
                 while at >= 0:
@@ -521,12 +554,11 @@ def _names(blocks: DataFrame) -> DataFrame:
 
         return pd.Series([one(t, c) for t, c in zip(texts, chunks)])
 
-    found = blocks.where(F.col("text").rlike("…|\\.\\.\\.")).select("doc_id", F.explode(find("text")).alias("chunk")).distinct()
-    per_doc = found.groupBy("doc_id").agg(F.sort_array(F.collect_list("chunk")).alias("chunks"))
-    counted = blocks.join(per_doc, "doc_id").select("doc_id", F.explode(count("text", "chunks")).alias("h")).groupBy("doc_id", "h.chunk").agg(F.sum("h.inside").alias("inside"), F.sum("h.whole").alias("whole"))
+    per_doc = chunks.where("doc is not null").distinct().groupBy(F.col("doc").alias("doc_id"), F.pmod(F.xxhash64("token"), F.lit(buckets)).alias("k")).agg(F.sort_array(F.collect_list("token")).alias("chunks"))
+    counted = blocks.select("doc_id", "text").join(per_doc, "doc_id").select("doc_id", F.explode(count("text", "chunks")).alias("h")).groupBy("doc_id", "h.chunk").agg(F.sum("h.inside").alias("inside"), F.sum("h.whole").alias("whole"))
     aspect = F.col("chunk").rlike("[了着过是]")
     name = (F.col("inside") > F.col("whole")) | ((F.col("inside") == 0) & (F.col("whole") == 0) & ~aspect & (F.length("chunk") <= 8))
-    return counted.where(name).groupBy("doc_id").agg(F.sort_array(F.collect_list("chunk")).alias("names"))
+    return counted.where(name).select(F.col("doc_id").alias("doc"), F.col("chunk").alias("token"))
 
 
 def running_text(blocks: DataFrame) -> DataFrame:
@@ -538,40 +570,40 @@ def running_text(blocks: DataFrame) -> DataFrame:
 def units(blocks: DataFrame, broadcast_rows: int = 200_000) -> DataFrame:
     """block_id, unit_index, unit_start, unit_end, text of every sentence unit.
 
-    ``blocks``: id, doc_id, kind, text. Writes two intermediate tables. Corpus evidence is broadcast
-    only while it has at most ``broadcast_rows`` rows; beyond that it is joined like any table.
+    ``blocks``: id, doc_id, kind, text. The texts are read twice in Python: for the facts and for the cuts (a third time
+    in documents with words before an ellipsis). Writes blocks, facts and evidence. Corpus evidence is broadcast only
+    while it has at most ``broadcast_rows`` rows; beyond that it is joined like any table.
     """
     blocks = cut(blocks, "blocks")
-
-    @F.pandas_udf("array<string>")
-    def wanted(texts: pd.Series) -> pd.Series:
-        return texts.map(needs)
-
-    need = blocks.select("id", "doc_id", F.explode(wanted("text")).alias("token"))
-    ev = cut(evidence(blocks, need), "evidence")
-    corpus = ev.where("whole").select("token", F.struct(*"abcd").alias("corpus"))
-    doc = ev.where("not whole").select(F.col("doc").alias("doc_id"), "token", F.struct(*"abcd").alias("own"))
-    if corpus.count() <= broadcast_rows:
-        corpus = F.broadcast(corpus)
-    known = need.join(doc, ["doc_id", "token"], "left").join(corpus, "token", "left").groupBy("id").agg(F.collect_list(F.struct("token", "own", "corpus")).alias("known"))
-    rows = blocks.join(known, "id", "left").join(_names(blocks), "doc_id", "left")
+    found = cut(facts(blocks), "facts")
+    need = found.where("kind = 'need'").select("id", "doc", "token")
+    chunks = found.where("kind = 'chunk'").select("id", "doc", "token")
+    corpus = cut(corpus_evidence(found, need), "evidence")
+    small = corpus.count() <= broadcast_rows
+    corpus = corpus.select("token", F.struct(*"abcd").alias("corpus"))
+    doc = document_evidence(found, need).select("doc", "token", F.struct(*"abcd").alias("own"))
+    known = need.join(doc, ["doc", "token"], "left").join(F.broadcast(corpus) if small else corpus, "token", "left").select("id", "token", "own", "corpus")
+    names = chunks.join(names_before_ellipsis(blocks, chunks), ["doc", "token"], "left_semi").select("id", F.concat(F.lit("n:"), "token").alias("token"))
+    known = known.unionByName(names, allowMissingColumns=True).groupBy("id").agg(F.collect_list(F.struct("token", "own", "corpus")).alias("known"))
+    rows = blocks.withColumn("_id", F.col("id").cast("string")).join(known.withColumnRenamed("id", "_id"), "_id", "left")
 
     @F.pandas_udf("array<struct<s:int,e:int>>")
-    def split(text: pd.Series, kind: pd.Series, known: pd.Series, names: pd.Series) -> pd.Series:
-        def stat(x: object) -> tuple | None:
-            return None if x is None else (x["a"] or 0, x["b"] or 0, x["c"] or 0, x["d"] or 0)
+    def split(text: pd.Series, kind: pd.Series, known: pd.Series) -> pd.Series:
+        def stat(x: dict) -> tuple:
+            return (x["a"] or 0, x["b"] or 0, x["c"] or 0, x["d"] or 0)
 
         out = []
-        for t, k, kn, nm in zip(text, kind, known, names):
-            own, corp = {}, {}
+        for t, k, kn in zip(text, kind, known):
+            own, corp, names = {}, {}, set()
             for x in kn if kn is not None else ():
-                if (v := stat(x["own"])) is not None:
-                    own[x["token"]] = v
-                if (v := stat(x["corpus"])) is not None:
-                    corp[x["token"]] = v
-            found = spans(t, Evidence(own, corp, set(nm) if nm is not None else set()), k == "quote")
-            out.append([{"s": a, "e": b} for a, b in found])
+                if x["token"].startswith("n:"):
+                    names.add(x["token"][2:])
+                if x["own"] is not None:
+                    own[x["token"]] = stat(x["own"])
+                if x["corpus"] is not None:
+                    corp[x["token"]] = stat(x["corpus"])
+            out.append([{"s": a, "e": b} for a, b in spans(t, Evidence(own, corp, names), k == "quote")])
         return pd.Series(out)
 
-    cutted = rows.select(F.col("id").alias("block_id"), "text", F.posexplode(split("text", "kind", "known", "names")).alias("unit_index", "u"))
+    cutted = rows.select(F.col("id").alias("block_id"), "text", F.posexplode(split("text", "kind", "known")).alias("unit_index", "u"))
     return cutted.select("block_id", "unit_index", F.col("u.s").alias("unit_start"), F.col("u.e").alias("unit_end"), F.substring("text", F.col("u.s") + 1, F.col("u.e") - F.col("u.s")).alias("text"))

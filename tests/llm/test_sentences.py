@@ -8,7 +8,7 @@ from lamina.llm import sentences as s
 
 EV = s.Evidence(
     {},
-    {"x:The": (50, 0, 0, 99), "x:Die": (50, 0, 0, 99), "x:Mai": (0, 0, 9, 10), "w:Dr": (0, 30, 0, 0), "w:etc": (4, 40, 0, 30), "w:usw": (0, 40, 0, 20), "w:rain": (0, 9, 90, 9), "s:แก้วน": (9, 0, 0, 0)},
+    {"x:The": (50, 0, 0, 99), "x:Die": (50, 0, 0, 99), "x:Mai": (0, 0, 9, 10), "w:Dr": (0, 30, 0, 0), "w:p.m": (9, 9, 0, 9), **{f"w:{w}": (30, 9, 0, 0) for w in ("No", "sec", "cf", "fig", "Nr", "Art", "Vol")}, "w:etc": (4, 40, 0, 30), "w:usw": (0, 40, 0, 20), "w:rain": (0, 9, 90, 9), "s:แก้วน": (9, 0, 0, 0)},
     {"林雯"},
 )
 
@@ -67,10 +67,10 @@ def test_units_are_ordered_trimmed_and_cover_the_text(t, quote):
 def test_table(spark):
     schema = "id string, doc_id string, block_type string, text_slice string, loaded_at timestamp, token string, names int"
     d = dt.datetime
-    rows = [("a", "d", "paragraph", "Mr. Lee came. Mr. Ann left.", d(2025, 1, 1), "x", 1), ("a", "d", "paragraph", "old. text.", d(2024, 1, 1), "x", 1), ("b", None, "quote", "> One. Two.", d(2025, 1, 1), "x", 1), ("c", "d", "table", "| a. |", d(2025, 1, 1), "x", 1), ("d", "d", "paragraph", None, d(2025, 1, 1), "x", 1), ("e", "d", "paragraph", " ", d(2025, 1, 1), "x", 1), (None, "d", "paragraph", "x.", d(2025, 1, 1), "x", 1), ("b", None, "quote", "> One. Two.", d(2025, 1, 1), "x", 1)]
+    rows = [("a", "d", "paragraph", "Mr. Lee came. Mr. 7 came, Mr. 8 left.", d(2025, 1, 1), "x", 1), ("a", "d", "paragraph", "old. text.", d(2024, 1, 1), "x", 1), ("b", None, "quote", "> One. Two.", d(2025, 1, 1), "x", 1), ("c", "d", "table", "| a. |", d(2025, 1, 1), "x", 1), ("d", "d", "paragraph", None, d(2025, 1, 1), "x", 1), ("e", "d", "paragraph", " ", d(2025, 1, 1), "x", 1), (None, "d", "paragraph", "x.", d(2025, 1, 1), "x", 1), ("b", None, "quote", "> One. Two.", d(2025, 1, 1), "x", 1)]
     blocks = spark.createDataFrame(rows, schema)
     got = sorted((r.block_id, r.text) for r in s.units(s.running_text(blocks)).collect())
-    assert got == [("a", "Mr. Ann left."), ("a", "Mr. Lee came."), ("b", "One."), ("b", "Two.")]
+    assert got == [("a", "Mr. 7 came, Mr. 8 left."), ("a", "Mr. Lee came."), ("b", "One."), ("b", "Two.")]
     assert s.units(s.running_text(blocks.limit(0))).count() == 0
 
 
@@ -87,10 +87,24 @@ def test_evidence_of_a_document_spans_its_blocks(spark):
     blocks += [("a2", "a", "One qx. The Qx fell while it rained and while all slept.")]
     blocks += [(f"b{i}", f"b{i}", "Then, While came. See Qx. 3 and Qx. 4.") for i in range(15)]
     df = spark.createDataFrame([(i, d, "paragraph", t) for i, d, t in blocks], "id string, doc_id string, kind string, text string")
-    need = spark.createDataFrame([("a", "w:Qx"), ("a", "x:While"), ("b0", "w:Qx"), (None, "w:Zed")], "doc_id string, token string")
-    got = {(r.whole, r.doc, r.token): (r.a, r.b, r.c) for r in s.evidence(df, need).collect()}
-    assert got[False, "a", "w:Qx"] == (0, 1, 1) and got[False, "a", "x:While"][:2] == (2, 1) and got[False, "b0", "w:Qx"] == (2, 0, 0)
-    assert got[True, "", "w:Qx"] == (30, 1, 1) and set(got) == {(False, "a", "w:Qx"), (False, "a", "x:While"), (False, "b0", "w:Qx"), (True, "", "w:Qx"), (True, "", "x:While"), (True, "", "w:Zed")}
+    need = spark.createDataFrame([("a", "w:Qx"), ("a", "x:While"), ("b0", "w:Qx"), (None, "w:Zed")], "doc string, token string")
+    found = s.facts(df)
+    got = {(r.doc, r.token): (r.a, r.b, r.c) for r in s.document_evidence(found, need).collect()}
+    assert got == {("a", "w:Qx"): (0, 1, 1), ("a", "x:While"): (2, 1, 0), ("b0", "w:Qx"): (2, 0, 0)}
+    whole = {r.token: (r.a, r.b, r.c) for r in s.corpus_evidence(found, need).collect()}
+    assert whole["w:Qx"] == (30, 1, 1) and set(whole) == {"w:Qx", "x:While", "w:Zed"}
     # the corpus takes Qx for an abbreviation, the other block of the document shows that it is a word here
     found = [r.text for r in s.units(df).where("block_id = 'a1'").orderBy("unit_index").collect()]
     assert found[0] == "The Qx."
+
+
+def test_evidence_does_not_depend_on_partitions(spark):
+    # "Etc. Then" counts for Etc only if "then" is a common word, which other blocks decide
+    texts = ["They saw cats, Etc. Then rain fell.", "It fell then and only then.", "See Etc. Then all left.", "Then, Then sat.", "Etc. Then. Etc. Then. Etc. Nobody."] * 3
+    rows = [(f"b{i}", f"d{i}", "paragraph", t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id string, doc_id string, kind string, text string")
+    need = spark.createDataFrame([("d0", "w:Etc"), ("d0", "x:Then")], "doc string, token string")
+    seen = [sorted(tuple(r) for r in s.corpus_evidence(s.facts(df.repartition(k)), need).collect()) for k in (1, 7, 64)]
+    assert seen[0] == seen[1] == seen[2] and dict((r[0], r[4]) for r in seen[0])["w:Etc"] == 12
+    units = [sorted(tuple(r) for r in s.units(df.repartition(k)).select("block_id", "unit_start", "unit_end").collect()) for k in (1, 7, 64)]
+    assert units[0] == units[1] == units[2]
