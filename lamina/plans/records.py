@@ -55,30 +55,80 @@ def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphans.report(orphans.PROJECT, _frames(spark, sf_dir))
 
 
-@query("p2_found")
+# every node of every document; strings that hold an array or object are opened again, level by level
+_NODES = """
+ob as (select obj_type, obj_id, arg_max(data, loaded_at) d from objects where coalesce(obj_type, obj_id) is not null group by 1, 2),
+lvl0 as (select obj_type, obj_id, '$' as base, cast(d as json) d from ob where obj_id is not null and d is not null and json_valid(d)),
+nodes as (
+  select obj_type, obj_id, base, t.fullkey, t.type, t.value, t.atom, d from lvl0, json_tree(d) t
+  union all
+  select n.obj_type, n.obj_id, n.path, t.fullkey, t.type, t.value, t.atom, n.inner_d from (
+    select obj_type, obj_id, base || substr(fullkey, 2) path, cast(json_extract_string(d, fullkey) as json) inner_d from nodes where type = 'VARCHAR' and regexp_matches(json_extract_string(d, fullkey), '^\\s*[\\[{]') and json_valid(json_extract_string(d, fullkey))) n, json_tree(n.inner_d) t),
+node as (select obj_type, obj_id, base || substr(fullkey, 2) json_path, type, case when type = 'VARCHAR' then json_extract_string(d, fullkey) when type = 'NULL' then null else cast(value as varchar) end as value from nodes
+  where not (type = 'VARCHAR' and regexp_matches(json_extract_string(d, fullkey), '^\\s*[\\[{]') and json_valid(json_extract_string(d, fullkey))))
+"""
+
+
+def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return inlining.inline(table(spark, sf_dir, "objects"))
+
+
+@query(
+    "p2_found",
+    f"""with recursive {_NODES}, seg as (select obj_type, obj_id, regexp_replace(json_path, '\\.segment_id$', '') p, coalesce(value, '') segment_id, type from node where json_path like '%.segment_id'),
+    hash as (select distinct obj_type, obj_id, regexp_replace(json_path, '\\.quote_hash$', '') p from node where json_path like '%.quote_hash'),
+    own as (select obj_type, obj_id, regexp_replace(json_path, '\\.id$', '') p, value from node where json_path like '%.id' and type = 'VARCHAR'),
+    hit as (select s.obj_type, s.obj_id, s.p json_path, s.segment_id from seg s join hash h on h.obj_type is not distinct from s.obj_type and h.obj_id = s.obj_id and h.p = s.p where s.type <> 'NULL')
+    select h.obj_type, h.obj_id, h.json_path, coalesce((select arg_max(o.value, length(o.p)) from own o where o.obj_type is not distinct from h.obj_type and o.obj_id = h.obj_id and h.json_path <> o.p and starts_with(h.json_path, o.p) and substr(h.json_path, length(o.p) + 1, 1) in ('.', '[')), h.obj_id) parent_id, h.segment_id from hit h""",
+)
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, rows = inlining.inline(table(spark, sf_dir, "objects"))
-    return inlining.evidence(rows)
+    return inlining.evidence(_tables(spark, sf_dir)[1])
+
+
+@query(
+    "p2_leaves",
+    f"with recursive {_NODES} select obj_type, obj_id, json_path, value from node where type not in ('OBJECT', 'ARRAY') or value in ('[]', '{{}}')",
+)
+def p2_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value of every document, read back from the flat tables."""
+    return inlining.leaves(_tables(spark, sf_dir)[1]).select("obj_type", "obj_id", "json_path", "value")
+
+
+@query(
+    "p2_rows",
+    f"with recursive {_NODES} select obj_type, obj_id, count(*) as items from node where regexp_matches(json_path, '\\]$') or json_path = '$' group by 1, 2",
+)
+def p2_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per document that stand for the document itself or an item of an array."""
+    rows = _tables(spark, sf_dir)[1]
+    return rows.where(F.col("json_path").rlike(r"\]$") | (F.col("json_path") == "$")).groupBy("obj_type", "obj_id").agg(F.count("*").alias("items"))
 
 
 @query("p2_tables")
 def p2_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rows of all flat tables with the keys that relate them."""
-    _, rows = inlining.inline(table(spark, sf_dir, "objects"))
     cols = F.array_sort(F.transform(F.map_entries("columns"), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("null")))))
-    return rows.select("obj_type", "obj_id", "table_name", "json_path", "parent_table", "parent_path", "parent_id", "row_id", "ordinal", F.array_join(cols, "\x1f").alias("columns"))
+    return _tables(spark, sf_dir)[1].select("obj_type", "obj_id", "table_name", "json_path", "parent_table", "parent_path", "parent_id", "row_id", "ordinal", "item_type", "item", F.array_join(cols, "\x1f").alias("columns"))
 
 
-@query("p2_qualifiers")
+@query(
+    "p2_qualifiers",
+    f"""with recursive {_NODES}, q as (select distinct obj_type, obj_id, regexp_extract(json_path, '^(.*\\.qualifiers\\[\\d+\\])\\.[^.]*$', 1) json_path from node),
+    m as (select obj_type, obj_id, json_path, type, value from node)
+    select q.obj_type, q.obj_id, q.json_path, (select min(value) from m where m.obj_type is not distinct from q.obj_type and m.obj_id = q.obj_id and m.json_path = q.json_path || '.id' and m.type = 'VARCHAR') row_id,
+      (select min(value) from m where m.obj_type is not distinct from q.obj_type and m.obj_id = q.obj_id and m.json_path = q.json_path || '.role') as role,
+      (select min(value) from m where m.obj_type is not distinct from q.obj_type and m.obj_id = q.obj_id and m.json_path = q.json_path || '.text') as text
+    from q where json_path <> ''""",
+)
 def p2_qualifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, rows = inlining.inline(table(spark, sf_dir, "objects"))
-    return inlining.qualifiers(rows)
+    """The qualifier table as a frame of its own."""
+    graph, rows = _tables(spark, sf_dir)
+    return inlining.qualifiers(rows).select("obj_type", "obj_id", "json_path", "row_id", "role", "text")
 
 
 @query("p2_schema_graph")
 def p2_schema_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inlining.current_rows(table(spark, sf_dir, "objects"), ["obj_type", "obj_id"], {"data": "data"})
-    return inlining.schema_graph(rows)
+    return _tables(spark, sf_dir)[0]
 
 
 @query(

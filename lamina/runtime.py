@@ -2,7 +2,7 @@
 
 Everything that must outlive an executor is written as Parquet into the folder named by
 ``spark.checkpoint.dir``. That folder is shared on a cluster; only when the setting is absent
-(tests, notebooks) a folder below the local temporary directory is used.
+(tests, notebooks) a folder below the local temporary directory is used, and only by a local master.
 """
 
 from __future__ import annotations
@@ -38,10 +38,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session, or a local folder where it is unset."""
+    """``spark.checkpoint.dir`` of the session, or a local folder where it is unset; raises where executors run elsewhere."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _LOCAL_ROOT:
         _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="lamina-"))
     return "file://" + _LOCAL_ROOT[0]
