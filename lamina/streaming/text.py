@@ -32,24 +32,12 @@ def into_tables(stream: DataFrame, target: str, checkpoint: str) -> StreamingQue
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def orphan_counts(changes: DataFrame, table: orp.Table, target: str, checkpoint: str) -> StreamingQuery:
-    """Keep signed counts for one changing table: each micro-batch applies its deltas to the state below ``target``.
+def orphan_changes(changes: DataFrame, table: orp.Table, log: orp.Log, checkpoint: str) -> StreamingQuery:
+    """Add the changes of one table to the log of signed counts; the report is ``orphans.failing(log.state(tables))``.
 
-    The state of batch n is read from n - 1, so a batch that runs again gives the same state.
+    Every table has a stream of its own. Batch n reads only what is before it, so a batch that runs again gives the same state.
     """
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows_schema = orp.current(table, batch).schema
-        if batch_id:
-            state, before = (spark.read.parquet(f"{target}/{x}/batch={batch_id - 1}") for x in ("counts", "rows"))
-        else:
-            state, before = spark.createDataFrame([], orp.COUNTS), spark.createDataFrame([], rows_schema)
-        new, rows = orp.advance(table, state, before, batch)
-        rows.write.mode("overwrite").parquet(f"{target}/rows/batch={batch_id}")
-        new.write.mode("overwrite").parquet(f"{target}/counts/batch={batch_id}")
-
-    return changes.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return changes.writeStream.foreachBatch(lambda batch, n: log.apply(table, batch, n)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def windowed_counts(events: DataFrame, time: str, key: str, size: str = "1 hour", late: str = "10 minutes") -> DataFrame:

@@ -16,17 +16,27 @@ def test_texts_become_tables_once(spark, tmp_path):
     assert sorted((r.doc_id, r.text_slice) for r in segs.collect()) == [("a", "# T"), ("a", "One."), ("a", "Two."), ("b", "Three.")]
 
 
-def test_orphan_counts_follow_a_stream(spark, tmp_path):
+def test_orphans_follow_streams_of_two_tables(spark, tmp_path):
     claims = o.Table("claims", (o.Reference("subject", "subject", "entity"),), "claim")
+    entities = o.Table("entities", (), "entity")
     schema = "id string, subject string, loaded_at timestamp, is_deleted boolean"
     t = dt.datetime
-    for i, rows in enumerate([[("a", "x", t(2025, 1, 1), False), ("b", "x", t(2025, 1, 1), False)], [("a", "y", t(2025, 1, 2), False), ("b", None, t(2025, 1, 2), True)]]):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        q = o_stream = s.orphan_counts(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), claims, str(tmp_path / "state"), str(tmp_path / "ck"))
+    log = o.Log(spark, str(tmp_path / "log"))
+
+    def push(table, rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / table.name))
+        q = s.orphan_changes(spark.readStream.schema(schema).parquet(str(tmp_path / table.name)), table, log, str(tmp_path / f"ck_{table.name}"))
         q.awaitTermination(120)
-    state = spark.read.parquet(str(tmp_path / "state" / "counts" / "batch=1"))
-    assert {(r.ref_id, r.refs) for r in state.where("target = 'entity'").collect()} == {("x", 0), ("y", 1)}
-    assert o_stream.exception() is None
+        assert q.exception() is None
+
+    report = lambda: sorted((r.src_id, r.ref_id, r.reason) for r in o.failing(log.state((claims, entities))).collect())
+    push(claims, [("a", "x", t(2025, 1, 1), False), ("b", "x", t(2025, 1, 1), False)])
+    assert report() == [("a", "x", "absent"), ("b", "x", "absent")]
+    push(entities, [("y", None, t(2025, 1, 1), False), ("x", None, t(2025, 1, 1), False)])
+    assert report() == []
+    push(claims, [("a", "y", t(2025, 1, 2), False), ("b", None, t(2025, 1, 2), True)])
+    push(entities, [("y", None, t(2025, 1, 3), True)])
+    assert report() == [("a", "y", "deleted")]
 
 
 def test_windowed_counts(spark, tmp_path):
