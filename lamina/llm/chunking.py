@@ -132,4 +132,24 @@ def current_blocks(blocks: DataFrame) -> DataFrame:
 
 def oversized(blocks: DataFrame, limit: int = 1000, overlap: int = 100) -> DataFrame:
     """Pieces of the current blocks that exceed the limit."""
-    return split(current_blocks(blocks).where(F.length("text") > limit), limit, overlap).where(F.length("text") >= 0)
+    return split(current_blocks(blocks).where(F.length("text") > limit), limit, overlap)
+
+
+def joined(cut_pieces: DataFrame, limit: int = 1000, overlap: int = 100) -> DataFrame:
+    """The blocks put together from their pieces: block_id, text_hash, length, faults (too_long, apart, too_wide) and document offsets.
+
+    apart: a piece that starts behind the end of the one before, or at another document offset than its place in the block.
+    The pieces of one block are gathered, as many as the block itself is long.
+    """
+    rows = cut_pieces.groupBy("block_id").agg(F.sort_array(F.collect_list(F.struct("piece", "piece_start", "piece_end", "doc_start", "doc_end", "text"))).alias("p"))
+    last = F.slice("p", 1, F.size("p") - 1)
+    pairs = F.zip_with(last, F.slice("p", 2, F.size("p")), lambda a, b: F.struct((a["piece_end"] - b["piece_start"]).alias("shared"), a.alias("a"), b.alias("b")))
+    text = F.aggregate("p", F.lit(""), lambda t, x: F.concat(t, F.substring(x["text"], F.length(t) - x["piece_start"] + 1, limit + overlap)))
+    count = lambda found: F.size(found).alias
+    first = F.element_at("p", 1)
+    shifted = F.filter("p", lambda x: (x["doc_start"] - x["piece_start"] != first["doc_start"]) | (x["doc_end"] - x["doc_start"] != F.length(x["text"])) | (x["piece_end"] - x["piece_start"] != F.length(x["text"])))
+    return rows.select(
+        "block_id", F.sha2(text, 256).alias("text_hash"), F.element_at("p", -1)["piece_end"].alias("length"),
+        count(F.filter("p", lambda x: F.length(x["text"]) > limit))("too_long"), (F.size(F.filter(pairs, lambda x: x["shared"] <= 0)) + F.size(shifted)).alias("apart"), count(F.filter(pairs, lambda x: x["shared"] > overlap))("too_wide"),
+        first["doc_start"].alias("first_offset"), F.element_at("p", -1)["doc_end"].alias("last_offset"),
+    )

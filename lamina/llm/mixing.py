@@ -31,7 +31,7 @@ from pyspark.sql import Window
 from ..runtime import cut
 from . import tokens
 
-#: Fractional part of the golden ratio as a fraction of 2**62. Fixed value.
+#: Fractional part of the golden ratio in steps of 2**-53. Fixed value.
 PHI = round((math.sqrt(5) - 1) / 2 * 2**53) / 2**53
 BUCKET_DOCS = 20_000
 BUCKET_SLOTS = 65_536
@@ -94,13 +94,18 @@ def _slots(sources: list[dict], count: int, spark: object) -> DataFrame:
     return slots.join(offsets, ["source", "bucket"]).select("slot", "source", (F.col("base") + inside).alias("rank"))
 
 
+def block_size(total: int, block_tokens: int | None = None) -> int:
+    """``block_tokens``, or a 4 000th of the total between 16 and 4 096: a mix has about 4 000 blocks or more, and a share is met within one."""
+    return block_tokens or max(16, min(4096, total // 4000))
+
+
 def draw(stock: DataFrame, targets: DataFrame, total_tokens: int | None = None, block_tokens: int | None = None, seed: int = 1) -> DataFrame:
     """slot, source, doc_id, repeat (0..), tokens: the drawn documents in schedule order (slot, then any order)."""
     spark = stock.sparkSession
     sources, total = plan(stock, targets, total_tokens)
     if not sources or total <= 0:
         return stock.where("false").select(F.lit(0).cast("bigint").alias("slot"), "source", "doc_id", F.lit(0).alias("repeat"), "tokens")
-    block = block_tokens or max(16, min(4096, total // 4000))
+    block = block_size(total, block_tokens)
     count = max(1, round(total / block))
     meta = spark.createDataFrame([(s["source"], int(min(s["repeats"], math.ceil(total * s["weight"] / s["size"] + 1e-9) + 1)), max(1, s["docs"] // BUCKET_DOCS)) for s in sources], "source string, epochs int, buckets bigint")
     epochs = stock.join(F.broadcast(meta), "source").select("doc_id", "source", "tokens", "buckets", F.explode(F.sequence(F.lit(0), F.col("epochs") - 1)).alias("repeat"))
@@ -124,3 +129,20 @@ def shares(drawn: DataFrame, targets: DataFrame) -> DataFrame:
     out = scaled.join(uses, "source", "left").crossJoin(F.broadcast(total))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     return out.select("source", F.round("target_share", 6).alias("target_share"), zero("documents").alias("documents"), zero("most_repeats").alias("most_repeats"), zero("tokens").alias("tokens"), F.round(zero("tokens") / F.col("total"), 6).alias("actual_share"))
+
+
+def faults(stock: DataFrame, drawn: DataFrame, targets: DataFrame) -> DataFrame:
+    """source, over_cap (documents used more often than max_repeats), off_share (1 where the tokens are off the target by more than a block and a document), for every target source.
+
+    Shares are those of :func:`plan`, among sources with documents; for the default total.
+    """
+    sources, total = plan(stock, targets)
+    t = wanted(targets)
+    spark = stock.sparkSession
+    aim = spark.createDataFrame([(x["source"], float(x["weight"] * total)) for x in sources], "source string, aim double")
+    largest = stock.groupBy("source").agg(F.max("tokens").alias("largest"))
+    uses = drawn.groupBy("source", "doc_id").agg(F.count("*").alias("uses"), F.sum("tokens").alias("tokens"))
+    got = uses.join(F.broadcast(t.select("source", "repeats")), "source").groupBy("source").agg(F.count_if(F.col("uses") > F.col("repeats")).cast("int").alias("over_cap"), F.sum("tokens").alias("tokens"))
+    out = t.select("source").join(F.broadcast(aim), "source", "left").join(largest, "source", "left").join(got, "source", "left")
+    off = F.abs(F.coalesce("tokens", F.lit(0)) - F.coalesce("aim", F.lit(0.0))) > F.coalesce("largest", F.lit(0)) + 2 * block_size(total)
+    return out.select("source", F.coalesce("over_cap", F.lit(0)).alias("over_cap"), off.cast("int").alias("off_share"))

@@ -300,3 +300,15 @@ def containers(documents: DataFrame, capacity: int = 2048, vocabulary: str = tok
 def fills(packed: DataFrame, capacity: int = 2048) -> DataFrame:
     """container_id, items, tokens, fill (share of the capacity)."""
     return packed.where(F.col("container_id").isNotNull()).groupBy("container_id").agg(F.count("*").alias("items"), F.sum("tokens").alias("tokens")).withColumn("fill", F.round(F.col("tokens") / capacity, 6))
+
+
+def faults(items: DataFrame, packed: DataFrame, capacity: int = 2048) -> DataFrame:
+    """One row: items, lost (ids whose tokens are not all there), overfull and misreported containers, divided (items in pieces that would fit whole)."""
+    packed = cut(packed, "packed")
+    want = items.where("doc_id is not null and tokens is not null").groupBy("doc_id").agg(F.sum("tokens").alias("want"), F.count("*").alias("times"))
+    have = packed.groupBy("doc_id").agg(F.sum("tokens").alias("have"), F.count_distinct("item").alias("rows"))
+    lost = want.join(have, "doc_id", "left").agg(F.coalesce(F.sum("times"), F.lit(0)).alias("items"), F.count_if(~(F.col("want").eqNullSafe(F.col("have")) & F.col("times").eqNullSafe(F.col("rows")))).cast("int").alias("lost"))
+    used = packed.where("container_id is not null").groupBy("container_id").agg(F.sum("tokens").alias("used"), F.max("container_fill").alias("most"), F.min("container_fill").alias("least"))
+    full = used.agg(F.count_if(F.col("used") > capacity).cast("int").alias("overfull"), F.count_if((F.col("used") != F.col("most")) | (F.col("used") != F.col("least"))).cast("int").alias("misreported"))
+    cuts = packed.groupBy("item").agg(F.count("*").alias("n"), F.sum("tokens").alias("size")).agg(F.count_if((F.col("n") > 1) & (F.col("size") <= capacity)).cast("int").alias("divided"))
+    return lost.join(full).join(cuts)

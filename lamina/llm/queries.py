@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import Registry
-from ..runtime import table
+from ..runtime import cut, table
 from . import chunking, mixing, names, packing, reading, sentences, truncation
 
 query = Registry()
@@ -22,6 +22,23 @@ def p3_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.rates(table(spark, sf_dir, "cache_entries"))
 
 
+@query(
+    "p3_reported",
+    """with r as (select doc_id, run_id, batches_truncated from pipeline_results where run_id is not null qualify row_number() over (partition by run_id order by loaded_at desc nulls last) = 1),
+    e as (select cache_key, doc_id, response.raw_text t, quality.truncated f from cache_entries where cache_key is not null qualify row_number() over (partition by cache_key order by loaded_at desc nulls last) = 1)
+    select coalesce(r.doc_id, e.doc_id) doc_id, r.reported, coalesce(e.flagged, 0) flagged, coalesce(e.answers, 0) answers
+    from (select doc_id, max(batches_truncated) reported from r where doc_id is not null group by 1) r full join (select doc_id, count(*) filter (coalesce(f, false)) flagged, count(*) filter (length(t) > 0) answers from e where doc_id is not null group by 1) e on e.doc_id = r.doc_id""",
+)
+def p3_reported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document the truncations that its runs and its cache entries report; :func:`truncation.compared` sets them beside those found."""
+    return truncation.reported(table(spark, sf_dir, "cache_entries"), table(spark, sf_dir, "pipeline_results"))
+
+
+@query("p3_compared")
+def p3_compared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.compared(table(spark, sf_dir, "cache_entries"), table(spark, sf_dir, "pipeline_results"))
+
+
 @query("p4_found")
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.pairs(names.linked(table(spark, sf_dir, "entities")))
@@ -46,6 +63,16 @@ def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.oversized(table(spark, sf_dir, "blocks"))
 
 
+@query(
+    "p5_whole",
+    """with c as (select id, arg_max(text_slice, loaded_at) t, arg_max(start_offset, loaded_at) s from blocks where id is not null group by id)
+    select id as block_id, sha256(t) as text_hash, length(t) as "length", 0 as too_long, 0 as apart, 0 as too_wide, coalesce(s, 0) as first_offset, coalesce(s, 0) + length(t) as last_offset from c where length(t) > 1000""",
+)
+def p5_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each cut block put together again from its pieces: hash, faults (too long, a gap or wrong offset, more than the overlap shared) and document offsets."""
+    return chunking.joined(chunking.oversized(table(spark, sf_dir, "blocks")), 1000, 100)
+
+
 @query("p6_found")
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.units(sentences.running_text(table(spark, sf_dir, "blocks"))).select("block_id", "unit_start", "unit_end")
@@ -69,6 +96,13 @@ def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fills(packing.containers(table(spark, sf_dir, "documents")))
 
 
+@query("p7_whole", "select (select count(*) from documents where doc_id is not null) as items, 0 as lost, 0 as overfull, 0 as misreported, 0 as divided")
+def p7_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items, and faults of the packing: items whose tokens are not all there, containers over capacity or with a wrong fill, items divided without need."""
+    stock = cut(packing.sized(table(spark, sf_dir, "documents")), "sized")
+    return packing.faults(stock, packing.pack(stock), 2048)
+
+
 @query("p7_search")
 def p7_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Containers before and after the search, per shard, beside the bound."""
@@ -80,6 +114,17 @@ def p8_drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.draw(mixing.supply(table(spark, sf_dir, "documents")), table(spark, sf_dir, "mix_targets"))
 
 
+@query(
+    "p8_kept",
+    """select regexp_replace(regexp_replace(lower(source), '^\\s+|\\s+$', '', 'g'), '[\\s\\-]+', '_', 'g') as source, 0 as over_cap, 0 as off_share
+    from mix_targets where source is not null and target_share > 0 group by 1""",
+)
+def p8_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per target source: documents drawn more often than allowed, and whether the share is off by more than one block and one document."""
+    stock, targets = mixing.supply(table(spark, sf_dir, "documents")), table(spark, sf_dir, "mix_targets")
+    return mixing.faults(stock, mixing.draw(stock, targets), targets)
+
+
 @query("p8_shares")
 def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     targets = table(spark, sf_dir, "mix_targets")

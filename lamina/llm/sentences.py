@@ -48,6 +48,10 @@ HARD = set("!?。！？．｡।॥؟")
 CLOSERS = "\"'”’»」』)）]】》›"
 PAIR = {"“": "”", "„": "“", "«": "»", "「": "」", "『": "』", "(": ")", "（": "）", "[": "]", "【": "】"}
 BRACKETS = set("(（[【")
+_MARKS = re.compile("[\n\"" + re.escape("".join(PAIR) + "".join(PAIR.values()) + ")）]】”」』»") + "]")
+#: Where a cut can be decided: end marks, opening marks and line breaks; in Thai also spaces.
+_HOP = re.compile("[\n\"" + re.escape(STOPS + "".join(PAIR)) + "]")
+_HOP_THAI = re.compile("[\\s\"" + re.escape(STOPS + "".join(PAIR)) + "]")
 _RUN = re.compile(f"[{re.escape(STOPS)}](?:[{re.escape(STOPS)}]|\\s(?=[.]{{2}}))*")
 _TOKEN_BEFORE = re.compile(r"[^\s(\[{\"“„«‘'「『（—–，。、：；！？,;:!?]+\Z")
 _WORD_AFTER = re.compile(r"[^\W_][\w'’-]*(?:\.[^\W\d_](?=\.))*")
@@ -62,6 +66,7 @@ _THAI_OPEN = re.compile(r"\A\s*([฀-๿]{2,8}) ([฀-๿]{4,})")
 _SAYS_HAN = re.compile(rf"[^，。！？：；…\s「『“”』」]{{1,24}}?(?:{SAID_HAN})(?=[，。！？…．]|\Z)")
 _SAYS_DEVA = re.compile(rf"[^।॥?!\",]{{1,60}}(?:{SAID_DEVA})\s*[।॥?!]")
 _SAYS_LATIN = re.compile(rf"[^.!?\"“„]{{1,60}}\s(?:{SAID_LATIN})\s*[.!?]")
+_THAI_FIRST = re.compile(r"\s*([฀-๿]{5,})")
 
 
 def script(c: str) -> str:
@@ -86,7 +91,8 @@ def matches(text: str) -> dict[int, int]:
     out: dict[int, int] = {}
     stack: list[tuple[str, int]] = []
     straight = -1
-    for i, c in enumerate(text):
+    for m in _MARKS.finditer(text):
+        i, c = m.start(), m[0]
         if c == '"':
             if straight >= 0:
                 out[straight] = i
@@ -316,7 +322,12 @@ def spans(text: str, ev: Evidence = EMPTY, quote: bool = False) -> list[tuple[in
         cuts.append(k)
         pos = k
 
+    hop = _HOP_THAI if thai else _HOP
     while i < n:
+        at = hop.search(text, i)
+        if at is None:
+            break
+        i = at.start()
         c = text[i]
         if i in pair:
             j = pair[i]
@@ -402,39 +413,35 @@ def spans(text: str, ev: Evidence = EMPTY, quote: bool = False) -> list[tuple[in
 # ------------------------------------------------------------------ evidence
 
 
-def block_evidence(text: str) -> tuple[dict[str, list[int]], Counter]:
-    """(counts of one text by key, pairs (token with stop, capitalised word behind it))."""
-    ev: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
-    pairs: Counter = Counter()
+#: What is counted, as (kind of token, place among its four counts).
+COUNTED = (("w:", 0), ("w:", 1), ("w:", 2), ("x:", 0), ("x:", 1), ("x:", 2), ("x:", 3), ("s:", 0), ("s:", 1))
+
+
+def count_evidence(text: str, counts: list[Counter], pairs: Counter) -> None:
+    """Add the evidence of one text: a Counter per entry of COUNTED, and (token with stop, capitalised word behind it)."""
+    low, cap, plain, x_low, x_mid, x_month, x_cap, family, opening = counts
     for m in _DOTTED.finditer(text):
         w, gap, nxt, rest = m[1], m[2], m[3], m[4]
         if not nxt or not gap and nxt not in ",;:":
             continue
-        e = ev["w:" + w]
         if nxt.islower() and not mixed(nxt + rest) or nxt.isdigit() or nxt in ",;:":
-            e[0] += 1
+            low[w] += 1
         else:
-            e[1] += 1
+            cap[w] += 1
             if nxt.isupper():
                 x = _WORD_AFTER.match(nxt + rest)
                 pairs[w, x[0] if x else nxt] += 1
-    for m in _PLAIN.finditer(text):
-        ev["w:" + m[1]][2] += 1
-    for m in _LOWWORD.finditer(text):
-        ev["x:" + m[1][:1].upper() + m[1][1:]][0] += 1
-    for m in _MID.finditer(text):
-        ev["x:" + m[1]][1] += 1
-    for m in _MONTH.finditer(text):
-        ev["x:" + m[1]][2] += 1
-    for m in _CAPWORD.finditer(text):
-        ev["x:" + m[1]][3] += 1
+    plain.update(_PLAIN.findall(text))
+    x_low.update(_LOWWORD.findall(text))
+    x_mid.update(_MID.findall(text))
+    x_month.update(_MONTH.findall(text))
+    x_cap.update(_CAPWORD.findall(text))
     m = _THAI_OPEN.match(text)
     if m:
-        ev["s:" + m[2][:5]][0] += 1
-    m = re.match(r"\s*([฀-๿]{5,})", text)
+        family[m[2][:5]] += 1
+    m = _THAI_FIRST.match(text)
     if m:
-        ev["s:" + m[1][:5]][1] += 1
-    return ev, pairs
+        opening[m[1][:5]] += 1
 
 
 def needs(text: str) -> list[str]:
@@ -457,62 +464,66 @@ def hesitant(text: str) -> list[str]:
     return sorted({m[1] for m in _HESITANT.finditer(text)})
 
 
-FACTS = "kind string, id string, doc string, token string, other string, a bigint, b bigint, c bigint, d bigint"
+FACTS = "kind string, id string, doc string, token string, other string, place int, n bigint"
 
 
 def facts(blocks: DataFrame) -> DataFrame:
     """What one pass over the texts yields, as rows of kind
 
-    corpus: counts of a token, summed per batch; doc: the same per document; pair: token with a stop and the
-    capitalised word behind it (other), with their number; need: a token of a block on which a cut depends; chunk: one
-    before an ellipsis. ``blocks``: id, doc_id, text.
+    count: how often a token of a document was seen in one of the four ways its kind is counted (place), summed per batch;
+    pair: token with a stop and the capitalised word behind it (other), with their number; need: a token of a block on
+    which a cut depends; chunk: one before an ellipsis. ``blocks``: id, doc_id, text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            whole: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
-            own: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0, 0, 0])
+            counts: dict[str | None, list[Counter]] = defaultdict(lambda: [Counter() for _ in COUNTED])
             pairs: Counter = Counter()
-            kind, ids, docs, tokens, other, n = [], [], [], [], [], []
+            kind, ids, docs, tokens, other, place, n = [], [], [], [], [], [], []
             for ident, doc, text in zip(batch.column("id").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ev, pr = block_evidence(text)
-                pairs.update(pr)
-                for k, v in ev.items():
-                    t = whole[k]
-                    for j in range(4):
-                        t[j] += v[j]
-                    if doc is not None and k[0] in "wx":
-                        t = own[doc, k]
-                        for j in range(4):
-                            t[j] += v[j]
+                count_evidence(text, counts[doc], pairs)
                 for k, found in (("need", needs(text)), ("chunk", hesitant(text) if "…" in text or "..." in text else ())):
-                    for token in found:
-                        kind.append(k)
-                        ids.append(ident)
-                        docs.append(doc)
-                        tokens.append(token)
+                    kind += [k] * len(found)
+                    ids += [ident] * len(found)
+                    docs += [doc] * len(found)
+                    tokens += found
             other += [None] * len(kind)
-            n += [(0, 0, 0, 0)] * len(kind)
-            for k, rows in (("corpus", [(None, t, None, v) for t, v in whole.items()]), ("doc", [(d, t, None, v) for (d, t), v in own.items()]), ("pair", [(None, w, x, (m, 0, 0, 0)) for (w, x), m in pairs.items()])):
-                kind += [k] * len(rows)
-                ids += [None] * len(rows)
-                docs += [r[0] for r in rows]
-                tokens += [r[1] for r in rows]
-                other += [r[2] for r in rows]
-                n += [r[3] for r in rows]
-            counts = list(zip(*n)) if n else [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([*[pa.array(x, pa.string()) for x in (kind, ids, docs, tokens, other)], *[pa.array(x, pa.int64()) for x in counts]], names=["kind", "id", "doc", "token", "other", "a", "b", "c", "d"])
+            place += [None] * len(kind)
+            n += [None] * len(kind)
+            for doc, own in counts.items():
+                for k, ((prefix, where), c) in enumerate(zip(COUNTED, own)):
+                    if not c:
+                        continue
+                    tokens += [prefix + t[:1].upper() + t[1:] for t in c] if k == 3 else [prefix + t for t in c]
+                    n += c.values()
+                    place += [where] * len(c)
+                    docs += [doc] * len(c)
+            rows = len(tokens) - len(kind)
+            kind += ["count"] * rows
+            ids += [None] * rows
+            other += [None] * rows
+            for (w, x), m in pairs.items():
+                kind.append("pair")
+                ids.append(None)
+                docs.append(None)
+                tokens.append(w)
+                other.append(x)
+                place.append(None)
+                n.append(m)
+            yield pa.RecordBatch.from_arrays([*[pa.array(x, pa.string()) for x in (kind, ids, docs, tokens, other)], pa.array(place, pa.int32()), pa.array(n, pa.int64())], names=["kind", "id", "doc", "token", "other", "place", "n"])
 
     return blocks.where(F.col("text").isNotNull()).select(F.col("id").cast("string").alias("id"), "doc_id", "text").mapInArrow(run, FACTS)
 
 
-def _sums(df: DataFrame, *keys: str) -> DataFrame:
-    return df.groupBy(*keys).agg(*[F.sum(x).alias(x) for x in "abcd"])
+def _sums(found: DataFrame, *keys: str) -> DataFrame:
+    """The four counts per key."""
+    at = lambda k: F.coalesce(F.sum(F.when(F.col("place") == k, F.col("n"))), F.lit(0)).alias("abcd"[k])
+    return found.where("kind = 'count'").groupBy(*keys).agg(*[at(k) for k in range(4)])
 
 
 def document_evidence(found: DataFrame, need: DataFrame) -> DataFrame:
     """doc, token and four counts over all blocks of the document, for the documents and tokens in ``need`` (doc, token). ``found``: from :func:`facts`."""
-    return _sums(found.where("kind = 'doc'"), "doc", "token").join(need.where("doc is not null").select("doc", "token").distinct(), ["doc", "token"], "left_semi")
+    return _sums(found.where("doc is not null and token not like 's:%'"), "doc", "token").join(need.where("doc is not null").select("doc", "token").distinct(), ["doc", "token"], "left_semi")
 
 
 def corpus_evidence(found: DataFrame, need: DataFrame) -> DataFrame:
@@ -520,13 +531,11 @@ def corpus_evidence(found: DataFrame, need: DataFrame) -> DataFrame:
 
     What is common is decided on the summed counts, so the result does not depend on how the blocks are spread. Writes the sums.
     """
-    total = cut(_sums(found.where("kind = 'corpus'"), "token").drop("d"), "tokens")
+    total = cut(_sums(found, "token"), "tokens")
     common = total.where("token like 'x:%' and a > b").select(F.substr("token", F.lit(3)).alias("other"))
-    follows = found.where("kind = 'pair'").groupBy("token", "other").agg(F.sum("a").alias("n")).join(common, "other", "left_semi").groupBy("token").agg(F.sum("n").alias("n"))
-    starts = _sums(found.where("kind = 'corpus' and token like 'x:%'"), "token").select("token", "d")
-    fourth = follows.select(F.concat(F.lit("w:"), "token").alias("token"), F.col("n").alias("d")).unionByName(starts)
-    used = need.select("token").distinct()
-    return total.join(used, "token", "left_semi").join(fourth.join(used, "token", "left_semi"), "token", "left").select("token", "a", "b", "c", F.coalesce("d", F.lit(0)).alias("d"))
+    follows = found.where("kind = 'pair'").groupBy("token", "other").agg(F.sum("n").alias("n")).join(common, "other", "left_semi").groupBy(F.concat(F.lit("w:"), "token").alias("token")).agg(F.sum("n").alias("n"))
+    used = total.join(need.select("token").distinct(), "token", "left_semi")
+    return used.join(follows, "token", "left").select("token", "a", "b", "c", F.when(F.col("token").startswith("w:"), F.coalesce("n", F.lit(0))).otherwise(F.col("d")).alias("d"))
 
 
 def names_before_ellipsis(blocks: DataFrame, chunks: DataFrame, buckets: int = 32) -> DataFrame:

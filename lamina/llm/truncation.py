@@ -360,8 +360,8 @@ def ending_shares(rows: DataFrame) -> DataFrame:
 
 
 def train(rows: DataFrame, ends: DataFrame, sample: int = 6000) -> np.ndarray:
-    """Fit on at most ``sample`` values of up to 20 000 characters that look intact, drawn by a hash of the key. ``ends``: word, share. Runs two jobs."""
-    intact = rows.where(F.col("looks_intact") & (F.length("raw_text") > 0) & (F.length("raw_text") <= 20000))
+    """Fit on at most ``sample`` values that look intact, drawn by a hash of the key, whatever their length. ``ends``: word, share. Runs two jobs."""
+    intact = rows.where(F.col("looks_intact") & (F.length("raw_text") > 0))
     picked = intact.orderBy(F.xxhash64("cache_key"), "cache_key").limit(sample).select("raw_text", "limits").collect()
 
     def shares(words: set[str]) -> dict[str, float]:
@@ -422,3 +422,18 @@ def rates(entries: DataFrame, threshold: float = 0.5) -> DataFrame:
     s = scored(entries).where(F.col("cut_score").isNotNull())
     found = F.sum((F.col("cut_score") >= threshold).cast("bigint"))
     return s.groupBy("model").agg(F.count("*").alias("texts"), found.alias("cut"), F.round(found / F.count("*"), 6).alias("cut_share"))
+
+
+def reported(entries: DataFrame, results: DataFrame) -> DataFrame:
+    """doc_id, reported (most truncated batches any run of the document reports, null where none does), flagged and answers (cache entries flagged as truncated, and with a text)."""
+    runs = current_rows(results, ["run_id"], {"doc_id": "doc_id", "n": "batches_truncated"}).where("doc_id is not null").groupBy("doc_id").agg(F.max("n").alias("reported"))
+    cached = current_rows(entries, ["cache_key"], {"doc_id": "doc_id", "text": F.col("response.raw_text"), "flag": F.col("quality.truncated")}).where("doc_id is not null")
+    cached = cached.groupBy("doc_id").agg(F.count_if(F.coalesce("flag", F.lit(False))).alias("flagged"), F.count_if(F.length("text") > 0).alias("answers"))
+    return runs.join(cached, "doc_id", "full").select("doc_id", "reported", F.coalesce("flagged", F.lit(0)).alias("flagged"), F.coalesce("answers", F.lit(0)).alias("answers"))
+
+
+def compared(entries: DataFrame, results: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """doc_id, reported, flagged, answers and found: the truncations that runs and flags report beside those found."""
+    docs = current_rows(entries, ["cache_key"], {"doc_id": "doc_id"}).select("cache_key", "doc_id")
+    found = scored(entries).where(F.col("cut_score") >= threshold).join(docs, "cache_key").where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("found"))
+    return reported(entries, results).join(found, "doc_id", "left").withColumn("found", F.coalesce("found", F.lit(0)))
