@@ -18,6 +18,7 @@ def parser() -> argparse.ArgumentParser:
         how.add_argument("--text-only", action="store_true")
         how.add_argument("--answers", help="Parquet of doc_id, batch_index, raw_text")
         c.add_argument("--attempts", type=int, default=2)
+        c.add_argument("--protocol", choices=("compact", "verbose"), default="compact")
         c.add_argument("--keep-going", action="store_true", help="emit although violations are left")
     v = sub.add_parser("verify")
     v.add_argument("folder")
@@ -35,15 +36,16 @@ def main(argv: list[str] | None = None) -> int:
     try:
         if args.command == "verify":
             found = co.verify(spark, args.folder)
-            print(json.dumps(found, sort_keys=True))
-            good = {"resolved_rate": 1.0}
-            return int(any(v != good.get(k, 0.0) for checks in found.values() for k, v in checks.items()))
+            bad = found.where("value <> case check when 'resolved_rate' then 1.0 else 0.0 end")
+            worst = {f"{r.package}/{r.check}": r.value for r in bad.orderBy("package", "check").limit(20).collect()}
+            print(json.dumps({"packages": found.select("package").distinct().count(), "bad": worst}, sort_keys=True))
+            return int(bool(worst))
         source = texts.read_files(spark, args.source) if args.command == "compile" else texts.read_library(spark, args.source)
         answers = spark.read.parquet(args.answers) if args.answers else None
-        tables = co.compile_texts(source, answers, args.attempts)
+        tables = co.compile_texts(source, answers, args.attempts, args.protocol)
         if "Violation" in tables and not args.keep_going:
             stop_on_errors(tables["Violation"])
-        co.emit(tables, args.target)
+        co.stop_on_failed(co.emit(tables, args.target))
         print(co.summary(tables))
         return 0
     except Exception as e:

@@ -92,28 +92,7 @@ def without_fence(text: str) -> str:
 
 def complete_objects(text: str) -> list[dict]:
     """Every complete {...} of a broken text that has ``t`` and one of ``n`` and ``sid``."""
-    out, depth, start, inside, skip = [], 0, 0, False, False
-    for i, c in enumerate(text):
-        if skip:
-            skip = False
-        elif inside:
-            skip = c == "\\"
-            inside = c != '"'
-        elif c == '"':
-            inside = depth > 0
-        elif c == "{":
-            start = i if depth == 0 else start
-            depth += 1
-        elif c == "}" and depth:
-            depth -= 1
-            if depth == 0:
-                try:
-                    x = json.loads(text[start : i + 1])
-                except ValueError:
-                    continue
-                if isinstance(x, dict) and "t" in x and ("n" in x or "sid" in x):
-                    out.append(x)
-    return out
+    return [x for x in balanced_objects(text) if "t" in x and ("n" in x or "sid" in x)]
 
 
 def parse(text: str | None) -> tuple[list[dict], bool]:
@@ -150,7 +129,7 @@ def balanced_objects(text: str) -> list[dict]:
         try:
             x, end = decoder.raw_decode(text, at)
             out.append(x)
-        except ValueError:
+        except (ValueError, RecursionError):
             end = at + 1
         at = text.find("{", end)
     return out
@@ -193,40 +172,43 @@ def _strings(v: object) -> list[str]:
     return [v] if isinstance(v, str) else [x for x in v if isinstance(x, str)] if isinstance(v, list) else []
 
 
+def _text(v: object) -> str | None:
+    return v if v is None or isinstance(v, str) else str(v)
+
+
+def _only_text(v: object) -> str | None:
+    return v if isinstance(v, str) else None
+
+
+def _array(v: object) -> list[str]:
+    return _strings(v) if isinstance(v, list) else []
+
+
+#: Column -> (key, rule, value of an absent key) of each class; what is not named here is null.
+_COMMON = {"lid": ("lid", _text, None), "sids": ("sid", _strings, None), "quotes": ("q", _strings, None)}
+_RULES = {
+    "E": {**_COMMON, "name": ("n", lambda v: _only_text(v) or "", None), "kind": ("k", _text, "other"), "aliases": ("a", _array, None)},
+    "EV": {**_COMMON, "name": ("n", lambda v: _only_text(v) or "", None), "kind": ("k", _text, "other"), "participants": ("p", _strings, None), "event_time": ("time", _only_text, None), "place": ("location", _only_text, None)},
+    "C": {**_COMMON, "subject": ("s", _only_text, None), "predicate": ("p", _only_text, None), "object": ("o", _text, None), "modality": ("m", lambda v: v if v in MODALITIES else None, None), "polarity": ("pol", lambda v: v if v in POLARITIES else "positive", "positive")},
+}
+#: Warning -> (class, condition on the candidate and its columns).
+_CHECKS = (
+    ("missing name", ("E", "EV"), lambda x, row: not row["name"].strip()),
+    ("unknown modality", ("C",), lambda x, row: x.get("m") is not None and row["modality"] is None),
+    ("unknown polarity", ("C",), lambda x, row: x.get("pol", "positive") != row["polarity"]),
+)
+
+
 def coerce(x: dict) -> dict | None:
     """One candidate with the types its columns need, and warnings; None where it has no type."""
     t = x.get("t")
     if not isinstance(t, str):
         return None
-    row = {"t": t, "lid": None, "name": None, "kind": None, "aliases": None, "sids": [], "quotes": [], "participants": None, "subject": None, "predicate": None, "object": None, "modality": None, "polarity": None, "event_time": None, "place": None, "warnings": []}
-    if t not in TYPES:
-        row["warnings"].append("unknown type")
-        return row
-    text = lambda v: v if v is None or isinstance(v, str) else str(v)
-    row["lid"] = text(x.get("lid"))
-    row["sids"], row["quotes"] = _strings(x.get("sid")), _strings(x.get("q"))
-    if t in ("E", "EV"):
-        n = x.get("n")
-        row["name"] = n if isinstance(n, str) else ""
-        if not row["name"].strip():
-            row["warnings"].append("missing name")
-        row["kind"] = text(x.get("k", "other"))
-    if t == "E":
-        row["aliases"] = _strings(x.get("a")) if isinstance(x.get("a"), list) else []
-    if t == "EV":
-        row["participants"] = _strings(x.get("p"))
-        row["event_time"], row["place"] = (x.get(k) if isinstance(x.get(k), str) else None for k in ("time", "location"))
-    if t == "C":
-        row["subject"], row["predicate"] = (x.get(k) if isinstance(x.get(k), str) else None for k in ("s", "p"))
-        row["object"] = text(x.get("o"))
-        m, pol = x.get("m"), x.get("pol", "positive")
-        if m in MODALITIES if isinstance(m, str) else False:
-            row["modality"] = m
-        elif m is not None:
-            row["warnings"].append("unknown modality")
-        row["polarity"] = pol if isinstance(pol, str) and pol in POLARITIES else "positive"
-        if row["polarity"] != pol:
-            row["warnings"].append("unknown polarity")
+    row: dict = {c.split()[0]: None for c in CANDIDATE.split(", ")} | {"t": t, "sids": [], "quotes": [], "warnings": []}
+    if t not in _RULES:
+        return row | {"warnings": ["unknown type"]}
+    row |= {column: rule(x.get(key, default)) for column, (key, rule, default) in _RULES[t].items()}
+    row["warnings"] = [name for name, classes, broken in _CHECKS if t in classes and broken(x, row)]
     return row
 
 
@@ -256,11 +238,20 @@ def candidates(answers: DataFrame) -> DataFrame:
 _PREFIX = {"E": "ent", "EV": "evt", "C": "clm"}
 
 
-def with_ids(rows: DataFrame) -> DataFrame:
-    """Candidates with ``id``: {doc}_{ent,evt,clm}_{n:04d}, numbered per document in batch and array order."""
+def with_ids(rows: DataFrame, counters: DataFrame | None = None) -> DataFrame:
+    """Candidates with ``id``: {doc}_{ent,evt,clm}_{n:04d}, numbered per document in batch and array order, behind ``counters`` (doc_id, t, last)."""
     n = F.row_number().over(Window.partitionBy("doc_id", "t").orderBy("batch_index", "raw_index"))
+    rows = rows.where(F.col("t").isin(*TYPES))
+    if counters is not None:
+        rows = rows.join(counters.select("doc_id", "t", F.col("last").alias("_last")), ["doc_id", "t"], "left")
+        n = n + F.coalesce("_last", F.lit(0))
     prefix = F.element_at(F.create_map(*[F.lit(x) for kv in _PREFIX.items() for x in kv]), F.col("t"))
-    return rows.where(F.col("t").isin(*TYPES)).withColumn("id", F.format_string("%s_%s_%04d", "doc_id", prefix, n))
+    return rows.withColumn("id", F.format_string("%s_%s_%04d", "doc_id", prefix, n)).drop("_last")
+
+
+def greatest(rows: DataFrame) -> DataFrame:
+    """doc_id, t, last: the greatest number given to each kind of candidate."""
+    return rows.groupBy("doc_id", "t").agg(F.max(F.substring_index("id", "_", -1).try_cast("int")).alias("last"))
 
 
 def local_ids(rows: DataFrame) -> DataFrame:
@@ -310,6 +301,58 @@ def fix_prefixes(entities: DataFrame, wrong: str = "_char_", right: str = "_ent_
     return entities.where(F.col("id").contains(wrong)).select("id", F.replace("id", F.lit(wrong), F.lit(right)).alias("fixed_id"))
 
 
+#: Columns of verbose objects that name other objects.
+_NAMES_OTHERS = {"Event": ("participants",), "Claim": ("subject", "object_ref", "claim_source"), "Relation": ("subject", "object_ref", "claim_id")}
+_EVIDENCE = "array<struct<segment_id:string,start:int,end:int,quote_hash:string>>"
+_VERBOSE = {
+    "Entity": f"id string, name string, kind string, aliases array<string>, evidence_refs {_EVIDENCE}, source_segment_ids array<string>",
+    "Event": f"id string, name string, kind string, participants array<string>, time string, location string, evidence_refs {_EVIDENCE}, source_segment_ids array<string>",
+    "Claim": f"id string, subject string, predicate string, object string, modality string, polarity string, confidence double, source string, derived_from array<string>, evidence_refs {_EVIDENCE}, source_segment_ids array<string>",
+    "Relation": f"id string, subject string, predicate string, object string, claim_id string, evidence_refs {_EVIDENCE}",
+}
+_RENAMED = {"object": "object_ref", "source": "claim_source", "time": "event_time", "location": "place"}
+_SHORT = {"Entity": "ent", "Event": "evt", "Claim": "clm", "Relation": "rel"}
+
+
+def verbose_rows(answers: DataFrame) -> DataFrame:
+    """doc_id, batch_index, raw_index, obj_type, data (JSON) of verbose answers (doc_id, batch_index, raw_text); of cut ones their complete objects."""
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            rows = [(doc, b, i, t, json.dumps(x, ensure_ascii=False)) for doc, b, text in zip(pdf["doc_id"], pdf["batch_index"], pdf["raw_text"]) for i, (t, x) in enumerate(verbose_objects(text))]
+            yield pd.DataFrame(rows, columns=["doc_id", "batch_index", "raw_index", "obj_type", "data"])
+
+    return answers.where(F.col("raw_text").isNotNull()).select("doc_id", "batch_index", "raw_text").mapInPandas(run, "doc_id string, batch_index int, raw_index int, obj_type string, data string")
+
+
+def verbose_tables(rows: DataFrame, segments: DataFrame) -> dict[str, DataFrame]:
+    """Entity, Event, Claim and Relation tables of verbose objects: wrong prefixes put right with all that refers to them, missing ids given, aliases grounded.
+
+    ``rows``: from :func:`verbose_rows`. Classes that are not declared are left out.
+    """
+    from . import resolve as rs
+
+    out: dict[str, DataFrame] = {}
+    for name, ddl in _VERBOSE.items():
+        own = rows.where(F.col("obj_type") == name).select("doc_id", F.struct("batch_index", "raw_index").alias("pos"), F.from_json("data", ddl).alias("d")).where("d is not null").select("doc_id", "pos", "d.*")
+        for a, b in _RENAMED.items():
+            if a in own.columns:
+                own = own.withColumnRenamed(a, b)
+        if "modality" in own.columns:
+            own = own.withColumn("confidence", F.coalesce("confidence", F.lit(1.0))).withColumn("derived_from", F.coalesce("derived_from", F.array().cast("array<string>")))
+        refs = F.transform(F.coalesce("evidence_refs", F.array().cast(_EVIDENCE)), lambda e: F.struct(e["segment_id"].alias("segment_id"), e["start"].alias("span_start"), e["end"].alias("span_end"), e["quote_hash"].alias("quote_hash")))
+        own = own.withColumn("evidence_refs", refs).withColumn("id", F.when(F.trim("id") != "", F.col("id")))
+        out[name] = missing_ids(own, _SHORT[name]) if name != "Entity" else own
+    fixes = fix_prefixes(out["Entity"]).select("id", F.col("fixed_id").alias("canonical_id")).distinct()
+    out["Entity"] = missing_ids(rs.rewrite(out["Entity"], fixes, ("id",)), "ent")
+    for name, cols in _NAMES_OTHERS.items():
+        for c in cols:
+            out[name] = rs.rewrite_array(out[name], fixes, c) if c == "participants" else rs.rewrite(out[name], fixes, (c,))
+    out = {name: df.drop("pos") for name, df in out.items()}
+    out["Entity"] = keep_grounded(out["Entity"], segments)
+    return out
+
+
 def missing_ids(rows: DataFrame, prefix: str) -> DataFrame:
     """Rows without an id numbered behind the greatest number of their document. ``rows``: doc_id, id, pos."""
     top = F.coalesce(F.max(F.substring_index("id", "_", -1).try_cast("int")).over(Window.partitionBy("doc_id")), F.lit(0))

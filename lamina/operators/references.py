@@ -49,18 +49,29 @@ def is_entity_id(c: F.Column) -> F.Column:
     return c.contains("_ent_")
 
 
+REF = "array<struct<field:string,pos:int,target_id:string,target_type:string>>"
+
+
+def _keys(k: ForeignKey, df: DataFrame) -> F.Column:
+    """The references of one key as an array of (field, pos, target_id, target_type)."""
+    kind = df.select(F.col(k.field)).schema[0].dataType.typeName()
+    values = F.col(k.field) if kind == "array" else F.array(F.col(k.field))
+    wanted = F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda x, i: F.struct(F.lit(k.field).alias("field"), i.alias("pos"), x.cast("string").alias("target_id"), F.lit(k.target).alias("target_type")))
+    known = lambda x: x["target_id"].isNotNull() & (is_entity_id(x["target_id"]) if k.literal_allowed else F.lit(True))
+    return F.filter(wanted, known)
+
+
 def refs(objects: dict[str, DataFrame], keys: tuple[ForeignKey, ...] = FOREIGN_KEYS) -> DataFrame:
-    """The long table of all references of ``objects`` (class -> frame). Null keys are no references."""
+    """The long table of all references of ``objects`` (class -> frame). Null keys are no references.
+
+    Each class is read once: its keys become one array that is exploded, so only ids and keys are carried.
+    """
     out = None
-    for k in keys:
-        df = objects.get(k.obj_type)
-        if df is None or k.field.split(".")[0] not in df.columns:
+    for name, df in objects.items():
+        arrays = [_keys(k, df) for k in keys if k.obj_type == name and k.field.split(".")[0] in df.columns]
+        if not arrays:
             continue
-        kind = df.select(F.col(k.field)).schema[0].dataType.typeName()
-        values = F.col(k.field) if kind == "array" else F.array(F.col(k.field))
-        part = df.select(F.col("doc_id"), F.lit(k.obj_type).alias("obj_type"), F.col("id").alias("obj_id"), F.lit(k.field).alias("field"), F.posexplode(values).alias("pos", "target_id"), F.lit(k.target).alias("target_type")).where(F.col("target_id").isNotNull())
-        if k.literal_allowed:
-            part = part.where(is_entity_id(F.col("target_id")))
+        part = df.select("doc_id", F.lit(name).alias("obj_type"), F.col("id").alias("obj_id"), F.explode(F.concat(*arrays)).alias("r")).select("doc_id", "obj_type", "obj_id", "r.field", "r.pos", "r.target_type", "r.target_id")
         out = part if out is None else out.unionByName(part)
     return out.select("doc_id", "obj_type", "obj_id", "field", "pos", "target_type", "target_id")
 
@@ -76,11 +87,15 @@ def ids(objects: dict[str, DataFrame], external: DataFrame | None = None) -> Dat
     return out.where(F.col("id").isNotNull()).distinct()
 
 
+#: Targets that stand for several classes.
+SEVERAL = tuple(sorted({k.target for k in FOREIGN_KEYS if "|" in k.target}))
+
+
 def dangling(references: DataFrame, index: DataFrame) -> DataFrame:
-    """References whose target id exists in none of its target types."""
-    targets = references.withColumn("type", F.explode(F.split("target_type", r"\|")))
-    hit = targets.join(index.select("type", F.col("id").alias("target_id")), ["type", "target_id"], "left_semi").select("obj_type", "obj_id", "field", "target_id").distinct()
-    return references.join(hit, ["obj_type", "obj_id", "field", "target_id"], "left_anti")
+    """References whose target id exists in none of its target types: one anti-join, as the index also holds its ids under the joint types."""
+    joint = F.array(F.col("type"), *[F.when(F.col("type").isin(*t.split("|")), F.lit(t)) for t in SEVERAL])
+    known = index.select(F.explode(joint).alias("target_type"), F.col("id").alias("target_id")).where(F.col("target_type").isNotNull())
+    return references.join(known, ["target_type", "target_id"], "left_anti").select(*references.columns)
 
 
 def with_severity(missing: DataFrame, index: DataFrame) -> DataFrame:

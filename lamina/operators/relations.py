@@ -36,8 +36,14 @@ def derive(claims: DataFrame, entities: DataFrame) -> DataFrame:
 
 
 def dedup(relations: DataFrame) -> DataFrame:
-    """The first relation (by id) of each triple."""
+    """The first relation (by id) of each triple, with the evidence of all, each reference once, in the order of ids."""
     cols = relations.columns
-    rest = [c for c in cols if c not in ("doc_id", "subject", "predicate", "object_ref")]
-    first = relations.groupBy("doc_id", "subject", "predicate", "object_ref").agg(F.min(F.struct("id", *[c for c in rest if c != "id"])).alias("r"))
-    return first.select("doc_id", "subject", "predicate", "object_ref", "r.*").select(*cols)
+    triple = ("doc_id", "subject", "predicate", "object_ref")
+    rest = [c for c in cols if c not in (*triple, "id", "evidence_refs")]
+    aggs = [F.min(F.struct("id", *rest)).alias("r")]
+    if "evidence_refs" in cols:
+        aggs.append(F.sort_array(F.collect_list(F.struct("id", F.coalesce("evidence_refs", F.array()).alias("refs")))).alias("all"))
+    first = relations.groupBy(*triple).agg(*aggs)
+    if "evidence_refs" in cols:
+        first = first.withColumn("evidence_refs", F.array_distinct(F.flatten(F.transform("all", lambda x: x["refs"]))))
+    return first.select(*triple, "r.*", *(["evidence_refs"] if "evidence_refs" in cols else [])).select(*cols)

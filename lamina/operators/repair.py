@@ -14,7 +14,6 @@ DIALOGUE_MARKS = ("「", "」", "『", "』")
 SPEECH_WORDS = ("说道", "道：", "笑道", "叹道", "哭道", "骂道", "叫道", "问道", "答道")
 HONORIFICS = ("太太", "奶奶", "老爷", "大爷", "姑娘", "小姐", "嫂子", "婶子", "嫂嫂")
 DESCRIPTION_WORDS = ("只见", "但见", "原来", "好一个", "果然")
-TRANSITION_WORDS = ("于是", "随后", "接着", "次日", "过了", "一日", "那日")
 
 _ARRAYS = {"Entity": ("source_segment_ids",), "Event": ("source_segment_ids", "participants"), "Claim": ("source_segment_ids", "derived_from")}
 _SCALARS = {"Claim": ("subject",), "Relation": ("subject", "object_ref", "claim_id"), "Residual": ("segment_id",), "IgnoreSegment": ("segment_id",)}
@@ -106,14 +105,44 @@ def second_pass(segments: DataFrame, objects: dict[str, DataFrame], violations:
     return segments.join(used.select(F.col("target_id").alias("id")), "id", "left_anti")
 
 
-#: Fragments of warnings that are worth a residual. Fixed values.
+#: Parts of warnings that are worth a residual. Fixed values.
 FAILURES = ("missing name", "no source segment", "no match", "dangling", "not an entity", "no evidence")
 
 
+def expansion_warnings(rows: DataFrame, segments: DataFrame, placed: DataFrame) -> DataFrame:
+    """doc_id, segment_id, id, warning: what went wrong while candidates were expanded; segment_id is the first known one.
+
+    ``rows``: candidates with ids and resolved local names; ``placed``: obj_id, quote_no of the quotes that were found.
+    """
+    known = segments.select(F.col("id").alias("sid"))
+    own = rows.select("id", F.posexplode("sids").alias("pos", "sid")).join(known, "sid").groupBy("id").agg(F.min(F.struct("pos", "sid")).getField("sid").alias("segment_id"))
+    hits = placed.groupBy(F.col("obj_id").alias("id")).agg(F.count_distinct("quote_no").alias("hits"))
+    entities = rows.where("t = 'E'").select(F.col("id").alias("_e"))
+    out = rows.join(own, "id", "left").join(hits, "id", "left")
+    for c in ("subject", "object"):
+        out = out.join(entities.select(F.col("_e").alias(c), F.lit(True).alias(f"_{c}")), c, "left")
+    parts = rows.where("t = 'EV'").select("id", F.explode("participants").alias("p")).join(entities.withColumnRenamed("_e", "p"), "p", "left_anti").groupBy("id").agg(F.count("*").alias("_lost"))
+    out = out.join(parts, "id", "left")
+    quotes, found = F.size(F.coalesce("quotes", F.array())), F.coalesce("hits", F.lit(0))
+    claim = F.col("t") == "C"
+    looks = F.coalesce(F.col("object").contains("_ent_"), F.lit(False))
+    checks = F.array(
+        F.when(F.col("t").isin("E", "EV") & (F.trim(F.coalesce("name", F.lit(""))) == ""), "missing name"),
+        F.when(F.col("segment_id").isNull(), "no source segment"),
+        F.when((quotes > 0) & (found < quotes), "no match for a quote"),
+        F.when(F.col("_lost") > 0, "dangling participant"),
+        F.when(claim & F.col("_subject").isNull(), "subject is not an entity"),
+        F.when(claim & looks & F.col("_object").isNull(), "dangling object"),
+        F.when(F.col("t").isin("C", "EV") & (found == 0), "no evidence"),
+    )
+    return out.select("doc_id", "segment_id", "id", F.explode(F.filter(checks, lambda x: x.isNotNull())).alias("warning"))
+
+
 def failures_to_residuals(warnings: DataFrame) -> DataFrame:
-    """Residuals from expansion warnings (doc_id, segment_id, warning): id, doc_id, segment_id, category, importance, reason."""
+    """Residuals from warnings (doc_id, segment_id, warning): id, doc_id, segment_id, category, importance, reason. Numbered per document."""
     from pyspark.sql import Window
 
     hit = warnings.where(F.lower("warning").rlike("|".join(FAILURES)))
-    n = F.row_number().over(Window.partitionBy("doc_id").orderBy("segment_id", "warning"))
-    return hit.withColumn("n", n).select(F.format_string("%s_res_%04d", "doc_id", "n").alias("id"), "doc_id", "segment_id", F.lit("other").alias("category"), F.lit("medium").alias("importance"), F.col("warning").alias("reason"))
+    more = ["id"] if "id" in warnings.columns else []
+    n = F.row_number().over(Window.partitionBy("doc_id").orderBy("segment_id", "warning", *more))
+    return hit.withColumn("n", n).select(F.format_string("%s_res_%04d", "doc_id", "n").alias("id"), "doc_id", F.coalesce("segment_id", F.lit("")).alias("segment_id"), F.lit("other").alias("category"), F.lit("medium").alias("importance"), F.col("warning").alias("reason"))

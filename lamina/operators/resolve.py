@@ -2,8 +2,8 @@
 
 Two modes. ``greedy`` keeps the sequential rule: in id order an entity joins the owner of its first
 token that has one, otherwise it owns its tokens. Only one document's entities depend on each
-other, so it runs per document (``applyInPandas``). ``components`` merges everything connected; it
-is expressed by joins and has no per-document task.
+other, and only those with a token in common, so these alone run per document (``applyInPandas``).
+``components`` merges everything connected; it is expressed by joins and has no per-document task.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import cut, release
+from .components import components, stars
 
 
 def greedy_owners(ids: list[str], tokens: list[list[str]]) -> list[str]:
@@ -33,29 +33,29 @@ def _tokens(entities: DataFrame) -> DataFrame:
     return entities.select("doc_id", "id", F.array_distinct(spelled).alias("tokens"))
 
 
-def canonical(entities: DataFrame, mode: str = "greedy", rounds: int = 25) -> DataFrame:
-    """doc_id, id, canonical_id."""
+def canonical(entities: DataFrame, mode: str = "greedy") -> DataFrame:
+    """doc_id, id, canonical_id.
+
+    Entities none of whose tokens another entity of the document has own themselves; only the others take part.
+    ``greedy`` then runs per document, ``components`` merges what is connected.
+    """
     named = _tokens(entities)
-    if mode == "greedy":
-
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("id", kind="stable")
-            to = greedy_owners(pdf["id"].tolist(), [list(t) for t in pdf["tokens"]])
-            return pd.DataFrame({"doc_id": pdf["doc_id"].tolist(), "id": pdf["id"].tolist(), "canonical_id": to})
-
-        return named.groupBy("doc_id").applyInPandas(run, "doc_id string, id string, canonical_id string")
-    held = cut(named.select("doc_id", "id", F.explode("tokens").alias("token")), "tokens")
-    labels = cut(named.select("doc_id", "id", F.col("id").alias("label")), "labels")
-    for _ in range(rounds):
-        low = held.join(labels, ["doc_id", "id"]).groupBy("doc_id", "token").agg(F.min("label").alias("low"))
-        step = held.join(low, ["doc_id", "token"]).groupBy("doc_id", "id").agg(F.min("low").alias("low"))
-        new = cut(labels.join(step, ["doc_id", "id"], "left").select("doc_id", "id", F.least("label", F.coalesce("low", "label")).alias("label"), F.col("label").alias("old")), "labels")
-        done = new.where("label <> old").limit(1).count() == 0
-        release(labels)
-        labels = new
-        if done:
-            break
-    return labels.select("doc_id", "id", F.col("label").alias("canonical_id"))
+    held = named.select("doc_id", "id", F.explode("tokens").alias("token"))
+    shared = held.groupBy("doc_id", "token").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "token")
+    if mode == "components":
+        node = held.join(shared, ["doc_id", "token"]).select("doc_id", "token", F.struct("doc_id", "id").alias("id"))
+        label = components(stars(node, ["doc_id", "token"])).select("node.doc_id", "node.id", F.col("label.id").alias("canonical_id"))
+        return named.select("doc_id", "id").join(label, ["doc_id", "id"], "left").select("doc_id", "id", F.coalesce("canonical_id", "id").alias("canonical_id"))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id", kind="stable")
+        to = greedy_owners(pdf["id"].tolist(), [list(t) for t in pdf["tokens"]])
+        return pd.DataFrame({"doc_id": pdf["doc_id"].tolist(), "id": pdf["id"].tolist(), "canonical_id": to})
+
+    # the shared tokens of an entity in their order; a document is null-safe as a key of the group
+    tied = named.select("doc_id", "id", F.posexplode("tokens").alias("pos", "token")).join(shared, ["doc_id", "token"], "left_semi").groupBy("doc_id", "id").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]).alias("tokens"))
+    owned = tied.groupBy("doc_id").applyInPandas(run, "doc_id string, id string, canonical_id string")
+    return named.select("doc_id", "id").join(owned, ["doc_id", "id"], "left").select("doc_id", "id", F.coalesce("canonical_id", "id").alias("canonical_id"))
 
 
 def merge(entities: DataFrame, owners: DataFrame) -> DataFrame:

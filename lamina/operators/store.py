@@ -7,7 +7,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import current_rows
+from ..runtime import current_rows, cut
 from ..schemas import SCHEMAS
 
 KEYS = ("obj_type", "obj_id")
@@ -79,6 +79,28 @@ def residuals_for_segment(residuals: DataFrame, segment_id: str) -> DataFrame:
     return residuals.where(F.col("segment_id") == segment_id)
 
 
+def save_validated(store: DataFrame, batch: DataFrame, segments: DataFrame, texts: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(store after the batch, saved keys, violations): rows of the batch (obj_type, obj_id, data, loaded_at) that no error names are saved, the others skipped.
+
+    References resolve within the batch and against the ids of the store and the segments; of an id that stands twice in
+    the batch the latest row is meant. Errors name rows by class and id, not by words in a message. Writes the
+    typed batch and the violations.
+    """
+    from . import validate as va
+
+    latest = cut(compact(batch), "batch")
+    frames, broken = va.json_rows(latest)
+    objects = {k: cut(v, f"batch-{k}") for k, v in frames.items() if k in ("Entity", "Event", "Claim", "Relation", "Residual", "IgnoreSegment")}
+    others = {k: v for k, v in frames.items() if k in ("Document", "Block", "CoverageReport")}
+    outside = id_index(store).select(F.col("obj_type").alias("type"), F.col("obj_id").alias("id")).unionByName(segments.select(F.lit("Segment").alias("type"), "id")).unionByName(latest.select(F.col("obj_type").alias("type"), F.col("obj_id").alias("id")))
+    found = [broken, va.schema({**objects, **others}), va.references(objects, outside), va.evidence(objects, segments, texts), va.self_claims(objects["Claim"])]
+    found.append(va.rows_of_rules(va.claim_safety(objects["Claim"], objects["Relation"])))
+    violations = cut(va.union(found), "violations")
+    bad = violations.where("severity = 'ERROR'").select("obj_type", "obj_id").distinct()
+    good = latest.join(bad, list(KEYS), "left_anti")
+    return upsert(store, good), good.select(*KEYS), violations
+
+
 def save(store: DataFrame, path: str) -> None:
     """Write partitioned by class, so that a class filter prunes folders."""
     store.write.mode("overwrite").partitionBy("obj_type").parquet(path)

@@ -73,14 +73,14 @@ def _numbered(df: DataFrame) -> DataFrame:
     return df.withColumn("symbol", F.when(k == 0, F.col("base")).otherwise(F.concat("base", F.lit("_"), k.cast("string"))))
 
 
-def assign(objects: dict[str, DataFrame], package: str = "doc_id", rounds: int = 8) -> DataFrame:
+def assign(objects: dict[str, DataFrame], package: str = "doc_id") -> DataFrame:
     """package, obj_type, id, symbol, module. Equal bases get _1, _2, .. in class and id order.
 
     A numbered symbol may equal another object's own base; such clashes (rare) are numbered again
-    until none is left.
+    until none is left; every round makes them longer, so it ends.
     """
     table = cut(_numbered(bases(objects, package)).select("package", "obj_type", "id", "base", "symbol"), "symbols")
-    for _ in range(rounds):
+    while True:
         twice = table.groupBy("package", "symbol").agg(F.count("*").alias("n")).where("n > 1")
         if twice.limit(1).count() == 0:
             break
@@ -108,10 +108,18 @@ def double_ids(objects: dict[str, DataFrame]) -> DataFrame:
     return out.groupBy("id").agg(F.count("*").alias("classes")).where("classes > 1")
 
 
-def references_as_symbols(references: DataFrame, table: DataFrame) -> DataFrame:
-    """References with the symbol of their target; ``symbol`` null: it points nowhere."""
-    s = table.select(F.col("id").alias("target_id"), "symbol")
-    return references.join(s, "target_id", "left").select("obj_type", "obj_id", "field", "pos", "target_id", "symbol")
+def references_as_symbols(references: DataFrame, table: DataFrame, strict: bool = False, shown: int = 3) -> DataFrame:
+    """References with the symbol, class and module of their target in the same package; null where the package does not hold it.
+
+    ``strict`` raises and names at most ``shown`` that point nowhere.
+    """
+    s = table.select(F.col("package").alias("doc_id"), F.col("id").alias("target_id"), "symbol", F.col("module").alias("target_module"), F.col("obj_type").alias("target_class"))
+    out = references.join(s, ["doc_id", "target_id"], "left").select("doc_id", "obj_type", "obj_id", "field", "pos", "target_id", "symbol", "target_module", "target_class")
+    if strict:
+        lost = out.where("symbol is null").limit(shown).collect()
+        if lost:
+            raise LookupError("; ".join(f"{r.obj_type} {r.obj_id}.{r.field}: {r.target_id} has no symbol in {r.doc_id}" for r in lost))
+    return out
 
 
 def export_order(obj_type: str) -> list[str]:

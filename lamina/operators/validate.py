@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import CLOSED, REQUIRED
+from ..schemas import CLOSED, COVERAGE_STATUSES, REQUIRED
 from . import evidence as ev
 from . import references as rf
 
@@ -40,7 +40,13 @@ def schema(objects: dict[str, DataFrame]) -> DataFrame:
             checks.append(F.when(F.col(c).isNotNull() & ~F.col(c).isin(*allowed), F.struct(F.lit(c).alias("field"), F.lit("not allowed").alias("problem"))))
         if name == "Claim" and "confidence" in df.columns:
             checks.append(F.when(~F.col("confidence").between(0, 1), F.struct(F.lit("confidence").alias("field"), F.lit("out of range").alias("problem"))))
-        bad = df.select("doc_id", "id", F.explode(F.filter(F.array(*checks), lambda x: x.isNotNull())).alias("x"))
+        if name == "CoverageReport" and "status_counts" in df.columns:
+            other = F.exists(F.map_keys("status_counts"), lambda k: ~k.isin(*COVERAGE_STATUSES))
+            checks.append(F.when(F.coalesce(other, F.lit(False)), F.struct(F.lit("status_counts").alias("field"), F.lit("not allowed").alias("problem"))))
+        if not checks:
+            continue
+        doc = F.col("doc_id") if "doc_id" in df.columns else F.lit(None).cast("string").alias("doc_id")
+        bad = df.select(doc, "id", F.explode(F.filter(F.array(*checks), lambda x: x.isNotNull())).alias("x"))
         parts.append(_rows(bad, "schema", "ERROR", name, F.col("x.field"), F.col("x.problem")))
     return union(parts)
 
@@ -119,6 +125,11 @@ def claim_safety(claims: DataFrame, relations: DataFrame, only_with_relations: b
     return out
 
 
+def rows_of_rules(broken: DataFrame) -> DataFrame:
+    """Violations of the rules that :func:`claim_safety` found broken."""
+    return _rows(broken, "claim_safety", "ERROR", "Claim", "modality", F.col("rule"))
+
+
 def coverage(statuses: DataFrame) -> DataFrame:
     """Documents with uncovered segments, as warnings. ``statuses``: doc_id, status."""
     n = statuses.where("status = 'uncovered'").groupBy("doc_id").agg(F.count("*").alias("n")).withColumn("id", F.col("doc_id"))
@@ -132,7 +143,7 @@ def validate(objects: dict[str, DataFrame], segments: DataFrame, external: DataF
     if "Claim" in objects:
         parts.append(self_claims(objects["Claim"]))
         if "Relation" in objects:
-            parts.append(_rows(claim_safety(objects["Claim"], objects["Relation"]), "claim_safety", "ERROR", "Claim", "modality", F.col("rule")))
+            parts.append(rows_of_rules(claim_safety(objects["Claim"], objects["Relation"])))
     return union(parts)
 
 
@@ -142,6 +153,25 @@ def accepted(df: DataFrame, obj_type: str, violations: DataFrame) -> DataFrame:
     return df.join(bad, "id", "left_anti")
 
 
+def json_rows(rows: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Typed frames by class and the violations of the grammar, from store rows (obj_type, obj_id, data).
+
+    What is not JSON, or has no declared class, or whose JSON does not fit the class, is a violation and in no frame.
+    """
+    from ..schemas import SCHEMAS
+
+    frames, parts = {}, []
+    ids = F.coalesce(F.col("obj_id"), F.lit("?"))
+    unknown = rows.where(F.col("obj_type").isNull() | ~F.col("obj_type").isin(*SCHEMAS))
+    parts.append(_rows(unknown.select(F.lit(None).cast("string").alias("doc_id"), "obj_type", ids.alias("id")), "grammar", "ERROR", F.coalesce("obj_type", F.lit("")), "", "unknown type"))
+    for name, ddl in SCHEMAS.items():
+        own = rows.where(F.col("obj_type") == name).select("obj_id", F.from_json("data", ddl + ", _broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}).alias("d"))
+        fits = F.col("d").isNotNull() & F.col("d._broken").isNull() & F.col("d.id").isNotNull()
+        parts.append(_rows(own.where(~fits).select(F.col("d.doc_id") if "doc_id string" in ddl else F.lit(None).cast("string").alias("doc_id"), ids.alias("id")), "grammar", "ERROR", name, "data", "does not fit the class"))
+        frames[name] = own.where(fits).select("d.*").drop("_broken")
+    return frames, union(parts)
+
+
 class ValidationFailed(ValueError):
     """Raised by :func:`stop_on_errors`."""
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import os
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,13 +51,19 @@ def expand(answers: DataFrame, segments: DataFrame) -> Tables:
     }
 
 
-def compile_texts(texts: DataFrame, answers: DataFrame | None = None, attempts: int = 2) -> Tables:
+def expand_verbose(answers: DataFrame, segments: DataFrame) -> Tables:
+    """Entity, Event and Claim tables from verbose answers. Their relations are derived from the claims like all others."""
+    tables = ca.verbose_tables(cut(ca.verbose_rows(answers), "verbose"), segments)
+    return {k: cut(v, k.lower()) for k, v in tables.items() if k != "Relation"}
+
+
+def compile_texts(texts: DataFrame, answers: DataFrame | None = None, attempts: int = 2, protocol: str = "compact") -> Tables:
     """All tables of the texts: text layer, resolved and repaired objects, relations, residuals, coverage and violations left."""
     t = text_only(texts)
     if answers is None:
         return t
     segments = t["Segment"]
-    objects = expand(answers, segments)
+    objects = expand_verbose(answers, segments) if protocol == "verbose" else expand(answers, segments)
     owners = cut(rs.canonical(objects["Entity"]), "owners")
     entities = cut(rs.merge(objects["Entity"], owners), "entities")
     events = rs.rewrite_array(objects["Event"], owners, "participants")
@@ -71,23 +79,40 @@ def compile_texts(texts: DataFrame, answers: DataFrame | None = None, attempts:
     return {**t, **objects, "Residual": residuals, "Violation": left, "Coverage": cut(co.reports(status, t["Document"]), "coverage")}
 
 
-def emit(tables: Tables, target: str) -> dict[str, list[str]]:
-    """Write one package per document below ``target``; {document: files}. A driver loop over documents, for libraries of files."""
+def emit(tables: Tables, target: str) -> DataFrame:
+    """Write one package per document below ``target``, a folder that all executors share; package, files, error of each.
+
+    A package is rendered, checked by an import and moved into place by one task, so nothing of the library passes the
+    driver. A package that fails leaves its old folder as it was and gives an error; the others are written.
+    """
     objects = {k: tables[k] for k in sy.ORDER if k in tables}
     table = cut(sy.assign(objects), "symbols")
     lines = package.rendered(objects, table, rf.refs(objects))
-    homes: dict[str, dict[str, str]] = {}
-    for r in table.toLocalIterator():
-        homes.setdefault(r.package, {})[r.symbol] = r.module
-    sources: dict[str, dict[str, str]] = {}
-    for r in package.modules(lines).toLocalIterator():
-        sources.setdefault(r.package, {})[r.module] = r.source
-    coverage: dict[str, str] = {}
+    parts = package.modules(lines).select("package", F.lit("module").alias("what"), F.col("module").alias("key"), F.col("source").alias("value"))
+    parts = parts.unionByName(table.select("package", F.lit("symbol").alias("what"), F.col("symbol").alias("key"), F.col("module").alias("value")))
     if "Coverage" in tables:
-        for r in tables["Coverage"].toLocalIterator():
-            data = {"id": r.id, "doc_id": r.doc_id, "total_segments": r.total_segments, "status_counts": dict(r.status_counts), "requires_raw_fallback": list(r.requires_raw_fallback), "generated_at": r.generated_at}
-            coverage[r.doc_id] = "\n".join([package.HEADER, f"from {package.ONTOLOGY} import CoverageReport", "", package.render("CoverageReport", "coverage_report", data, {}), ""])
-    return {doc: package.write_package(sources[doc], homes[doc], os.path.join(target, doc), coverage.get(doc, "")) for doc in sorted(sources)}
+        parts = parts.unionByName(tables["Coverage"].select(F.col("doc_id").alias("package"), F.lit("coverage").alias("what"), F.lit("").alias("key"), F.to_json(F.struct("*")).alias("value")))
+
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        doc = pdf["package"].iloc[0]
+        of = lambda what: {k: v for w, k, v in zip(pdf["what"], pdf["key"], pdf["value"]) if w == what}
+        coverage = of("coverage").get("", "")
+        if coverage:
+            coverage = "\n".join([package.HEADER, f"from {package.ONTOLOGY} import CoverageReport", "", package.render("CoverageReport", "coverage_report", json.loads(coverage), {}), ""])
+        try:
+            files, error = package.write_package(of("module"), of("symbol"), os.path.join(target, doc), coverage), None
+        except Exception as e:  # one package that fails must not stop the others
+            files, error = [], f"{type(e).__name__}: {e}"
+        return pd.DataFrame([(doc, ", ".join(files), error)], columns=["package", "files", "error"])
+
+    return cut(parts.where("package is not null").groupBy("package").applyInPandas(write, "package string, files string, error string"), "emitted")
+
+
+def stop_on_failed(emitted: DataFrame, shown: int = 3) -> None:
+    """Raise when a package could not be written, naming at most ``shown``."""
+    bad = emitted.where("error is not null").limit(shown).collect()
+    if bad:
+        raise RuntimeError("; ".join(f"{r.package}: {r.error}" for r in bad))
 
 
 def summary(tables: Tables) -> str:
@@ -102,14 +127,26 @@ def summary(tables: Tables) -> str:
     return json.dumps(out, sort_keys=True)
 
 
-def verify(spark: SparkSession, folder: str) -> dict[str, dict[str, float]]:
-    """The contract checks of the packages below a folder: {package: {check: value}}, with missing files counted."""
+def verify(spark: SparkSession, folder: str) -> DataFrame:
+    """package, check, value: the contract checks of the packages below a folder, missing files and failed imports counted. The folder is read by the executors."""
     sources = package.read_package(spark, folder)
-    out: dict[str, dict[str, float]] = {}
-    # file sources pass over names that start with an underscore, so the folder is listed here
-    have = {p: {n[:-3] for n in os.listdir(os.path.join(folder, p)) if n.endswith(".py")} for p in os.listdir(folder) if os.path.isdir(os.path.join(folder, p))}
-    for r in package.contract(sources.where("module not in ('__init__', 'coverage') and source like '%import%'")).collect():
-        out.setdefault(r.package, {})[r.check] = r.value
-    for p, files in have.items():
-        out.setdefault(p, {})["missing_files"] = float(len(set(package.FILES) - files))
-    return out
+    checks = package.contract(sources.where("module not in ('__init__', 'coverage') and source like '%import%'"))
+    names = [p for p in os.listdir(folder) if os.path.isdir(os.path.join(folder, p)) and not p.startswith(".")]
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for p in pdf["package"]:
+                have = {n[:-3] for n in os.listdir(os.path.join(folder, p)) if n.endswith(".py")}
+                rows.append((p, "missing_files", float(len(set(package.FILES) - have))))
+                try:
+                    package.import_check(os.path.join(folder, p))
+                    failed = 0.0
+                except Exception:
+                    failed = 1.0
+                rows.append((p, "failed_imports", failed))
+            yield pd.DataFrame(rows, columns=["package", "check", "value"])
+
+    # file sources pass over names that start with an underscore, so each task lists its folders; the driver knows names only
+    listed = spark.createDataFrame([(n,) for n in names], "package string").repartition(max(1, min(len(names), 64)))
+    return checks.unionByName(listed.mapInPandas(look, "package string, check string, value double"))

@@ -67,16 +67,25 @@ class Base:
     def store(self) -> DataFrame:
         return st.compact(table(self.spark, self.dir, "objects"))
 
+    def keyed(self) -> dict[str, DataFrame]:
+        """The objects with their ids and foreign keys only, so that nothing else is read and shuffled."""
+        names = {"Entity": "entities", "Event": "kg_events", "Claim": "claims", "Relation": "relations"}
+        keys = {c: tuple(k.field.split(".")[0] for k in rf.FOREIGN_KEYS if k.obj_type == c) for c in names}
+        return {c: current(table(self.spark, self.dir, n), only=("doc_id", *keys[c])) for c, n in names.items()}
+
+    def refs(self) -> DataFrame:
+        return rf.refs(self.keyed())
+
     def residuals(self) -> DataFrame:
         return st.load_all(self.store(), "Residual").where(F.col("segment_id").isNotNull())
 
     def ignores(self) -> DataFrame:
-        return self.spark.createDataFrame([], "id string, segment_id string, reason string")
+        return st.load_all(self.store(), "IgnoreSegment").where(F.col("segment_id").isNotNull())
 
     def index(self) -> DataFrame:
         seeds = table(self.spark, self.dir, "seed_entities").select(F.lit("Entity").alias("type"), "id")
         docs = table(self.spark, self.dir, "documents").select(F.lit("Document").alias("type"), F.col("doc_key").alias("id"))
-        return rf.ids({**self.objects(), "Segment": self.segments}, seeds.unionByName(docs))
+        return rf.ids({**self.keyed(), "Segment": current(table(self.spark, self.dir, "segments"), only=())}, seeds.unionByName(docs))
 
 
 def _cur(alias: str, name: str, deleted: bool) -> str:
@@ -181,7 +190,15 @@ def text_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sg.segments(bl.blocks(Base(spark, sf_dir).texts())).drop("text_slice")
 
 
-@query("chapters")
+_MARK = "第[一二三四五六七八九十百千零\\d]+回"
+
+
+@query(
+    "chapters",
+    f"""with m as (select doc_key doc_id, text, unnest(regexp_extract_all(text, '{_MARK}')) mark, unnest(string_split_regex(text, '{_MARK}')[2:]) rest, unnest(range(len(regexp_extract_all(text, '{_MARK}')))) k, length(string_split_regex(text, '{_MARK}')[1]) lead from documents where doc_key is not null and regexp_matches(text, '{_MARK}')),
+    p as (select *, length(mark) + length(rest) n from m)
+    select doc_id, cast(k + 1 as int) chapter_no, regexp_replace(substr(string_split(mark || rest, chr(10))[1], 1, 40), '^{_WS}+|{_WS}+$', '', 'g') title, cast(lead + coalesce(sum(n) over (partition by doc_id order by k rows between unbounded preceding and 1 preceding), 0) as int) start_offset, cast(lead + sum(n) over (partition by doc_id order by k) as int) end_offset from p""",
+)
 def chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bl.chapters(Base(spark, sf_dir).texts())
 
@@ -213,7 +230,13 @@ def prompt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ca.prompt_lines(Base(spark, sf_dir).segments)
 
 
-@query("batches")
+@query(
+    "batches",
+    f"""with recursive {_SEG}, o as (select doc_id, id, length(text_slice) n, row_number() over (partition by doc_id order by block_index nulls first, start_offset nulls first, id) k, sum(length(text_slice)) over (partition by doc_id) total from sg),
+    f as (select doc_id, id, k, n used, 0 b, total from o where k = 1
+      union all select o.doc_id, o.id, o.k, case when f.total > 4000 and f.used > 0 and f.used + o.n > 4000 then o.n else f.used + o.n end, case when f.total > 4000 and f.used > 0 and f.used + o.n > 4000 then f.b + 1 else f.b end, o.total from f join o on o.doc_id = f.doc_id and o.k = f.k + 1)
+    select doc_id, id, cast(b as int) batch_index from f""",
+)
 def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ca.batches(Base(spark, sf_dir).segments)
 
@@ -350,19 +373,19 @@ def wrong_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("dangling_references", f"with {_REFS} select doc_id, obj_type, obj_id, field, cast(pos as int) pos, target_type, target_id from missing")
 def dangling_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Base(spark, sf_dir)
-    return rf.dangling(rf.refs(b.objects()), b.index()).select("doc_id", "obj_type", "obj_id", "field", "pos", "target_type", "target_id")
+    return rf.dangling(b.refs(), b.index()).select("doc_id", "obj_type", "obj_id", "field", "pos", "target_type", "target_id")
 
 
 @query("reference_issues", f"with {_REFS} select r.obj_type, r.field, count(*) total, (select count(*) from missing m where m.obj_type = r.obj_type and m.field = r.field) dangling from refs r group by 1, 2")
 def reference_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Base(spark, sf_dir)
-    return me.reference_issues(rf.refs(b.objects()), b.index())
+    return me.reference_issues(b.refs(), b.index())
 
 
 @query("segments_with_objects", f"with {_REFS} select id from sg where exists (select 1 from refs r where r.target_type = 'Segment' and r.target_id = sg.id)")
 def segments_with_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Base(spark, sf_dir)
-    return rf.segments_with_objects(b.segments, rf.refs(b.objects())).select("id")
+    return rf.segments_with_objects(b.segments, b.refs()).select("id")
 
 
 @query("duplicate_ids", "select 'Claim' obj_type, id obj_id, count(*) - 1 extra from claims where id is not null group by id having count(*) > 1 union all select 'Segment', id, count(*) - 1 from segments where id is not null group by id having count(*) > 1 union all select 'Entity', id, count(*) - 1 from entities where id is not null group by id having count(*) > 1")
@@ -386,11 +409,14 @@ _MOD = "('asserted', 'reported', 'claimed_by_source', 'uncertain', 'hypothetical
         case when text_slice is null then 'text_slice:missing' end, case when hash is null then 'hash:missing' end, case when segment_type not in ('sentence', 'clause', 'dialogue', 'table_row', 'heading', 'list_item', 'raw') then 'segment_type:not allowed' end]) from sg
       union all select 'Block', id, unnest([case when doc_id is null then 'doc_id:missing' end, case when block_index is null then 'block_index:missing' end, case when block_type is null then 'block_type:missing' end, case when start_offset is null then 'start_offset:missing' end, case when end_offset is null then 'end_offset:missing' end,
         case when text_slice is null then 'text_slice:missing' end, case when hash is null then 'hash:missing' end, case when block_type not in ('paragraph', 'heading', 'table', 'code_block', 'list', 'quote', 'raw') then 'block_type:not allowed' end]) from bl)
-    select obj_type, obj_id, split_part(x, ':', 1) field, split_part(x, ':', 2) message from v where x is not null""",
+    select obj_type, obj_id, split_part(x, ':', 1) field, split_part(x, ':', 2) message from v where x is not null
+    union all select 'Residual', id, split_part(x, ':', 1), split_part(x, ':', 2) from (select json_extract_string(data, '$.id') id, unnest([case when json_extract_string(data, '$.category') is null then 'category:missing' end, case when json_extract_string(data, '$.importance') is null then 'importance:missing' end, case when json_extract_string(data, '$.reason') is null then 'reason:missing' end,
+      case when json_extract_string(data, '$.category') not in ('structural', 'stylistic', 'pragmatic', 'modal', 'interpersonal', 'cultural', 'implication', 'other') then 'category:not allowed' end, case when json_extract_string(data, '$.importance') not in ('medium', 'high') then 'importance:not allowed' end]) x
+      from (select arg_max(data, loaded_at) data from objects where obj_type = 'Residual' group by obj_id) where json_valid(data) and json_extract_string(data, '$.segment_id') is not null) where id is not null and x is not null""",
 )
 def schema_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Base(spark, sf_dir)
-    return va.schema({**b.objects(), "Segment": b.segments, "Block": b.get("blocks")}).select("obj_type", "obj_id", "field", "message")
+    return va.schema({**b.objects(), "Segment": b.segments, "Block": b.get("blocks"), "Residual": b.residuals()}).select("obj_type", "obj_id", "field", "message")
 
 
 @query("self_claims", f"with {_CL} select id from cl where subject = object_ref and contains(subject, '_ent_')")
@@ -411,7 +437,39 @@ def claim_safety(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va.claim_safety(b.claims, b.relations)
 
 
-@query("violations_by_gate")
+_VIOL = f"""{_REFS}, {_BL},
+sgv as (select 'Segment' obj_type, id, unnest([case when doc_id is null then 'doc_id:missing' end, case when block_index is null then 'block_index:missing' end, case when segment_type is null then 'segment_type:missing' end, case when start_offset is null then 'start_offset:missing' end, case when end_offset is null then 'end_offset:missing' end,
+  case when text_slice is null then 'text_slice:missing' end, case when hash is null then 'hash:missing' end, case when segment_type not in ('sentence', 'clause', 'dialogue', 'table_row', 'heading', 'list_item', 'raw') then 'segment_type:not allowed' end]) x from sg),
+schv as (select 'Claim' obj_type, id, unnest([case when subject is null then 'subject:missing' end, case when predicate is null then 'predicate:missing' end, case when modality is null then 'modality:missing' end, case when polarity is null then 'polarity:missing' end,
+    case when modality not in {_MOD} then 'modality:not allowed' end, case when polarity not in ('positive', 'negative') then 'polarity:not allowed' end, case when confidence < 0 or confidence > 1 then 'confidence:out of range' end]) x from cl
+  union all select 'Entity', id, unnest([case when name is null then 'name:missing' end, case when kind is null then 'kind:missing' end]) from en
+  union all select 'Event', id, unnest([case when name is null then 'name:missing' end, case when kind is null then 'kind:missing' end]) from ev
+  union all select 'Relation', id, unnest([case when subject is null then 'subject:missing' end, case when predicate is null then 'predicate:missing' end, case when object_ref is null then 'object_ref:missing' end, case when claim_id is null then 'claim_id:missing' end]) from re
+  union all select * from sgv),
+evx as (select 'Entity' obj_type, id obj_id, unnest(evidence_refs) e from en union all select 'Event', id, unnest(evidence_refs) from ev union all select 'Claim', id, unnest(evidence_refs) from cl union all select 'Relation', id, unnest(evidence_refs) from re),
+spv as (select obj_type, obj_id from evx join sg s on s.id = e.segment_id where not coalesce(e.span_start >= 0 and e.span_end > e.span_start and e.span_end <= length(s.text_slice), false) or 'sha256:' || sha256(substr(s.text_slice, e.span_start + 1, e.span_end - e.span_start)) is distinct from e.quote_hash),
+nrel as (select claim_id, count(*) n from re where claim_id is not null group by 1), csf as (select cl.*, coalesce(nrel.n, 0) n from cl left join nrel on nrel.claim_id = cl.id),
+rulev as (select id, unnest([case when modality = 'inferred' and coalesce(len(derived_from), 0) = 0 then 1 end, case when n > 0 and modality = 'reported' and polarity = 'positive' then 1 end,
+  case when n > 0 and modality = 'claimed_by_source' and polarity = 'positive' then 1 end, case when n > 0 and modality in ('uncertain', 'hypothetical') then 1 end,
+  case when n > 0 and modality = 'conditional' then 1 end, case when n > 0 and polarity = 'negative' then 1 end]) r from csf),
+docv as (select s.id from sg s where s.doc_id is not null and not exists (select 1 from documents d where d.doc_key = s.doc_id)),
+objv as (
+  select 'schema' gate, 'ERROR' severity, obj_type, id obj_id from schv where x is not null
+  union all select 'reference', 'ERROR', obj_type, obj_id from missing
+  union all select 'evidence', 'ERROR', 'Claim', id from cl where coalesce(len(evidence_refs), 0) = 0 and coalesce(modality, '') <> 'inferred' union all select 'evidence', 'ERROR', 'Event', id from ev where coalesce(len(evidence_refs), 0) = 0
+  union all select 'evidence', 'ERROR', obj_type, obj_id from spv
+  union all select 'evidence', 'ERROR', 'Segment', id from sg where 'sha256:' || sha256(text_slice) is distinct from hash
+  union all select 'self_reference', 'ERROR', 'Claim', id from cl where subject = object_ref and contains(subject, '_ent_')
+  union all select 'claim_safety', 'ERROR', 'Claim', id from rulev where r is not null)"""
+
+
+@query(
+    "violations_by_gate",
+    f"""with {_VIOL}, allv as (select * from objv union all select 'reference', 'ERROR', 'Segment', id from docv
+      union all select 'evidence', case when d.doc_key is null then 'WARNING' else 'ERROR' end, 'Segment', s.id from sg s left join documents d on d.doc_key = s.doc_id and d.text is not null
+        where d.doc_key is null or ('sha256:' || sha256(s.text_slice) is not distinct from s.hash and substr(d.text, s.start_offset + 1, s.end_offset - s.start_offset) is distinct from s.text_slice))
+    select gate, severity, obj_type, count(*) issues from allv group by 1, 2, 3""",
+)
 def violations_by_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Base(spark, sf_dir)
     objects, segments = {k: cut(v, "objects") for k, v in b.objects().items()}, cut(b.segments, "segments")
@@ -450,24 +508,48 @@ def relations_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rl.dedup(Base(spark, sf_dir).relations).select("doc_id", "subject", "predicate", "object_ref", "id")
 
 
-@query("entity_resolution")
+_OWNERS = f"""{_ALL}, gt as (select doc_id, id, list_filter(list_prepend(name, coalesce(aliases, [])), lambda t: t is not null and t <> '') ts, row_number() over (partition by doc_id order by id) k from en),
+fold as (select doc_id, id, k, id as to_id, map_from_entries(list_transform(list_distinct(ts), lambda t: {{'k': t, 'v': id}})) as own from gt where k = 1
+  union all select g.doc_id, g.id, g.k, g.to_id, map_concat(g.own, map_from_entries(list_transform(list_distinct(g.ts), lambda t: {{'k': t, 'v': g.to_id}}))) from (
+    select gt.*, fold.own, coalesce(list_filter(list_transform(gt.ts, lambda t: map_extract_value(fold.own, t)), lambda o: o is not null)[1], gt.id) to_id from fold join gt on gt.doc_id = fold.doc_id and gt.k = fold.k + 1) g),
+owners as (select doc_id, id, to_id canonical_id from fold)"""
+
+
+@query("entity_resolution", f"with recursive {_OWNERS} select * from owners")
 def entity_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rs.canonical(Base(spark, sf_dir).entities)
 
 
-@query("entity_components")
+@query(
+    "entity_components",
+    f"""with recursive {_EN}, ct as (select distinct doc_id, id, unnest(list_prepend(name, coalesce(aliases, []))) t from en), ce as (select distinct a.doc_id, a.id x, b.id y from ct a join ct b on a.doc_id = b.doc_id and a.t = b.t where a.t is not null and a.t <> ''),
+    reach as (select doc_id, id x, id y from en union select r.doc_id, r.x, ce.y from reach r join ce on ce.doc_id = r.doc_id and ce.x = r.y)
+    select doc_id, x id, min(y) canonical_id from reach group by 1, 2""",
+)
 def entity_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rs.canonical(Base(spark, sf_dir).entities, mode="components")
 
 
-@query("entities_merged")
+@query(
+    "entities_merged",
+    f"""with recursive {_OWNERS}, mem as (select o.canonical_id, e.* from owners o join en e on e.id = o.id),
+    nm as (select canonical_id, id, unnest(range(1 + len(coalesce(aliases, [])))) p, unnest(list_prepend(name, coalesce(aliases, []))) n from mem), nf as (select canonical_id, n, min((id, p)) k from nm where n is not null group by 1, 2),
+    sf as (select canonical_id, list_sort(list_distinct(list(sid))) s from (select canonical_id, unnest(source_segment_ids) sid from mem) group by 1),
+    rf as (select canonical_id, count(*) r from (select distinct canonical_id, u from (select canonical_id, unnest(evidence_refs) u from mem)) group by 1)
+    select e.id, e.doc_id, e.name, e.kind, coalesce((select string_agg(n, '|' order by k) from nf where nf.canonical_id = e.id and nf.n is distinct from e.name), '') aliases, cast(coalesce(rf.r, 0) as int) evidence, coalesce(array_to_string(sf.s, '|'), '') segments
+    from en e join owners o on o.id = e.id and o.canonical_id = e.id left join sf on sf.canonical_id = e.id left join rf on rf.canonical_id = e.id""",
+)
 def entities_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = cut(Base(spark, sf_dir).entities, "entities")
     m = rs.merge(e, rs.canonical(e))
     return m.select("id", "doc_id", "name", "kind", F.array_join("aliases", "|").alias("aliases"), F.size("evidence_refs").alias("evidence"), F.array_join("source_segment_ids", "|").alias("segments"))
 
 
-@query("claims_rewritten")
+@query(
+    "claims_rewritten",
+    f"""with recursive {_OWNERS}, c as (select cl.id, coalesce(a.canonical_id, subject) subject, predicate, coalesce(b.canonical_id, object_ref) object_ref from cl left join owners a on a.id = cl.subject left join owners b on b.id = cl.object_ref)
+    select * from c where not coalesce(subject = object_ref, false)""",
+)
 def claims_rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Base(spark, sf_dir)
     owners = cut(rs.canonical(b.entities), "owners")
@@ -475,7 +557,11 @@ def claims_rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("id", "subject", "predicate", "object_ref")
 
 
-@query("participants_rewritten")
+@query(
+    "participants_rewritten",
+    f"""with recursive {_OWNERS}, p as (select id, unnest(range(len(participants))) pos, unnest(participants) x from ev), m as (select p.id, coalesce(o.canonical_id, p.x) x, min(pos) pos from p left join owners o on o.id = p.x group by 1, 2)
+    select ev.id, case when participants is null then null else coalesce((select string_agg(x, '|' order by pos) from m where m.id = ev.id), '') end participants from ev""",
+)
 def participants_rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Base(spark, sf_dir)
     return rs.rewrite_array(b.events, rs.canonical(b.entities), "participants").select("id", F.array_join("participants", "|").alias("participants"))
@@ -484,7 +570,14 @@ def participants_rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ repair, residuals, coverage
 
 
-@query("repaired")
+_GOOD = """bad as (select distinct obj_type, obj_id from objv where gate <> 'reference'), gone as (select obj_type || chr(31) || obj_id k from bad),
+ken as (select * from en where 'Entity' || chr(31) || id not in (select k from gone)), kev as (select * from ev where 'Event' || chr(31) || id not in (select k from gone)),
+kcl as (select * from cl where 'Claim' || chr(31) || id not in (select k from gone)), kre as (select * from re where 'Relation' || chr(31) || id not in (select k from gone)),
+rcl as (select * from kcl c where c.subject in (select id from ken) and (c.object_ref is null or not contains(c.object_ref, '_ent_') or c.object_ref in (select id from ken))),
+rre as (select * from kre r where r.subject in (select id from ken) and r.object_ref in (select id from ken) and r.claim_id in (select id from kcl))"""
+
+
+@query("repaired", f"with {_VIOL}, {_GOOD} select 'Entity' obj_type, id from ken union all select 'Event', id from kev union all select 'Claim', id from rcl union all select 'Relation', id from rre")
 def repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Base(spark, sf_dir)
     objects, _ = rp.repair_loop({k: cut(v, "objects") for k, v in b.objects().items()}, cut(b.segments, "segments"), attempts=1)
@@ -508,7 +601,7 @@ def residual_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("uncovered_segments", f"with {_REFS} select id from sg where not exists (select 1 from refs r where r.target_type = 'Segment' and r.target_id = sg.id)")
 def uncovered_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Base(spark, sf_dir)
-    return rp.uncovered(b.segments, rf.refs(b.objects())).select("id")
+    return rp.uncovered(b.segments, b.refs()).select("id")
 
 
 @query("second_pass", f"with {_REFS} select id from sg where not exists (select 1 from refs r where r.field = 'source_segment_ids' and r.target_id = sg.id)")
@@ -517,7 +610,16 @@ def second_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp.second_pass(b.segments, b.objects()).select("id")
 
 
-@query("raw_fallback")
+_CLASS_OF = f"""case when true then ({_CLASS}) end"""
+
+
+@query(
+    "raw_fallback",
+    f"""with {_VIOL}, bad as (select distinct obj_type, obj_id from objv union select 'Segment', id from docv), nms as (select distinct r.target_id id from refs r join bad b on b.obj_type = r.obj_type and b.obj_id = r.obj_id where r.target_type = 'Segment'),
+    a as (select sg.id segment_id, doc_id, 'structural' category, 'high' importance from sg join nms on nms.id = sg.id union all
+      select id, doc_id, category, case category when 'interpersonal' then 'high' else 'medium' end from (select id, doc_id, {_CLASS_OF} category from sg where id not in (select id from nms) and not exists (select 1 from refs r where r.target_type = 'Segment' and r.target_id = sg.id)))
+    select concat_ws('_', doc_id, 'res_raw', segment_id) id, doc_id, segment_id, category, importance from a""",
+)
 def raw_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Base(spark, sf_dir)
     objects, segments = {k: cut(v, "objects") for k, v in b.objects().items()}, cut(b.segments, "segments")
@@ -526,15 +628,15 @@ def raw_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _RES = """ob as (select obj_type, obj_id, arg_max(data, loaded_at) data from objects where obj_type is not null or obj_id is not null group by 1, 2),
 res as (select json_extract_string(data, '$.segment_id') segment_id, json_extract_string(data, '$.importance') importance, json_extract_string(data, '$.category') category from ob where obj_type = 'Residual' and json_valid(data) and json_extract_string(data, '$.id') is not null and json_extract_string(data, '$.segment_id') is not null)"""
-_STATUS = f"""{_REFS}, {_RES}, pa as (select distinct obj_type, obj_id, target_id segment_id, field = 'source_segment_ids' src from refs where target_type = 'Segment'),
+_STATUS = f"""{_REFS}, {_RES}, ign as (select distinct json_extract_string(data, '$.segment_id') segment_id from ob where obj_type = 'IgnoreSegment' and json_valid(data) and json_extract_string(data, '$.id') is not null and json_extract_string(data, '$.segment_id') is not null), pa as (select distinct obj_type, obj_id, target_id segment_id, field = 'source_segment_ids' src from refs where target_type = 'Segment'),
 se as (select p.segment_id, count(*) object_count, coalesce(bool_or(p.obj_type = 'Claim' and exists (select 1 from cl where cl.id = p.obj_id and (cl.modality is distinct from 'asserted' or cl.polarity is distinct from 'positive'))), false) doubt from pa p group by 1),
 rg as (select segment_id, bool_or(importance = 'high') high from res group by 1),
-stt as (select sg.doc_id, sg.id segment_id, case when se.segment_id is not null and rg.segment_id is null then 'covered' when se.segment_id is not null then 'partial' when rg.segment_id is not null then 'raw_only' else 'uncovered' end status, coalesce(rg.high, false) high, coalesce(se.doubt, false) doubt, coalesce(se.object_count, 0) object_count
-  from sg left join se on se.segment_id = sg.id left join rg on rg.segment_id = sg.id)"""
+stt as (select sg.doc_id, sg.id segment_id, case when ig.segment_id is not null then 'ignored' when se.segment_id is not null and rg.segment_id is null then 'covered' when se.segment_id is not null then 'partial' when rg.segment_id is not null then 'raw_only' else 'uncovered' end status, coalesce(rg.high, false) high, coalesce(se.doubt, false) doubt, coalesce(se.object_count, 0) object_count
+  from sg left join se on se.segment_id = sg.id left join rg on rg.segment_id = sg.id left join ign ig on ig.segment_id = sg.id)"""
 
 
 def _statuses(b: Base) -> DataFrame:
-    return co.status(b.segments, rf.refs(b.objects()), b.claims, b.residuals(), b.ignores())
+    return co.status(b.segments, b.refs(), b.claims, b.residuals(), b.ignores())
 
 
 @query("coverage_status", f"with {_STATUS} select doc_id, segment_id, status, status in ('partial', 'raw_only', 'uncovered') or high or doubt as raw_fallback, object_count from stt")
@@ -558,7 +660,7 @@ def coverage_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("coverage_sourced", f"with {_REFS}, h as (select distinct target_id from refs where field = 'source_segment_ids') select doc_id, count(*) segments, count(h.target_id) sourced, round(count(h.target_id) / count(*), 4) rate from sg left join h on h.target_id = sg.id group by 1")
 def coverage_sourced(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Base(spark, sf_dir)
-    return co.sourced(b.segments, rf.refs(b.objects()))
+    return co.sourced(b.segments, b.refs())
 
 
 @query(
@@ -567,7 +669,7 @@ def coverage_sourced(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def coverage_by_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Base(spark, sf_dir)
-    return co.by_count(b.segments, rf.refs(b.objects()))
+    return co.by_count(b.segments, b.refs())
 
 
 # ------------------------------------------------------------------ metrics
@@ -735,18 +837,94 @@ def symbols_assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sy.assign({"Segment": b.segments, **b.objects()})
 
 
+@query(
+    "symbol_bases_all",
+    f"""with {_ALL}, u as (
+      select doc_id package, 'Segment' obj_type, id, case when contains(id, '_seg_') then 'seg_' || regexp_extract(id, '.*_seg_(.*)$', 1) else 'seg_zh_' || substr(sha256(id), 1, 6) end base from sg
+      union all select doc_id, 'Entity', id, case when norm is not null then 'ent_' || norm else 'ent_zh_' || substr(sha256(coalesce(name, '') || id), 1, 6) end from (select *, case when regexp_full_match(name, '[A-Za-z0-9_]+') and regexp_matches(name, '[A-Za-z0-9]') then lower(name) when regexp_matches(name, '[A-Za-z0-9]') then lower(array_to_string(regexp_extract_all(name, '[A-Za-z0-9]+'), '_')) end norm from en)
+      union all select doc_id, 'Event', id, case when norm is not null then 'evt_' || norm else 'evt_zh_' || substr(sha256(coalesce(name, '') || id), 1, 6) end from (select *, case when regexp_full_match(name, '[A-Za-z0-9_]+') and regexp_matches(name, '[A-Za-z0-9]') then lower(name) when regexp_matches(name, '[A-Za-z0-9]') then lower(array_to_string(regexp_extract_all(name, '[A-Za-z0-9]+'), '_')) end norm from ev)
+      union all select doc_id, 'Claim', id, case when norm is not null and length(norm) <= 30 then 'claim_' || norm else 'claim_zh_' || substr(sha256(key || id), 1, 6) end from (select *, case when regexp_full_match(key, '[A-Za-z0-9_]+') and regexp_matches(key, '[A-Za-z0-9]') then lower(key) when regexp_matches(key, '[A-Za-z0-9]') then lower(array_to_string(regexp_extract_all(key, '[A-Za-z0-9]+'), '_')) end norm from (select *, coalesce(subject, '') || '_' || coalesce(predicate, '') || '_' || coalesce(object_ref, '') as key from cl))
+      union all select doc_id, 'Relation', id, case when contains(id, '_rel_clm_') then 'rel_clm_' || regexp_extract(id, '.*_rel_clm_(.*)$', 1) else 'rel_' || printf('%04d', row_number() over (partition by doc_id order by id) - 1) end from re)
+    select * from u""",
+)
+def symbol_bases_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = Base(spark, sf_dir)
+    return sy.bases({"Segment": b.segments, **b.objects()})
+
+
+@query("symbol_clashes", "select 0 clashes, 0 unnamed")
+def symbol_clashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Symbols that stand twice in a package, and objects without one: none may be left."""
+    b = Base(spark, sf_dir)
+    objects = {"Document": _document_rows(b), "Block": b.get("blocks"), "Segment": b.segments, **b.objects()}
+    given = sy.assign(objects)
+    twice = given.groupBy("package", "symbol").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum((F.col("n") > 1).cast("int")), F.lit(0)).cast("int").alias("clashes"))
+    none = given.agg(F.coalesce(F.sum(F.col("symbol").isNull().cast("int")), F.lit(0)).cast("int").alias("unnamed"))
+    return twice.join(none)
+
+
 @query("double_ids", f"with {_ALL}, u as (select distinct 'Segment' t, id from sg union select 'Entity', id from en union select 'Event', id from ev union select 'Claim', id from cl union select 'Relation', id from re) select id, count(*) classes from u group by 1 having count(*) > 1")
 def double_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Base(spark, sf_dir)
     return sy.double_ids({"Segment": b.segments, **b.objects()})
 
 
-@query("package_contract")
+def _document_rows(b: Base) -> DataFrame:
+    """Document rows of the texts that have objects."""
+    docs = bl.documents(b.texts()).withColumn("doc_id", F.col("id"))
+    return docs.join(b.segments.select(F.col("doc_id").alias("id")), "id", "left_semi")
+
+
+@query(
+    "package_contract",
+    f"""with {_ALL}, {_BL}, d as (select doc_id from bl union select doc_id from sg union select doc_id from en union select doc_id from ev union select doc_id from cl union select doc_id from re), n as (select count(doc_id) n from d)
+    select unnest(['grammar_errors', 'defined_twice', 'resolved_rate', 'dangling', 'wrong_symbol']) as "check", n as packages, cast(unnest([0, 0, n, 0, 0]) as double) total from n""",
+)
 def package_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's objects rendered to modules, read back and checked; counts per check over all packages."""
+    """Every document's objects rendered to modules, read back and checked: packages per check and their sum, over all packages.
+
+    References to objects that are absent or in another document cannot be imported; they are rendered as literals and
+    counted by ``dangling_references``. So a good library has 0 everywhere but in resolved_rate, which is 1.
+    """
     b = Base(spark, sf_dir)
-    objects = {"Segment": b.segments, **b.objects()}
+    objects = {"Document": _document_rows(b), "Block": b.get("blocks"), "Segment": b.segments, **b.objects(), "Residual": b.residuals().join(b.segments.select(F.col("id").alias("segment_id"), F.col("doc_id").alias("_doc")), "segment_id").withColumn("doc_id", F.col("_doc")).drop("_doc")}
     names = sy.assign(objects)
-    lines = package.rendered(objects, names, rf.refs(b.objects()))
+    lines = package.rendered(objects, names, rf.refs(objects))
     sources = cut(package.modules(lines), "modules")
-    return package.contract(sources).where("check in ('defined_twice', 'wrong_symbol')").groupBy("check").agg(F.count("*").alias("packages"), F.sum("value").alias("found"))
+    return package.contract(sources).groupBy("check").agg(F.count("*").alias("packages"), F.round(F.sum("value"), 4).alias("total"))
+
+
+# ------------------------------------------------------------------ validated saving
+
+
+def _batch(b: Base) -> DataFrame:
+    parts = [st.rows_of(k, v).withColumn("loaded_at", F.lit("2030-01-01").cast("timestamp")) for k, v in b.objects().items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query(
+    "saved_rows",
+    f"""with {_VIOL}, idx2 as (select 'Entity|Claim' t, id from idx where type in ('Entity', 'Claim') union select type, id from idx union select obj_type, obj_id from objects union select 'Entity|Claim', obj_id from objects where obj_type in ('Entity', 'Claim')),
+    miss as (select r.obj_type, r.obj_id from refs r where not exists (select 1 from idx2 i where i.t = r.target_type and i.id = r.target_id and not exists (select 1 from seed_entities s where s.id = i.id))),
+    bad as (select distinct obj_type, obj_id from (select obj_type, obj_id from objv where gate <> 'reference' and obj_type <> 'Segment' union all select * from miss)),
+    u as (select 'Entity' obj_type, id from en union all select 'Event', id from ev union all select 'Claim', id from cl union all select 'Relation', id from re)
+    select u.obj_type, count(*) rows, count(*) filter (bad.obj_id is null) saved from u left join bad on bad.obj_type = u.obj_type and bad.obj_id = u.id group by 1""",
+)
+def saved_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current objects checked against the store and each other, and those without an error saved."""
+    b = Base(spark, sf_dir)
+    batch = cut(_batch(b), "rows")
+    _, saved, _ = st.save_validated(b.store(), batch, b.segments)
+    return batch.select("obj_type", "obj_id").distinct().join(saved.withColumn("ok", F.lit(1)), ["obj_type", "obj_id"], "left").groupBy("obj_type").agg(F.count("*").alias("rows"), F.count("ok").alias("saved"))
+
+
+@query("expansion_residuals")
+def expansion_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Residuals for what went wrong while model answers were expanded."""
+    b = Base(spark, sf_dir)
+    rows = cut(ca.with_ids(ca.candidates(_answers(b))), "candidates")
+    rows = cut(ca.resolve_locals(rows, ca.local_ids(rows)), "candidates")
+    return rp.failures_to_residuals(rp.expansion_warnings(rows, b.segments, ev.place_quotes(ca.quotes_of(rows), b.segments)))

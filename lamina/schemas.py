@@ -22,7 +22,7 @@ BLOCK_TYPES = ("paragraph", "heading", "table", "code_block", "list", "quote", "
 SEGMENT_TYPES = ("sentence", "clause", "dialogue", "table_row", "heading", "list_item", "raw")
 MODALITIES = ("asserted", "reported", "claimed_by_source", "uncertain", "hypothetical", "conditional", "inferred")
 POLARITIES = ("positive", "negative")
-RESIDUAL_CATEGORIES = ("interpersonal", "stylistic", "structural", "temporal", "spatial", "causal", "emotional", "other")
+RESIDUAL_CATEGORIES = ("structural", "stylistic", "pragmatic", "modal", "interpersonal", "cultural", "implication", "other")
 IMPORTANCES = ("medium", "high")
 COVERAGE_STATUSES = ("covered", "partial", "raw_only", "uncovered", "ignored")
 
@@ -34,9 +34,14 @@ REQUIRED = {
     "Event": ("id", "name", "kind"),
     "Claim": ("id", "subject", "predicate", "modality", "polarity"),
     "Relation": ("id", "subject", "predicate", "object_ref", "claim_id"),
+    "Document": ("id", "source_path", "raw_text_hash", "total_length", "block_count", "created_at"),
+    "Residual": ("id", "segment_id", "category", "importance", "reason"),
+    "IgnoreSegment": ("id", "segment_id", "reason"),
+    "CoverageReport": ("id", "doc_id", "total_segments", "status_counts", "requires_raw_fallback", "generated_at"),
 }
 CLOSED = {
     "Block": {"block_type": BLOCK_TYPES},
     "Segment": {"segment_type": SEGMENT_TYPES},
     "Claim": {"modality": MODALITIES, "polarity": POLARITIES},
+    "Residual": {"category": RESIDUAL_CATEGORIES, "importance": IMPORTANCES},
 }

@@ -7,10 +7,13 @@ depend on the object set only, rows are ordered, nothing reads the clock.
 from __future__ import annotations
 
 import ast
+import importlib.util
 import json
 import os
 import shutil
+import sys
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -55,10 +58,20 @@ def preview(data: dict, width: int = 40) -> str:
     return " ".join(str(text or "").split())[:width]
 
 
+def _rank(c: str) -> F.Column:
+    return F.element_at(F.create_map(*[x for i, n in enumerate(sy.ORDER) for x in (F.lit(n), F.lit(i))]), F.col(c))
+
+
 def rendered(objects: dict[str, DataFrame], table: DataFrame, references: DataFrame) -> DataFrame:
-    """package, module, obj_type, id, symbol, line: every object as source text. References are looked up by a join."""
-    named = sy.references_as_symbols(references, table).where(F.col("symbol").isNotNull())
-    own = named.groupBy("obj_type", F.col("obj_id").alias("id")).agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("target_id", "symbol")))).alias("known"))
+    """package, module, obj_type, id, symbol, line, uses: every object as source text and the (symbol, module) it names.
+
+    References are looked up by a join. A target of another package, or of the same module and defined later, stays a literal id.
+    """
+    named = sy.references_as_symbols(references.where(F.substring_index("field", ".", -1).isin(*_REFERENCES)), table).where(F.col("symbol").isNotNull())
+    modules_ = F.create_map(*[x for k, v in sy.MODULES.items() for x in (F.lit(k), F.lit(v))])
+    own_rank, rank = _rank("obj_type"), _rank("target_class")
+    above = (F.element_at(modules_, F.col("obj_type")) != F.col("target_module")) | (rank < own_rank) | ((rank == own_rank) & (F.col("target_id") < F.col("obj_id")))
+    own = named.where(above).groupBy("obj_type", F.col("obj_id").alias("id")).agg(F.collect_set(F.struct("target_id", "symbol", F.col("target_module").alias("module"))).alias("k"))
     out = None
     for name, df in objects.items():
         cols = [c for c in df.columns if c not in ("loaded_at", "is_deleted")]
@@ -67,45 +80,30 @@ def rendered(objects: dict[str, DataFrame], table: DataFrame, references: DataFr
 
     @F.pandas_udf("string")
     def line(obj_type: pd.Series, symbol: pd.Series, data: pd.Series, known: pd.Series) -> pd.Series:
-        return pd.Series([render(t, s, json.loads(d), dict(k) if k is not None else {}) for t, s, d, k in zip(obj_type, symbol, data, known)])
+        return pd.Series([render(t, s, json.loads(d), {x["target_id"]: x["symbol"] for x in k} if k is not None else {}) for t, s, d, k in zip(obj_type, symbol, data, known)])
 
     rows = out.join(table, ["obj_type", "id"]).join(own, ["obj_type", "id"], "left")
-    return rows.select("package", "module", "obj_type", "id", "symbol", line("obj_type", "symbol", "data", "known").alias("line"))
+    uses = F.coalesce(F.transform("k", lambda x: F.struct(x["symbol"].alias("symbol"), x["module"].alias("module"))), F.array().cast("array<struct<symbol:string,module:string>>"))
+    return rows.select("package", "module", "obj_type", "id", "symbol", line("obj_type", "symbol", "data", "k").alias("line"), uses.alias("uses"))
 
 
 def modules(lines: DataFrame) -> DataFrame:
     """package, module, source: header, imports that are used, assignments in order. One row per module of a document."""
-    rank = F.element_at(F.create_map(*[x for i, n in enumerate(sy.ORDER) for x in (F.lit(n), F.lit(i))]), F.col("obj_type"))
-    per = lines.groupBy("package", "module").agg(F.sort_array(F.collect_set("obj_type")).alias("types"), F.sort_array(F.collect_list(F.struct(rank.alias("r"), "id", "symbol", "line"))).alias("rows"))
+    used = lines.select("package", F.col("module").alias("_m"), F.explode("uses").alias("u")).where("u.module <> _m").groupBy("package", F.col("_m").alias("module")).agg(F.sort_array(F.collect_set("u")).alias("uses"))
+    per = lines.groupBy("package", "module").agg(F.sort_array(F.collect_set("obj_type")).alias("types"), F.sort_array(F.collect_list(F.struct(_rank("obj_type").alias("r"), "id", "symbol", "line"))).alias("rows"))
 
     @F.pandas_udf("string")
-    def source(module: pd.Series, types: pd.Series, rows: pd.Series) -> pd.Series:
+    def source(types: pd.Series, rows: pd.Series, uses: pd.Series) -> pd.Series:
         out = []
-        for m, ts, rs in zip(module, types, rows):
-            body = [r["line"] for r in rs]
-            own = {r["symbol"] for r in rs}
-            used = sorted({n.id for n in ast.walk(ast.parse("\n".join(body))) if isinstance(n, ast.Name)} - own - set(ts) - {"dict"})
-            head = [HEADER, f"from {ONTOLOGY} import {', '.join(ts)}"]
-            if used:
-                head.append(f"# uses {', '.join(used)}")
-            out.append("\n".join([*head, "", *body, ""]))
+        for ts, rs, us in zip(types, rows, uses):
+            by: dict[str, list[str]] = {}
+            for u in us if us is not None else ():
+                by.setdefault(u["module"], []).append(u["symbol"])
+            head = [HEADER, f"from {ONTOLOGY} import {', '.join(ts)}", *[f"from .{m} import {', '.join(sorted(by[m]))}" for m in FILES if m in by]]
+            out.append("\n".join([*head, "", *[r["line"] for r in rs], ""]))
         return pd.Series(out)
 
-    return per.select("package", "module", source("module", "types", "rows").alias("source"))
-
-
-def live_imports(source: str, homes: dict[str, str]) -> str:
-    """The module with its ``# uses`` line turned into grouped imports. ``homes``: symbol -> module."""
-    out = []
-    for text in source.split("\n"):
-        if text.startswith("# uses "):
-            by: dict[str, list[str]] = {}
-            for s in text[7:].split(", "):
-                by.setdefault(homes[s], []).append(s)
-            out += [f"from .{m} import {', '.join(sorted(ss))}" for m, ss in sorted(by.items())]
-        else:
-            out.append(text)
-    return "\n".join(out)
+    return per.join(used, ["package", "module"], "left").select("package", "module", source("types", "rows", "uses").alias("source"))
 
 
 def surface(homes: dict[str, str]) -> str:
@@ -118,8 +116,34 @@ def surface(homes: dict[str, str]) -> str:
     return "\n".join([*lines, *[f"    {s!r}," for m in order for s in sorted(by[m])], "]", ""])
 
 
-def write_package(sources: dict[str, str], homes: dict[str, str], target: str, coverage: str = "") -> list[str]:
-    """Write the modules of one document next to the target, check that they parse, then move them into place.
+def import_check(folder: str) -> None:
+    """Import a package from its folder under a name of its own, and let it go again. Raises what the import raises.
+
+    The modules hold constructor calls only; the grammar is checked first, so nothing else can run.
+    """
+    for n in sorted(os.listdir(folder)):
+        if n.endswith(".py") and n != "__init__.py":
+            with open(os.path.join(folder, n), encoding="utf-8") as f:
+                _, errors = read_module(f.read())
+            if errors:
+                raise ImportError(f"{n}: {errors[0]}")
+    name = f"_lamina_check_{uuid.uuid4().hex}"
+    spec = importlib.util.spec_from_file_location(name, os.path.join(folder, "__init__.py"), submodule_search_locations=[folder])
+    module = importlib.util.module_from_spec(spec)
+    sys.modules[name] = module
+    before, sys.dont_write_bytecode = sys.dont_write_bytecode, True
+    try:
+        spec.loader.exec_module(module)
+        for s in getattr(module, "__all__", []):
+            getattr(module, s)
+    finally:
+        sys.dont_write_bytecode = before
+        for k in [k for k in sys.modules if k == name or k.startswith(name + ".")]:
+            del sys.modules[k]
+
+
+def write_package(sources: dict[str, str], homes: dict[str, str], target: str, coverage: str = "", check: bool = True) -> list[str]:
+    """Write the modules of one document next to the target, check that they parse and (``check``) can be imported, then move them into place.
 
     A folder that holds files without our header is not overwritten; on failure the old one stays.
     """
@@ -134,10 +158,12 @@ def write_package(sources: dict[str, str], homes: dict[str, str], target: str, c
     stage = tempfile.mkdtemp(prefix=".stage-", dir=parent)
     try:
         for m in FILES:
-            text = surface(homes) if m == "__init__" else live_imports(sources[m], homes) if m in sources else coverage if m == "coverage" and coverage else HEADER + "\n"
+            text = surface(homes) if m == "__init__" else sources[m] if m in sources else coverage if m == "coverage" and coverage else HEADER + "\n"
             compile(text, m, "exec")
             with open(os.path.join(stage, f"{m}.py"), "w", encoding="utf-8") as f:
                 f.write(text)
+        if check:
+            import_check(stage)
         backup = None
         if os.path.isdir(target):
             backup = stage + ".old"
@@ -274,7 +300,7 @@ def contract(sources: DataFrame) -> DataFrame:
     used = names.where("role = 'used'")
     twice = defined.groupBy("package", "symbol").agg(F.count("*").alias("n")).where("n > 1").groupBy("package").agg(F.count("*").cast("double").alias("value")).withColumn("check", F.lit("defined_twice"))
     hit = used.join(defined.select("package", "symbol").distinct().withColumn("hit", F.lit(1)), ["package", "symbol"], "left")
-    rate = hit.groupBy("package").agg((F.count("hit") / F.count("*")).alias("value")).withColumn("check", F.lit("resolved_rate"))
+    rate = sources.select("package").distinct().join(hit.groupBy("package").agg((F.count("hit") / F.count("*")).alias("value")), "package", "left").select("package", F.coalesce("value", F.lit(1.0)).alias("value"), F.lit("resolved_rate").alias("check"))
     dangling = hit.where("hit is null").groupBy("package").agg(F.count("*").cast("double").alias("value")).withColumn("check", F.lit("dangling"))
     rows = parsed(sources)
     errors = rows.where("error is not null").groupBy("package").agg(F.count("*").cast("double").alias("value")).withColumn("check", F.lit("grammar_errors"))

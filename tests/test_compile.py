@@ -4,8 +4,14 @@ import os
 import pytest
 
 from lamina.__main__ import main, parser
-from lamina.operators.candidates import batches
+from pyspark.sql import functions as F
+
+from lamina.operators import candidates as ca
+from lamina.operators import evidence as ev
+from lamina.operators import repair as rp
+from lamina.operators.candidates import batches, is_noise
 from lamina.plans import compile as co
+from lamina.plans import extract
 from lamina.sources import model, texts
 
 TEXT = "# Report\n\nAnn met Bob. Bob left.\n\nNobody came."
@@ -35,11 +41,18 @@ def test_compile_emit_verify(spark, tmp_path):
     assert t["Violation"].where("severity = 'ERROR'").count() == 0
     cov = t["Coverage"].collect()[0]
     assert cov.total_segments == 4 and cov.status_counts["covered"] == 2 and cov.status_counts["raw_only"] == 2
-    assert set(co.emit(t, str(tmp_path))) == {"d"}
+    assert [(r.package, r.error) for r in co.emit(t, str(tmp_path)).collect()] == [("d", None)]
     first = {n: (tmp_path / "d" / n).read_text() for n in os.listdir(tmp_path / "d")}
     co.emit(t, str(tmp_path))
     assert first == {n: (tmp_path / "d" / n).read_text() for n in os.listdir(tmp_path / "d")}
-    assert co.verify(spark, str(tmp_path))["d"] == {"defined_twice": 0, "dangling": 0, "grammar_errors": 0, "wrong_symbol": 0, "resolved_rate": 1, "missing_files": 0}
+    checks = {r.check: r.value for r in co.verify(spark, str(tmp_path)).collect()}
+    assert checks == {"defined_twice": 0, "dangling": 0, "grammar_errors": 0, "wrong_symbol": 0, "resolved_rate": 1, "missing_files": 0, "failed_imports": 0}
+    (tmp_path / "d" / "text.py").write_text("import os", encoding="utf-8")
+    failed = co.emit(t, str(tmp_path)).collect()
+    assert "was not generated here" in failed[0].error and (tmp_path / "d" / "text.py").read_text() == "import os"
+    with pytest.raises(RuntimeError, match="not generated"):
+        co.stop_on_failed(spark.createDataFrame(failed, "package string, files string, error string"))
+    assert {r.check: r.value for r in co.verify(spark, str(tmp_path)).collect()}["failed_imports"] == 1
     assert json.loads(co.summary(t))["objects"]["Claim"] == 2
 
 
@@ -59,6 +72,8 @@ def test_model_client(spark):
     prompts = model.batch_prompts(seg, batches(seg, 10), model.INSTRUCTION)
 
     def client(prompt):
+        if "Report" in prompt:
+            return "[]"
         if "Nobody" in prompt:
             raise TimeoutError("late")
         return "[]"
@@ -82,3 +97,62 @@ def test_aliases_found_nowhere_merge_nothing(spark):
     assert got == {"d_ent_0001": (["Bob left"], ["d_seg_0002", "d_seg_0003"]), "d_ent_0002": (["Nobody", "Bob. Bob"], ["d_seg_0002", "d_seg_0003", "d_seg_0004"])}
     t = co.compile_texts(texts.from_memory(spark, {"d": TEXT}), df)
     assert {r.id for r in t["Entity"].collect()} == {"d_ent_0001", "d_ent_0002"}
+
+
+def test_verbose_answers(spark):
+    raw = """Here: [
+      {"type": "Entity", "data": {"id": "d_char_0001", "name": "Ann", "kind": "person", "aliases": ["Annie", "Bob"], "source_segment_ids": ["d_seg_0002"]}}, // a person
+      {"type": "Entity", "name": "Bob", "kind": "person", "source_segment_ids": ["d_seg_0002"]},
+      {"type": "Event", "data": {"name": "meeting", "participants": ["d_char_0001", "x"], "source_segment_ids": ["d_seg_0002"]}},
+      {"type": "Claim", "data": {"subject": "d_char_0001", "predicate": "met", "object": "Bob", "modality": "asserted", "polarity": "positive", "source_segment_ids": ["d_seg_0002"]}},
+      {"type": "Relation", "data": {"id": "r", "subject": "d_char_0001", "predicate": "met", "object": "x", "claim_id": "d_clm_0001"}},
+      {"type": "Other", "data": {}}, {"type": "Entity", "na"""
+    seg = co.text_only(texts.from_memory(spark, {"d": TEXT}))["Segment"]
+    rows = ca.verbose_rows(spark.createDataFrame([("d", 0, raw), ("d", 1, None)], "doc_id string, batch_index int, raw_text string"))
+    t = ca.verbose_tables(rows, seg)
+    assert [(r.id, r.name, r.aliases) for r in t["Entity"].orderBy("id").collect()] == [("d_ent_0001", "Ann", ["Bob"]), ("d_ent_0002", "Bob", None)]
+    assert [(r.id, r.participants) for r in t["Event"].collect()] == [("d_evt_0001", ["d_ent_0001", "x"])]
+    assert [(r.id, r.subject, r.object_ref, r.confidence) for r in t["Claim"].collect()] == [("d_clm_0001", "d_ent_0001", "Bob", 1.0)]
+    assert [(r.id, r.subject) for r in t["Relation"].collect()] == [("r", "d_ent_0001")]
+
+
+def test_each_batch_knows_what_the_ones_before_named(spark):
+    seg = co.text_only(texts.from_memory(spark, {"d": TEXT, "e": "Zoe sat."}))["Segment"].cache()
+    parts = batches(seg, 12)
+    assert parts.agg(F.max("batch_index")).collect()[0][0] > 0
+
+    def client(prompt):
+        if "First" in prompt or "List the entities" in prompt:
+            return '[{"name": "Ann", "kind": "person"}]'
+        if "Report" in prompt:
+            return "[]"
+        if "Nobody" in prompt:
+            raise RuntimeError("refused")
+        said = "Ann" if "Ann met" in prompt else "Bob" if "Bob left" in prompt else "Zoe"
+        assert said != "Bob" or "- d_ent_0001 Ann" in prompt and "Look out for:" in prompt
+        return json.dumps([{"t": "E", "lid": "x", "n": said, "k": "person", "sid": [], "q": []}])
+
+    hints = extract.scan(seg, parts, client)
+    assert {(r.doc_id, r.name) for r in hints.collect()} == {("d", "Ann")}
+    seeds = spark.createDataFrame([("e", "Yan", "seed_1")], "doc_id string, name string, id string")
+    answers, names = extract.chapters(seg, parts, client, seeds=seeds, hints=hints, tries=1)
+    got = {(r.doc_id, r.name): r.id for r in names.collect()}
+    assert got[("d", "Ann")] == "d_ent_0001" and got[("d", "Bob")] == "d_ent_0002"
+    assert got[("e", "Yan")] == "seed_1" and ("e", "Zoe") in got
+    rows = answers.collect()
+    assert len(rows) == parts.join(seg.where(~is_noise(F.col("text_slice"))), ["doc_id", "id"]).select("doc_id", "batch_index").distinct().count()
+    assert [r.error for r in rows if r.error] == ["RuntimeError: refused"]
+    again, same = extract.chapters(seg, parts, kept=answers.where("raw_text is not null"), seeds=seeds)
+    assert {(r.doc_id, r.name): r.id for r in same.collect()} == got and again.where("error = 'not kept'").count() == 1
+
+
+def test_warnings_become_residuals(spark):
+    seg = co.text_only(texts.from_memory(spark, {"d": TEXT}))["Segment"]
+    raw = json.dumps([{"t": "E", "lid": "e1", "n": " ", "sid": ["d_seg_0002"], "q": ["Ann"]}, {"t": "E", "lid": "e2", "n": "Bob", "sid": ["none"]}, {"t": "EV", "n": "x", "p": ["e2", "e9"], "sid": ["d_seg_0002"], "q": "not there"}, {"t": "C", "s": "e9", "p": "is", "o": "d_ent_0099", "sid": ["d_seg_0002"], "q": "Ann"}])
+    rows = ca.with_ids(ca.candidates(spark.createDataFrame([("d", 0, raw)], "doc_id string, batch_index int, raw_text string")))
+    rows = ca.resolve_locals(rows, ca.local_ids(rows))
+    w = rp.expansion_warnings(rows, seg, ev.place_quotes(ca.quotes_of(rows), seg))
+    got = {(r.id[2:5], r.warning) for r in w.collect()}
+    assert got == {("ent", "missing name"), ("ent", "no source segment"), ("evt", "no match for a quote"), ("evt", "dangling participant"), ("evt", "no evidence"), ("clm", "subject is not an entity"), ("clm", "dangling object")}
+    res = rp.failures_to_residuals(w).collect()
+    assert len(res) == 7 and len({r.id for r in res}) == 7 and {r.category for r in res} == {"other"}
