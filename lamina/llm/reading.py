@@ -3,11 +3,13 @@
 Method. Documents and words form a bipartite graph; an edge weighs the word's share of the
 document's running text times how specific the word is to a level. Documents graded by raters are
 clamped to their mean grade. In each harmonic iteration a word takes the mean of its documents and
-a free document the mean of its words. A monotone map per language, fitted on the graded
-documents, then turns the propagated value into a grade from 1 to 5.
+a free document the mean of its words. The iterations stop after four steps, before they have settled: with few
+graded documents further steps draw all values together (measured on held-out labels, see README). A
+monotone map per language, fitted on the graded documents, then turns the propagated value into a
+grade from 1 to 5.
 
-Words are nodes by hash: 2**20 buckets per corpus, so what an iteration returns and broadcasts has a
-fixed bound (a few numbers per bucket), whatever the size of the corpus. Documents stay where they
+Words are nodes by hash: the graph has 2**20 word nodes (BUCKETS) at every size of the corpus, so what
+an iteration returns and broadcasts has a fixed bound. Words that share a node share their value. Documents stay where they
 are; an iteration is one scan with a map-side sum and a small reduction.
 
 Running text is what is left without headings, tables, list items, code and quotes' signs; a text
@@ -48,17 +50,22 @@ _EN = frozenset("the and of to in a is that it was for with but which at by so".
 
 def language(text: str) -> str:
     """Language by the text's own letters: zh, ja, th, hi, de, en or other."""
-    han, thai, deva = sum(map(len, _HAN.findall(text))), sum(map(len, _THAI.findall(text))), sum(map(len, _DEVA.findall(text)))
-    kana = len(_KANA.findall(text))
-    latin = _LATIN.findall(text.lower())
-    latin = [w for w in latin if w[0] < "ɐ"]
-    n_latin = sum(map(len, latin))
+    return _language(text, Counter(_LATIN.findall(text.lower())))
+
+
+def _language(text: str, latin: Counter) -> str:
+    """``latin``: the words of alphabetic scripts in the text."""
+    n_latin = sum(len(w) * n for w, n in latin.items() if w[0] < "ɐ")
+    if text.isascii():
+        han = thai = deva = kana = 0
+    else:
+        han, thai, deva = sum(map(len, _HAN.findall(text))), sum(map(len, _THAI.findall(text))), sum(map(len, _DEVA.findall(text)))
+        kana = len(_KANA.findall(text))
     best = max((n_latin * 0.4, "latin"), (han + kana, "han"), (thai * 0.4, "th"), (deva * 0.5, "hi"))
     if not best[0]:
         return "other"
     if best[1] == "latin":
-        words = Counter(latin)
-        de, en = sum(words[w] for w in _DE), sum(words[w] for w in _EN)
+        de, en = sum(latin[w] for w in _DE), sum(latin[w] for w in _EN)
         return "de" if de > en else "en" if en else "other"
     if best[1] == "han":
         return "ja" if kana * 10 > han + kana else "zh"
@@ -71,7 +78,8 @@ def running(text: str) -> str:
     return left if len(left.strip()) * 8 >= len(text.strip()) else text
 
 
-def words(text: str, lang: str) -> Counter:
+def words(text: str, lang: str, latin: Counter | None = None) -> Counter:
+    """Words of the running text; ``latin``: those of the whole text, where they are at hand."""
     body = running(text)
     if lang in ("zh", "ja"):
         out: Counter = Counter()
@@ -85,7 +93,7 @@ def words(text: str, lang: str) -> Counter:
         return out
     if lang == "hi":
         return Counter(_DEVA.findall(body))
-    return Counter(_LATIN.findall(body.lower()))
+    return latin if latin is not None and body == text else Counter(_LATIN.findall(body.lower()))
 
 
 _NODE: dict[str, int] = {}
@@ -113,8 +121,9 @@ def graph(documents: DataFrame, labels: DataFrame) -> DataFrame:
         for batch in texts:
             langs, ids, ns = [], [], []
             for t in batch:
-                lang = language(t)
-                i, n = nodes(words(t, lang), lang)
+                latin = Counter(_LATIN.findall(t.lower()))
+                lang = _language(t, latin)
+                i, n = nodes(words(t, lang, latin), lang)
                 langs.append(lang)
                 ids.append(i)
                 ns.append(n)

@@ -373,33 +373,51 @@ def train(rows: DataFrame, ends: DataFrame, sample: int = 6000) -> np.ndarray:
     return fit([(r.raw_text, list(r.limits) if r.limits else None) for r in picked], shares=shares)[0]
 
 
+#: Classes of ending shares in the order of :func:`share_class`.
+KNOWN = ("new", "never", "seldom", "often")
+
+
+def share_class(share: F.Column) -> F.Column:
+    """Place of an ending share among KNOWN."""
+    return F.when(share.isNull(), 0).when(share < 0.01, 1).when(share < 0.1, 2).otherwise(3)
+
+
+def chances(text: str, limits: list[int] | None, weights: np.ndarray) -> tuple[str | None, list[float]]:
+    """(word before a closing ellipsis, probability that the text was cut: one, or one for each class of that word's ending share)."""
+    note = _Asked()
+    names = describe(text, limits, note)
+
+    def chance(ns: list[str]) -> float:
+        z = weights[hashed(ns)].sum() + weights[DIM]
+        return float(1 / (1 + np.exp(-max(-30.0, min(30.0, z)))))
+
+    if note.word is None:
+        return None, [chance(names)]
+    end = ":" + KNOWN[0]
+    return note.word, [chance([n[: -len(end)] + ":" + k if n.startswith("text:ellipsis:") and n.endswith(end) else n for n in names]) for k in KNOWN]
+
+
 def score(rows: DataFrame, weights: np.ndarray, ends: DataFrame, broadcast_rows: int = 200_000) -> DataFrame:
-    """``rows`` with ``cut_score``: the probability that raw_text was cut off; null for null and empty texts.
+    """cache_key, model and ``cut_score``: the probability that raw_text was cut off; null for null and empty texts.
 
-    ``ends``: word, share. The words before an ellipsis are looked up; they are broadcast only up to ``broadcast_rows``.
+    The texts are read once: where the chance depends on how often the word before an ellipsis ends a sentence, it is worked
+    out for every class of that share, and the words alone are looked up in ``ends`` (word, share), which is broadcast only
+    up to ``broadcast_rows``. Writes the chances.
     """
     shared = rows.sparkSession.sparkContext.broadcast(weights)
 
-    @F.pandas_udf("string")
-    def word(texts: pd.Series) -> pd.Series:
-        return texts.map(asked)
-
-    @F.pandas_udf("double")
-    def probability(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.pandas_udf("struct<word:string,chances:array<double>>")
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         w = shared.value
-        for text, lims, words, shares in batches:
-            out = np.full(len(text), np.nan)
-            for i, (t, lim, x, share) in enumerate(zip(text, lims, words, shares)):
-                if t:
-                    known = {x: share} if share == share and share is not None else {}
-                    z = w[hashed(describe(t, list(lim) if lim is not None else None, known))].sum() + w[DIM]
-                    out[i] = 1 / (1 + np.exp(-max(-30.0, min(30.0, z))))
-            yield pd.Series(out)
-
-    at = rows.withColumn("word", word("raw_text"))
+        for text, lims in batches:
+            out = [chances(t, list(lim) if lim is not None else None, w) if t else (None, None) for t, lim in zip(text, lims)]
+            yield pd.DataFrame({"word": [x for x, _ in out], "chances": [c for _, c in out]})
+
+    at = cut(rows.select("cache_key", "model", run("raw_text", "limits").alias("c")).select("cache_key", "model", "c.word", "c.chances"), "chances")
     used = cut(ends.join(at.select("word").distinct(), "word", "left_semi"), "used")
     at = at.join(F.broadcast(used) if used.count() <= broadcast_rows else used, "word", "left")
-    return at.withColumn("cut_score", F.nanvl(probability("raw_text", "limits", "word", "share"), F.lit(None).cast("double"))).drop("word", "share")
+    place = F.when(F.col("word").isNull(), 0).otherwise(share_class(F.col("share")))
+    return at.select("cache_key", "model", F.get("chances", place).alias("cut_score"))
 
 
 def scored(entries: DataFrame, sample: int = 6000) -> DataFrame:
@@ -409,7 +427,7 @@ def scored(entries: DataFrame, sample: int = 6000) -> DataFrame:
     lim = limits(rows).withColumnRenamed("model", "_m")
     rows = rows.join(lim, "_m", "left").drop("_m")
     ends = ending_shares(rows)
-    return score(rows, train(rows, ends, sample), ends).select("cache_key", "model", "cut_score")
+    return score(rows, train(rows, ends, sample), ends)
 
 
 def truncated(entries: DataFrame, threshold: float = 0.5) -> DataFrame:
