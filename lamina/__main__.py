@@ -17,6 +17,11 @@ def parser() -> argparse.ArgumentParser:
         how = c.add_mutually_exclusive_group(required=True)
         how.add_argument("--text-only", action="store_true")
         how.add_argument("--answers", help="Parquet of doc_id, batch_index, raw_text")
+        how.add_argument("--llm", action="store_true", help="ask the endpoint of --provider, --url, --model (or LAMINA_* variables)")
+        for option in ("--provider", "--url", "--model", "--api-key"):
+            c.add_argument(option)
+        c.add_argument("--max-tokens", type=int)
+        c.add_argument("--json", action="store_true", help="print the summary as JSON on one line")
         c.add_argument("--attempts", type=int, default=2)
         c.add_argument("--protocol", choices=("compact", "verbose"), default="compact")
         c.add_argument("--keep-going", action="store_true", help="emit although violations are left")
@@ -27,10 +32,12 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
+    from .operators import candidates as ca
     from .operators.validate import stop_on_errors
     from .plans import compile as co
-    from .runtime import session
-    from .sources import texts
+    from .plans import extract
+    from .runtime import cut, session
+    from .sources import model, texts
 
     spark = session()
     try:
@@ -42,11 +49,18 @@ def main(argv: list[str] | None = None) -> int:
             return int(bool(worst))
         source = texts.read_files(spark, args.source) if args.command == "compile" else texts.read_library(spark, args.source)
         answers = spark.read.parquet(args.answers) if args.answers else None
+        if args.llm:
+            given = {"url": args.url, "model": args.model, "api_key": args.api_key, "max_tokens": args.max_tokens}
+            client = model.http_client(model.Endpoint.resolve(args.provider, **{k: v for k, v in given.items() if v is not None}))
+            segments = co.text_only(source)["Segment"]
+            parts = cut(ca.batches(segments), "batches")
+            answers, _ = extract.chapters(segments, parts, client, hints=extract.scan(segments, parts, client))
         tables = co.compile_texts(source, answers, args.attempts, args.protocol)
         if "Violation" in tables and not args.keep_going:
             stop_on_errors(tables["Violation"])
         co.stop_on_failed(co.emit(tables, args.target))
-        print(co.summary(tables))
+        said = co.summary(tables)
+        print(said if args.json else json.dumps(json.loads(said), indent=2, sort_keys=True))
         return 0
     except Exception as e:
         print(json.dumps({"error": f"{type(e).__name__}: {str(e)[:500]}"}))

@@ -106,3 +106,23 @@ def telemetry(results: DataFrame) -> DataFrame:
     rows = results.select("run_id", F.explode("batch_timings").alias("b")).where(F.col("b").isNotNull())
     status = F.substring_index(F.col("b.status"), ":", 1)
     return rows.groupBy(status.alias("status")).agg(F.count("*").alias("batches"), F.sum("b.segment_count").alias("segments"), F.sum("b.object_count").alias("objects"), F.round(F.sum("b.elapsed_sec"), 4).alias("seconds"))
+
+
+def glossary(recall: DataFrame, issues: DataFrame, statuses: DataFrame, evidence: DataFrame, residuals: DataFrame, claims: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """metric, value: ER and EP (recall and precision of entities), RR (references that resolve), SCR (segments covered or partly), ECR (objects with
+    evidence), RD (entropy of residuals by category and importance) and PC (claims whose predicate is in ``vocabulary``). Shares of what is given; null over nothing."""
+    row = lambda name, df, value: df.select(F.lit(name).alias("metric"), F.round(value, 6).alias("value"))
+    known = claims.join(vocabulary.select("predicate", F.lit(1).alias("_in")), "predicate", "left")
+    both = entropy(residuals, "category").unionByName(entropy(residuals, "importance"))
+    parts = [
+        row("ER", recall, F.col("recall")), row("EP", recall, F.col("precision")),
+        row("RR", issues.agg(F.sum("dangling").alias("d"), F.sum("total").alias("t")), 1 - F.col("d") / F.col("t")),
+        row("SCR", statuses.agg(F.count_if(F.col("status").isin("covered", "partial")).alias("c"), F.count("*").alias("n")), F.col("c") / F.col("n")),
+        row("ECR", evidence.agg(F.sum("with_evidence").alias("w"), F.sum("objects").alias("n")), F.col("w") / F.col("n")),
+        row("RD", both.agg(F.sum("entropy").alias("e")), F.col("e")),
+        row("PC", known.agg(F.count("_in").alias("k"), F.count("*").alias("n")), F.col("k") / F.col("n")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

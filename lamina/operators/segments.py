@@ -1,5 +1,7 @@
-"""Blocks into segments: headings, table rows, list items and raw blocks by built-in functions,
-paragraphs by a small kernel because quotations make the rules depend on order.
+"""Blocks into segments: sentences and quotations of paragraphs, table rows, list items, headings and raw blocks.
+
+One kernel cuts a block of any type, because quotations make the rules depend on order and so the blocks,
+which come out of a long pipeline, are read once.
 
 Two ways for paragraphs: ``strict`` False keeps the traditional rules (text behind the last stop of
 a chunk is dropped, straight and corner quotes are listed one after the other), ``strict`` True
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ..functions.text import content_hash, strip
+from ..functions.text import content_hash
 
 Span = tuple[int, int, str]
 
@@ -88,33 +90,43 @@ def paragraph_spans(text: str, strict: bool = False) -> list[Span]:
     return with_speakers(spans, text)
 
 
+#: Unicode white space (property White_Space). Fixed value.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def trimmed(text: str, at: int, kind: str) -> list[Span]:
+    """The text at offset ``at`` without white space around it; nothing where that is all."""
+    left = text.lstrip(WHITE)
+    body = left.rstrip(WHITE)
+    start = at + len(text) - len(left)
+    return [(start, start + len(body), kind)] if body else []
+
+
+def block_spans(text: str, block_type: str | None, strict: bool = False) -> list[Span]:
+    """(start, end, type) of the segments of one block: sentences and quotations, lines of tables and lists, other blocks whole."""
+    if block_type in ("paragraph", "quote"):
+        return [x for x in paragraph_spans(text, strict) if x[1] > x[0]]
+    if block_type not in ("table", "list"):
+        return trimmed(text, 0, "heading" if block_type == "heading" else "raw")
+    out: list[Span] = []
+    at = 0
+    for line in text.split("\n"):
+        out += trimmed(line, at, "table_row" if block_type == "table" else "list_item")
+        at += len(line) + 1
+    return out
+
+
 def segments(blocks: DataFrame, strict: bool = False) -> DataFrame:
-    """id, doc_id, block_index, segment_type, offsets, text_slice, hash. One exchange on doc_id for the ordinals."""
+    """id, doc_id, block_index, segment_type, offsets, text_slice, hash. The blocks are read once; one exchange on doc_id for the ordinals."""
 
     @F.pandas_udf("array<struct<s:int,e:int,t:string>>")
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [{"s": a, "e": b, "t": k} for a, b, k in paragraph_spans(t or "", strict)])
+    def split(texts: pd.Series, kinds: pd.Series) -> pd.Series:
+        return pd.Series([[{"s": a, "e": b, "t": k} for a, b, k in block_spans(t, kind, strict)] for t, kind in zip(texts, kinds)])
 
     base = blocks.where(F.col("text_slice").isNotNull()).select("doc_id", "block_index", "block_type", "start_offset", "text_slice")
-    prose = base.where(F.col("block_type").isin("paragraph", "quote"))
-    out = ["doc_id", "block_index", "start_offset", "text_slice", "s", "e", "segment_type"]
-    a = prose.select("doc_id", "block_index", "start_offset", "text_slice", F.posexplode(split("text_slice")).alias("pos", "x")).select(*out[:4], F.col("x.s").alias("s"), F.col("x.e").alias("e"), F.col("x.t").alias("segment_type"), "pos")
-
-    lead = F.length(F.regexp_extract("text_slice", r"(?U)^(\s*)", 1))
-    whole = base.where(~F.col("block_type").isin("paragraph", "quote", "table", "list") | F.col("block_type").isNull())
-    kind = F.when(F.col("block_type") == "heading", "heading").otherwise("raw")
-    b = whole.select(*out[:4], lead.alias("s"), (lead + F.length(strip(F.col("text_slice")))).alias("e"), kind.alias("segment_type"), F.lit(0).alias("pos"))
-
-    rows = base.where(F.col("block_type").isin("table", "list"))
-    parts = rows.select("*", F.posexplode(F.split("text_slice", "\n", -1)).alias("pos", "line"))
-    before = Window.partitionBy("doc_id", "block_index").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    placed = parts.withColumn("at", F.coalesce(F.sum(F.length("line") + 1).over(before), F.lit(0)).cast("int"))
-    inner = F.length(F.regexp_extract("line", r"(?U)^(\s*)", 1))
-    c = placed.select(*out[:4], (F.col("at") + inner).alias("s"), (F.col("at") + inner + F.length(strip(F.col("line")))).alias("e"), F.when(F.col("block_type") == "table", "table_row").otherwise("list_item").alias("segment_type"), "pos")
-
-    every = a.unionByName(b).unionByName(c).where(F.col("e") > F.col("s"))
-    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("block_index", "pos", "s"))
-    text = F.substring("text_slice", F.col("s") + 1, F.col("e") - F.col("s"))
+    every = base.select("doc_id", "block_index", "start_offset", "text_slice", F.posexplode(split("text_slice", "block_type")).alias("pos", "x"))
+    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("block_index", "pos", "x.s"))
+    text = F.substring("text_slice", F.col("x.s") + 1, F.col("x.e") - F.col("x.s"))
     return every.withColumn("n", number).select(
-        F.format_string("%s_seg_%04d", "doc_id", "n").alias("id"), "doc_id", "block_index", "segment_type", (F.col("start_offset") + F.col("s")).alias("start_offset"), (F.col("start_offset") + F.col("e")).alias("end_offset"), text.alias("text_slice"), content_hash(text).alias("hash")
+        F.format_string("%s_seg_%04d", "doc_id", "n").alias("id"), "doc_id", "block_index", F.col("x.t").alias("segment_type"), (F.col("start_offset") + F.col("x.s")).alias("start_offset"), (F.col("start_offset") + F.col("x.e")).alias("end_offset"), text.alias("text_slice"), content_hash(text).alias("hash")
     )

@@ -97,7 +97,7 @@ def save_validated(store: DataFrame, batch: DataFrame, segments: DataFrame, text
     found.append(va.rows_of_rules(va.claim_safety(objects["Claim"], objects["Relation"])))
     violations = cut(va.union(found), "violations")
     bad = violations.where("severity = 'ERROR'").select("obj_type", "obj_id").distinct()
-    good = latest.join(bad, list(KEYS), "left_anti")
+    good = latest.where("obj_type is not null and obj_id is not null").join(bad, list(KEYS), "left_anti")
     return upsert(store, good), good.select(*KEYS), violations
 
 

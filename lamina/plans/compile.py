@@ -150,3 +150,24 @@ def verify(spark: SparkSession, folder: str) -> DataFrame:
     # file sources pass over names that start with an underscore, so each task lists its folders; the driver knows names only
     listed = spark.createDataFrame([(n,) for n in names], "package string").repartition(max(1, min(len(names), 64)))
     return checks.unionByName(listed.mapInPandas(look, "package string, check string, value double"))
+
+
+def validate_sources(sources: DataFrame, texts: DataFrame | None = None) -> DataFrame:
+    """Violations of modules given as text (package, module, source), in the order grammar, schema, identity, reference, evidence, safety. Valid without an ERROR."""
+    read = cut(package.parsed(sources), "parsed")
+    broken = read.where("error is not null").select(F.col("package").alias("doc_id"), F.lit("grammar").alias("gate"), F.lit("ERROR").alias("severity"), F.lit("").alias("obj_type"), F.col("module").alias("obj_id"), F.lit("").alias("field"), F.col("error").alias("message"))
+    frames, misfit = va.json_rows(cut(package.linked(read), "linked").select("obj_type", "obj_id", "data"))
+    frames = {k: cut(v, k.lower()) for k, v in frames.items()}
+    objects = {k: frames[k] for k in ("Entity", "Event", "Claim", "Relation", "Residual", "IgnoreSegment")}
+    others = va.schema({k: frames[k] for k in ("Document", "Block", "CoverageReport")})
+    return va.union([broken, misfit, others, va.validate(objects, frames["Segment"], rf.ids({"Document": frames["Document"]}), texts)])
+
+
+def validate_string(spark: SparkSession, source: str) -> DataFrame:
+    """Violations of one module."""
+    return validate_sources(spark.createDataFrame([("", "source", source)], "package string, module string, source string"))
+
+
+def validate_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """Violations of the packages below a folder."""
+    return validate_sources(package.read_package(spark, folder).where("module not in ('__init__', 'coverage')"))

@@ -78,3 +78,14 @@ def chapters(segments: DataFrame, batches: DataFrame, client: model.Client | Non
     for a in answers:
         out = out.unionByName(a)
     return out, names.select("doc_id", "name", "id")
+
+
+SECOND_INSTRUCTION = 'These segments are in no object yet. Say for each what it holds, as a JSON array of {"segment_id", "category", "importance", "reason"}.'
+
+
+def second_pass(open_segments: DataFrame, client: model.Client | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(prompts per document, answers): what a second reading would ask of the segments left open. Without a client nothing is called."""
+    line = F.concat(F.lit("["), "id", F.lit("] "), "text_slice")
+    body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block_index", "start_offset", "id", line.alias("line")))), lambda x: x["line"]), "\n")
+    prompts = open_segments.where("text_slice is not null").groupBy("doc_id").agg(F.concat(F.lit(SECOND_INSTRUCTION + "\n\n"), body).alias("prompt"), F.count("*").alias("segments")).withColumn("batch_index", F.lit(0))
+    return prompts.select("doc_id", "batch_index", "prompt", "segments"), None if client is None else cut(model.ask(prompts, client), "second")

@@ -710,9 +710,31 @@ def evidence_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return me.evidence_rate({k: v for k, v in b.objects().items() if k != "Relation"})
 
 
-@query("residual_entropy", f"with {_RES}, p as (select count(*) / sum(count(*)) over () p from res group by category) select 'category' measured, count(*) groups, round(-sum(p * log2(p)), 6) entropy from p")
+_ENTROPY = f"{_RES}, p as (select 'category' m, count(*) / sum(count(*)) over () p from res group by category union all select 'importance', count(*) / sum(count(*)) over () from res group by importance)"
+
+
+@query("residual_entropy", f"with {_ENTROPY} select m measured, count(*) groups, round(-sum(p * log2(p)), 6) entropy from p group by 1")
 def residual_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return me.entropy(Base(spark, sf_dir).residuals(), "category")
+    r = Base(spark, sf_dir).residuals()
+    return me.entropy(r, "category").unionByName(me.entropy(r, "importance"))
+
+
+@query(
+    "metric_glossary",
+    f"""with {_STATUS}, p as (select count(*) / sum(count(*)) over (partition by m) p from (select 'c' m, category v from res union all select 'i', importance from res) group by m, v),
+    f as (select distinct name from en where lower(kind) in ('org', 'organisation') and name is not null), t as (select distinct name from seed_entities where kind = 'org')
+    select 'ER' metric, round((select count(*) from f where name in (select name from t)) / nullif((select count(*) from t), 0), 6) as value union all select 'EP', round((select count(*) from f where name in (select name from t)) / nullif((select count(*) from f), 0), 6)
+    union all select 'RR', round(1 - (select count(*) from missing) / (select count(*) from refs), 6) union all select 'SCR', round((select count(*) filter (status in ('covered', 'partial')) / count(*) from stt), 6)
+    union all select 'ECR', round(((select count(*) filter (len(evidence_refs) > 0) from en) + (select count(*) filter (len(evidence_refs) > 0) from ev) + (select count(*) filter (len(evidence_refs) > 0) from cl)) / ((select count(*) from en) + (select count(*) from ev) + (select count(*) from cl)), 6)
+    union all select 'RD', round(-(select sum(p * log2(p)) from p), 6) union all select 'PC', round((select count(*) filter (predicate in (select predicate from cl group by 1 having count(distinct doc_id) >= 3)) / count(*) from cl), 6)""",
+)
+def metric_glossary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The measures of a library under their short names; the vocabulary of predicates is what three documents or more use."""
+    b = Base(spark, sf_dir)
+    org = b.entities.where("lower(kind) in ('org', 'organisation') and name is not null")
+    words = b.claims.where("predicate is not null").groupBy("predicate").agg(F.count_distinct("doc_id").alias("n")).where("n >= 3").select("predicate")
+    objects = {k: v for k, v in b.objects().items() if k != "Relation"}
+    return me.glossary(me.recall_precision(org, table(spark, sf_dir, "seed_entities").where("kind = 'org'")), me.reference_issues(b.refs(), b.index()), _statuses(b), me.evidence_rate(objects), b.residuals(), b.claims, words)
 
 
 @query("predicates", f"with {_CL} select predicate, count(*) claims, count(distinct subject) subjects from cl group by 1")
@@ -878,7 +900,7 @@ def _document_rows(b: Base) -> DataFrame:
 @query(
     "package_contract",
     f"""with {_ALL}, {_BL}, d as (select doc_id from bl union select doc_id from sg union select doc_id from en union select doc_id from ev union select doc_id from cl union select doc_id from re), n as (select count(doc_id) n from d)
-    select unnest(['grammar_errors', 'defined_twice', 'resolved_rate', 'dangling', 'wrong_symbol']) as "check", n as packages, cast(unnest([0, 0, n, 0, 0]) as double) total from n""",
+    select unnest(['grammar_errors', 'defined_twice', 'resolved_rate', 'dangling', 'wrong_symbol', 'not_imported']) as "check", n as packages, cast(unnest([0, 0, n, 0, 0, 0]) as double) total from n""",
 )
 def package_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's objects rendered to modules, read back and checked: packages per check and their sum, over all packages.

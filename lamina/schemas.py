@@ -34,7 +34,7 @@ REQUIRED = {
     "Event": ("id", "name", "kind"),
     "Claim": ("id", "subject", "predicate", "modality", "polarity"),
     "Relation": ("id", "subject", "predicate", "object_ref", "claim_id"),
-    "Document": ("id", "source_path", "raw_text_hash", "total_length", "block_count", "created_at"),
+    "Document": ("id", "raw_text_hash", "total_length", "block_count", "created_at"),
     "Residual": ("id", "segment_id", "category", "importance", "reason"),
     "IgnoreSegment": ("id", "segment_id", "reason"),
     "CoverageReport": ("id", "doc_id", "total_segments", "status_counts", "requires_raw_fallback", "generated_at"),

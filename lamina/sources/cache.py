@@ -55,8 +55,10 @@ def require_all(planned: DataFrame) -> DataFrame:
 
 
 def answers(known: DataFrame) -> DataFrame:
-    """doc_id, batch_index, raw_text of entries to replay: the latest per batch."""
-    rows = known.where(F.col("doc_id").isNotNull()).groupBy("doc_id", "batch_index").agg(F.max(F.struct("created_at", "cache_key", F.col("response.raw_text").alias("raw_text"))).alias("r"))
+    """doc_id, batch_index, raw_text of entries to replay: the latest per batch. Where an entry holds parsed objects (JSON text), they stand for its answer."""
+    fields = known.schema["response"].dataType.names
+    text = F.coalesce("response.parsed_candidates", "response.raw_text") if "parsed_candidates" in fields else F.col("response.raw_text")
+    rows = known.where(F.col("doc_id").isNotNull()).groupBy("doc_id", "batch_index").agg(F.max(F.struct("created_at", "cache_key", text.alias("raw_text"))).alias("r"))
     return rows.select("doc_id", "batch_index", F.col("r.raw_text").alias("raw_text"))
 
 

@@ -10,6 +10,7 @@ import ast
 import importlib.util
 import json
 import os
+import re
 import shutil
 import sys
 import tempfile
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from ..operators import symbols as sy
 
@@ -188,8 +190,11 @@ def write_package(sources: dict[str, str], homes: dict[str, str], target: str, c
 KEYWORDS = {"segment": "segment_id", "claim": "claim_id", "object": "object_ref", "source": "claim_source", "index": "block_index", "time": "event_time", "location": "place"}
 
 
-def read_module(source: str) -> tuple[list[dict], list[str]]:
-    """(rows, errors) of a module. Only imports, assignments of constructor calls, keyword arguments, literals, names and signed numbers are allowed; a name must be defined above."""
+def read_module(source: str, bare: bool = False) -> tuple[list[dict], list[str]]:
+    """(rows, errors) of a module. Only imports, assignments of constructor calls, keyword arguments, literals, names and signed numbers are allowed; a name must be defined above.
+
+    ``bare``: calls without an assignment are rows too, as in single files without symbols.
+    """
     rows: list[dict] = []
     errors: list[str] = []
     try:
@@ -237,6 +242,9 @@ def read_module(source: str) -> tuple[list[dict], list[str]]:
                 data = {KEYWORDS.get(k.arg, k.arg): value(k.value, k.arg, refs) for k in call.keywords}
                 known[name] = data.get("id", name)
                 rows.append({"type": call.func.id, "symbol": name, "data": data, "refs": refs})
+            elif bare and isinstance(node, ast.Expr) and isinstance(node.value, ast.Call) and isinstance(node.value.func, ast.Name) and node.value.func.id in classes and not node.value.args:
+                refs = {}
+                rows.append({"type": node.value.func.id, "symbol": None, "data": {KEYWORDS.get(k.arg, k.arg): value(k.value, k.arg, refs) for k in node.value.keywords}, "refs": refs})
             elif isinstance(node, ast.Expr) and isinstance(node.value, ast.Constant) and isinstance(node.value.value, str) or isinstance(node, ast.Assign) and isinstance(node.targets[0], ast.Name) and node.targets[0].id == "__all__":
                 continue
             else:
@@ -246,23 +254,125 @@ def read_module(source: str) -> tuple[list[dict], list[str]]:
     return rows, errors
 
 
-def parsed(sources: DataFrame) -> DataFrame:
-    """package, module, obj_type, symbol, data, error: rows or errors of each module. ``sources``: package, module, source."""
+def parsed(sources: DataFrame, bare: bool = False) -> DataFrame:
+    """package, module, obj_type, symbol, data, refs (path -> symbol), error: rows or errors of each module. ``sources``: package, module, source."""
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            out = []
+            for p, m, s in zip(pdf["package"], pdf["module"], pdf["source"]):
+                rows, errors = read_module(s, bare)
+                out += [(p, m, r["type"], r["symbol"], json.dumps(r["data"], ensure_ascii=False, sort_keys=True), r["refs"], None) for r in rows]
+                out += [(p, m, None, None, None, None, e) for e in errors]
+            yield pd.DataFrame(out, columns=["package", "module", "obj_type", "symbol", "data", "refs", "error"])
+
+    return sources.select("package", "module", "source").mapInPandas(run, "package string, module string, obj_type string, symbol string, data string, refs map<string,string>, error string")
+
+
+def linked(rows: DataFrame) -> DataFrame:
+    """Parsed rows with the ids of what they name in place of symbols, also of symbols of other modules of the package.
+
+    Symbols that no module of the package defines stay as they are.
+    """
+    keyed = rows.where("error is null").withColumn("obj_id", F.get_json_object("data", "$.id"))
+    names = keyed.where("symbol is not null").select("package", F.col("symbol").alias("name"), F.col("obj_id").alias("target")).distinct()
+    ask = keyed.select("package", "module", "obj_type", "obj_id", F.explode("refs").alias("path", "name")).join(names, ["package", "name"])
+    found = ask.groupBy("package", "module", "obj_type", "obj_id").agg(F.map_from_entries(F.collect_list(F.struct("path", "target"))).alias("targets"))
+
+    @F.pandas_udf("string")
+    def put(data: pd.Series, targets: pd.Series) -> pd.Series:
+        return pd.Series([_with_targets(d, dict(t)) if t is not None else d for d, t in zip(data, targets)])
+
+    out = keyed.join(found, ["package", "module", "obj_type", "obj_id"], "left")
+    return out.select("package", "module", "obj_type", "obj_id", "symbol", put("data", "targets").alias("data"))
+
+
+def _with_targets(data: str, targets: dict[str, str]) -> str:
+    """JSON data with the values at paths like ``a.b[0]`` replaced; argument names of older packages are known."""
+    root = json.loads(data)
+    for path, target in targets.items():
+        steps = [int(x[1:-1]) if x[0] == "[" else KEYWORDS.get(x, x) for x in re.findall(r"\[\d+\]|[^.\[\]]+", path)]
+        at = root
+        for s in steps[:-1]:
+            at = at[s]
+        at[steps[-1]] = target
+    return json.dumps(root, ensure_ascii=False, sort_keys=True)
+
+
+def segment_symbols(sources: DataFrame) -> DataFrame:
+    """package, segment_id, symbol of every segment defined in the sources."""
+    return parsed(sources).where("obj_type = 'Segment'").select("package", F.get_json_object("data", "$.id").alias("segment_id"), "symbol")
+
+
+def analysed(sources: DataFrame) -> DataFrame:
+    """package, module, symbol, obj_type, line, references, referenced_by, cross_module (references from other modules): every definition and who names it."""
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             out = []
             for p, m, s in zip(pdf["package"], pdf["module"], pdf["source"]):
-                rows, errors = read_module(s)
-                out += [(p, m, r["type"], r["symbol"], json.dumps(r["data"], ensure_ascii=False, sort_keys=True), None) for r in rows]
-                out += [(p, m, None, None, None, e) for e in errors]
-            yield pd.DataFrame(out, columns=["package", "module", "obj_type", "symbol", "data", "error"])
+                try:
+                    tree = ast.parse(s)
+                except SyntaxError:
+                    continue
+                for n in tree.body:
+                    if isinstance(n, ast.Assign) and isinstance(n.targets[0], ast.Name) and isinstance(n.value, ast.Call) and isinstance(n.value.func, ast.Name):
+                        own = n.targets[0].id
+                        out.append((p, m, own, n.value.func.id, n.lineno, None))
+                        out += [(p, m, x.id, None, None, own) for k in n.value.keywords for x in ast.walk(k.value) if isinstance(x, ast.Name)]
+            yield pd.DataFrame(out, columns=["package", "module", "symbol", "obj_type", "line", "by"]).astype({"line": "Int64"})
+
+    seen = sources.select("package", "module", "source").mapInPandas(run, "package string, module string, symbol string, obj_type string, line int, by string")
+    defined = seen.where("by is null").drop("by")
+    named = seen.where("by is not null").select("package", "symbol", F.col("module").alias("_from"), "by")
+    both = defined.join(named, ["package", "symbol"], "left")
+    return both.groupBy("package", "module", "symbol", "obj_type", "line").agg(F.count("by").alias("references"), F.sort_array(F.collect_set("by")).alias("referenced_by"), F.count_if(F.col("_from") != F.col("module")).alias("cross_module"))
+
+
+def not_imported(sources: DataFrame) -> DataFrame:
+    """package, module, symbol: names that a module uses and neither defines nor imports."""
+    names = names_used(sources)
+    have = names.where("role in ('defined', 'imported')").select("package", "module", "symbol")
+    return names.where("role = 'used'").join(have, ["package", "module", "symbol"], "left_anti").select("package", "module", "symbol").distinct()
+
+
+#: Classes of the single files a document may be written to without symbols. Fixed values.
+SINGLE = {"document": ("Document", "Block"), "segments": ("Segment",), "knowledge": ("Entity", "Event", "Claim", "Relation", "Residual", "IgnoreSegment")}
+
+
+def single_files(objects: dict[str, DataFrame]) -> DataFrame:
+    """package, module (document, segments, knowledge), source: constructor calls without symbols, in the order of export."""
+    out = None
+    for file, classes in SINGLE.items():
+        for name in classes:
+            if name not in objects:
+                continue
+            df = objects[name]
+            cols = [c for c in df.columns if c not in ("loaded_at", "is_deleted", "work_id")]
+            order = F.struct(*[F.col(c) for c in sy.export_order(name)])
+            doc = F.col("id") if name == "Document" else F.col("doc_id")
+            part = df.select(doc.alias("package"), F.lit(file).alias("module"), F.lit(sy.ORDER.index(name)).alias("r"), F.to_json(order).alias("o"), F.row_number().over(Window.partitionBy(doc).orderBy(*sy.export_order(name))).alias("k"), F.lit(name).alias("t"), F.to_json(F.struct(*cols)).alias("data"))
+            out = part if out is None else out.unionByName(part)
+    per = out.where("package is not null").groupBy("package", "module").agg(F.sort_array(F.collect_list(F.struct("r", "k", "t", "data"))).alias("rows"))
+
+    @F.pandas_udf("string")
+    def source(rows: pd.Series) -> pd.Series:
+        texts = []
+        for rs in rows:
+            calls = [f"{r['t']}(" + ", ".join(f"{k}={_value(v, {}, k)}" for k, v in json.loads(r["data"]).items() if v is not None) + ")" for r in rs]
+            texts.append("\n".join([HEADER, f"from {ONTOLOGY} import {', '.join(sorted({r['t'] for r in rs}))}", "", *calls, ""]))
+        return pd.Series(texts)
+
+    return per.select("package", "module", source("rows").alias("source"))
+
 
-    return sources.select("package", "module", "source").mapInPandas(run, "package string, module string, obj_type string, symbol string, data string, error string")
+def read_single_files(sources: DataFrame) -> DataFrame:
+    """package, module, obj_type, data, error of single files."""
+    return parsed(sources, bare=True).select("package", "module", "obj_type", "data", "error")
 
 
 def names_used(sources: DataFrame) -> DataFrame:
-    """package, module, symbol, role (defined, used): the definitions and references of each module."""
+    """package, module, symbol, role (defined, used, imported): the definitions and references of each module."""
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
@@ -273,6 +383,8 @@ def names_used(sources: DataFrame) -> DataFrame:
                 except SyntaxError:
                     continue
                 for n in tree.body:
+                    if isinstance(n, ast.ImportFrom) and n.level:
+                        out += [(p, m, a.asname or a.name, "imported") for a in n.names]
                     if isinstance(n, ast.Assign):
                         out += [(p, m, t.id, "defined") for t in n.targets if isinstance(t, ast.Name)]
                         out += [(p, m, x.id, "used") for x in ast.walk(n.value) if isinstance(x, ast.Name) and not (isinstance(n.value, ast.Call) and x is n.value.func) and x.id != "dict"]
@@ -305,6 +417,7 @@ def contract(sources: DataFrame) -> DataFrame:
     rows = parsed(sources)
     errors = rows.where("error is not null").groupBy("package").agg(F.count("*").cast("double").alias("value")).withColumn("check", F.lit("grammar_errors"))
     other = rows.where("symbol is not null and get_json_object(data, '$.symbol') <> symbol").groupBy("package").agg(F.count("*").cast("double").alias("value")).withColumn("check", F.lit("wrong_symbol"))
-    zero = sources.select("package").distinct().select("package", F.explode(F.array(*[F.lit(c) for c in ("defined_twice", "dangling", "grammar_errors", "wrong_symbol")])).alias("check"), F.lit(0.0).alias("value"))
-    found = twice.unionByName(rate).unionByName(dangling).unionByName(errors).unionByName(other)
+    loose = not_imported(sources).groupBy("package").agg(F.count("*").cast("double").alias("value")).withColumn("check", F.lit("not_imported"))
+    zero = sources.select("package").distinct().select("package", F.explode(F.array(*[F.lit(c) for c in ("defined_twice", "dangling", "grammar_errors", "wrong_symbol", "not_imported")])).alias("check"), F.lit(0.0).alias("value"))
+    found = twice.unionByName(rate).unionByName(dangling).unionByName(errors).unionByName(other).unionByName(loose)
     return zero.unionByName(found.select("package", "check", "value")).groupBy("package", "check").agg(F.round(F.max("value"), 6).alias("value"))

@@ -46,7 +46,7 @@ def test_compile_emit_verify(spark, tmp_path):
     co.emit(t, str(tmp_path))
     assert first == {n: (tmp_path / "d" / n).read_text() for n in os.listdir(tmp_path / "d")}
     checks = {r.check: r.value for r in co.verify(spark, str(tmp_path)).collect()}
-    assert checks == {"defined_twice": 0, "dangling": 0, "grammar_errors": 0, "wrong_symbol": 0, "resolved_rate": 1, "missing_files": 0, "failed_imports": 0}
+    assert checks == {"defined_twice": 0, "dangling": 0, "grammar_errors": 0, "wrong_symbol": 0, "resolved_rate": 1, "missing_files": 0, "failed_imports": 0, "not_imported": 0}
     (tmp_path / "d" / "text.py").write_text("import os", encoding="utf-8")
     failed = co.emit(t, str(tmp_path)).collect()
     assert "was not generated here" in failed[0].error and (tmp_path / "d" / "text.py").read_text() == "import os"
@@ -156,3 +156,67 @@ def test_warnings_become_residuals(spark):
     assert got == {("ent", "missing name"), ("ent", "no source segment"), ("evt", "no match for a quote"), ("evt", "dangling participant"), ("evt", "no evidence"), ("clm", "subject is not an entity"), ("clm", "dangling object")}
     res = rp.failures_to_residuals(w).collect()
     assert len(res) == 7 and len({r.id for r in res}) == 7 and {r.category for r in res} == {"other"}
+
+
+def test_sources_are_validated_in_order(spark, tmp_path):
+    good = co.compile_texts(texts.from_memory(spark, {"d": TEXT}), answers(spark))
+    co.emit(good, str(tmp_path)).collect()
+    assert co.validate_folder(spark, str(tmp_path)).where("severity = 'ERROR'").collect() == []
+    v = co.validate_string(spark, "from lamina.ontology import Claim, Entity\nc = Claim(id='c', subject='gone_ent_1', predicate='p', object_ref='x', modality='odd', polarity='positive')\nimport os")
+    found = {(r.gate, r.obj_id) for r in v.where("severity = 'ERROR'").collect()}
+    assert found == {("grammar", "source"), ("schema", "c"), ("evidence", "c")}
+    assert ("reference", "c") in {(r.gate, r.obj_id) for r in v.collect()}  # a warning: no entity is at hand
+
+
+def test_second_pass_asks_only_with_a_client(spark):
+    seg = co.text_only(texts.from_memory(spark, {"d": TEXT}))["Segment"]
+    prompts, said = extract.second_pass(seg)
+    assert said is None and prompts.collect()[0].segments == 4 and "[d_seg_0002]" in prompts.collect()[0].prompt
+    assert extract.second_pass(seg, lambda p: "[]")[1].collect()[0].raw_text == "[]"
+
+
+def test_endpoint_layers_and_http(tmp_path, monkeypatch):
+    import http.server
+    import threading
+
+    for name in ("LAMINA_URL", "LAMINA_MODEL", "LAMINA_API_KEY", "LAMINA_PROVIDER", "OPENAI_API_KEY"):
+        monkeypatch.delenv(name, raising=False)
+    (tmp_path / ".env").write_text("# note\nexport LAMINA_MODEL='from file'\nOPENAI_API_KEY=secret-key-1\n")
+    e = model.Endpoint.resolve("openai", str(tmp_path), max_tokens=5)
+    assert (e.model, e.api_key, e.max_tokens) == ("from file", "secret-key-1", 5) and e.url == model.PRESETS["openai"][0] and "secret" not in str(e.masked())
+    monkeypatch.setenv("LAMINA_MODEL", "from env")
+    assert model.Endpoint.resolve("openai", str(tmp_path)).model == "from env" and model.Endpoint.resolve("openai", str(tmp_path), model="given").model == "given"
+    with pytest.raises(ValueError):
+        model.Endpoint.resolve("nobody", str(tmp_path))
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def log_message(self, *a):
+            pass
+
+        def do_POST(self):
+            body = json.loads(self.rfile.read(int(self.headers["content-length"])))
+            prompt = body["messages"][0]["content"]
+            if prompt == "long" and not body.get("stream"):
+                self.send_error(400)
+                return
+            if prompt == "down":
+                self.send_error(503)
+                return
+            self.send_response(200)
+            self.end_headers()
+            if body.get("stream"):
+                for i, x in ((0, "par"), (1, "s"), (0, "t")):
+                    self.wfile.write(("data: " + json.dumps({"type": "content_block_delta", "index": i, "delta": {"type": "text_delta", "text": x}}) + "\n\n").encode())
+                self.wfile.write(b"data: [DONE]\n\n")
+            else:
+                self.wfile.write(json.dumps({"content": [{"type": "thinking"}, {"type": "text", "text": "said " + prompt}]}).encode())
+
+    server = http.server.HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        call = model.http_client(model.Endpoint(url=f"http://127.0.0.1:{server.server_port}", model="m"), timeout=10)
+        assert call("hi") == "said hi" and call("long") == "parts"
+        with pytest.raises(Exception, match="503"):
+            call("down")
+    finally:
+        server.shutdown()

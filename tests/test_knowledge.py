@@ -262,3 +262,45 @@ def test_symbols_are_unique_and_stable(spark):
     assert a == b and len(set(a.values())) == 4 and a["e1"] == "ent_ann" and a["e3"] == "ent_ann_1" and a["e4"].startswith("ent_zh_")
     assert sy.collisions({"Entity": e}).collect()[0].objects == 2
     assert sy.double_ids({"Entity": e, "Event": frame(spark, "Event", [("e1", "d", "n", "k", [], None, None, [], [])])}).count() == 1
+
+
+def test_saved_are_those_that_no_error_names(spark):
+    import datetime as dt
+
+    from lamina.operators import store as st
+
+    seg = frame(spark, "Segment", [("s1", "d", 0, "sentence", 0, 3, "Ann", "sha256:" + __import__("hashlib").sha256(b"Ann").hexdigest())])
+    at = dt.datetime(2025, 1, 1)
+    rows = lambda *x: spark.createDataFrame([(*r, at) for r in x], "obj_type string, obj_id string, data string, loaded_at timestamp")
+    old = rows(("Entity", "e0", '{"id": "e0", "name": "Old", "kind": "person"}'))
+    claim = lambda i, subject, more="": f'{{"id": "{i}", "subject": "{subject}", "predicate": "p", "object_ref": "x", "modality": "inferred", "polarity": "positive", "derived_from": ["c1"]{more}}}'
+    batch = rows(
+        ("Entity", "e1", '{"id": "e1", "name": "Ann", "kind": "person", "source_segment_ids": ["s1"]}'), ("Entity", "e2", '{"id": "e2", "kind": "person"}'), ("Entity", "e3", "{broken"),
+        ("Claim", "c1", claim("c1", "e1")), ("Claim", "c2", claim("c2", "e0")), ("Claim", "c3", claim("c3", "gone")), ("Claim", "c4", claim("c4", "e1", ', "confidence": 7')), ("Odd", "o", "{}"), (None, "n", "{}"),
+    )
+    after, saved, violations = st.save_validated(old, batch, seg)
+    assert {r.obj_id for r in saved.collect()} == {"e1", "c1", "c2"} and {r.obj_id for r in after.collect()} == {"e0", "e1", "c1", "c2"}
+    gates = {(r.obj_id, r.gate) for r in violations.where("severity = 'ERROR'").collect()}
+    assert {("e2", "schema"), ("e3", "grammar"), ("c3", "reference"), ("c4", "schema"), ("o", "grammar")} <= gates
+    assert st.save_validated(old, batch.limit(0), seg)[1].count() == 0
+
+
+def test_residual_gate(spark):
+    rows = [("r1", "d", "s", "pragmatic", "high", "x", []), ("r2", "d", "s", "temporal", "low", "x", []), ("r3", "d", "s", None, "high", None, [])]
+    got = sorted((r.obj_id, r.field, r.message) for r in va.schema({"Residual": frame(spark, "Residual", rows)}).collect())
+    assert got == [("r2", "category", "not allowed"), ("r2", "importance", "not allowed"), ("r3", "category", "missing"), ("r3", "reason", "missing")]
+
+
+def test_components_of_a_chain_a_star_and_a_pair(spark):
+    from lamina.operators.components import components
+
+    edges = [(f"c{i:03d}", f"c{i + 1:03d}") for i in range(60)] + [("hub", f"leaf{i}") for i in range(200)] + [("x", "y"), ("y", "x"), ("z", "z")]
+    got = {r.node: r.label for r in components(spark.createDataFrame(edges, "u string, v string")).collect()}
+    assert {got[f"c{i:03d}"] for i in range(61)} == {"c000"} and {got[k] for k in got if k.startswith("leaf") or k == "hub"} == {"hub"} and got["x"] == got["y"] == "x" and "z" not in got
+    assert components(spark.createDataFrame([], "u string, v string")).count() == 0
+
+
+def test_dedup_keeps_the_evidence_of_all(spark):
+    rows = [("r2", "d", "a", "p", "b", "c", [("s1", 0, 1, "h")]), ("r1", "d", "a", "p", "b", "c", [("s2", 0, 1, "h")]), ("r3", "d", "a", "p", "b", "c", [("s1", 0, 1, "h")]), ("r4", "d", "a", "p", "z", "c", None)]
+    got = {r.id: [e.segment_id for e in r.evidence_refs] for r in rl.dedup(frame(spark, "Relation", rows)).collect()}
+    assert got == {"r1": ["s2", "s1"], "r4": []}

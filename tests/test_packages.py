@@ -42,7 +42,7 @@ def test_round_trip_and_contract(spark, tmp_path):
     rows = package.parsed(back.where("module in ('text', 'entities', 'claims')")).collect()
     assert [r for r in rows if r.error] == [] and {r.symbol for r in rows} == set(homes)
     checks = {r.check: r.value for r in package.contract(back.where("module in ('text', 'entities', 'claims')")).collect()}
-    assert checks == {"defined_twice": 0, "dangling": 0, "grammar_errors": 0, "wrong_symbol": 0, "resolved_rate": 1}
+    assert checks == {"defined_twice": 0, "dangling": 0, "grammar_errors": 0, "wrong_symbol": 0, "not_imported": 0, "resolved_rate": 1}
     again = {r.module: r.source for r in emitted(spark)[0].collect()}
     assert again == texts
     assert package.write_package(texts, homes, str(tmp_path / "pkg")) == names
@@ -117,3 +117,59 @@ def test_cache_policies(spark):
         cache.require_all(cache.plan(want, have, "read_only")).collect()
     with pytest.raises(ValueError):
         cache.plan(want, have, "odd")
+
+
+# ---------------------------------------------------------------- analyser, links, single files
+
+
+def test_analyser_counts_who_names_whom(spark):
+    sources, _ = emitted(spark)
+    rows = {r.symbol: r for r in package.analysed(sources).collect()}
+    seg, ann = rows["seg_0001"], rows["ent_ann"]
+    assert seg.obj_type == "Segment" and seg.references == seg.cross_module >= 2 and "ent_ann" in seg.referenced_by
+    assert ann.cross_module == ann.references == 1 and ann.line > 1
+    assert [(r.segment_id, r.symbol) for r in package.segment_symbols(sources).collect()] == [("d_seg_0001", "seg_0001")]
+    assert package.not_imported(sources).count() == 0
+    broken = sources.withColumn("source", F.regexp_replace("source", r"from \.text import [^\n]*\n", ""))
+    assert {r.symbol for r in package.not_imported(broken).collect()} == {"seg_0001"}
+
+
+def test_links_across_modules_become_ids(spark):
+    sources, _ = emitted(spark)
+    rows = {r.obj_id: __import__("json").loads(r.data) for r in package.linked(package.parsed(sources)).collect()}
+    assert rows["d_clm_0001"]["subject"] == "d_ent_0001" and rows["d_clm_0001"]["source_segment_ids"] == ["d_seg_0001"]
+    assert rows["d_ent_0001"]["evidence_refs"][0]["segment_id"] == "d_seg_0001"
+
+
+def test_a_target_of_another_package_or_defined_later_stays_an_id(spark):
+    t = tables(spark)
+    t["Claim"] = spark.createDataFrame([("d_clm_0001", "d", "e_ent_0001", "met", "x", "inferred", "positive", 0.5, None, ["d_clm_0002"], [], []), ("d_clm_0002", "d", "d_ent_0001", "met", "x", "inferred", "positive", 0.5, None, ["d_clm_0001"], [], [])], SCHEMAS["Claim"])
+    t["Entity"] = t["Entity"].unionByName(spark.createDataFrame([("e_ent_0001", "e", "Zoe", "person", [], [], [])], SCHEMAS["Entity"]))
+    lines = package.rendered(t, sy.assign(t), rf.refs(t))
+    text = {(r.package, r.module): r.source for r in package.modules(lines).collect()}[("d", "claims")]
+    assert "'e_ent_0001'" in text and "derived_from=['d_clm_0002']" in text and "derived_from=[claim_" in text
+    checks = {(r.package, r.check): r.value for r in package.contract(package.modules(lines)).collect()}
+    assert all(v == (1 if c == "resolved_rate" else 0) for (_, c), v in checks.items())
+
+
+def test_strict_symbols(spark):
+    t = tables(spark)
+    with pytest.raises(LookupError, match="has no symbol"):
+        sy.references_as_symbols(rf.refs({"Claim": t["Claim"].withColumn("subject", F.lit("gone"))}), sy.assign(t), strict=True)
+
+
+def test_single_files_and_back(spark):
+    t = tables(spark)
+    files = package.single_files(t)
+    assert {r.module for r in files.collect()} == {"segments", "knowledge"}
+    rows = package.read_single_files(files).collect()
+    assert [r for r in rows if r.error] == [] and sorted(r.obj_type for r in rows) == ["Claim", "Entity", "Entity", "Segment"]
+    assert __import__("json").loads(next(r.data for r in rows if r.obj_type == "Segment"))["text_slice"] == "Ann met\nBob's 'x'."
+
+
+def test_stored_objects_stand_for_the_answer(spark):
+    schema = "cache_key string, doc_id string, batch_index int, created_at string, response struct<raw_text:string,parsed_candidates:string>, loaded_at timestamp"
+    import datetime as dt
+
+    rows = [("a", "d", 0, "2025", ("raw", '[{"t": "E"}]'), dt.datetime(2025, 1, 1)), ("b", "d", 1, "2025", ("raw", None), dt.datetime(2025, 1, 1))]
+    assert sorted(r.raw_text for r in cache.answers(cache.entries(spark.createDataFrame(rows, schema))).collect()) == ['[{"t": "E"}]', "raw"]
