@@ -34,6 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import components, stars
 from ..runtime import current_rows, cut, release
 
 PERSON = ("person", "per", "character", "people", "human")
@@ -541,38 +542,10 @@ def radius_join(full: DataFrame, cell_items: int = 8, fan: int = 4) -> DataFrame
 def classes(held: DataFrame) -> DataFrame:
     """id, label: connected classes of ids that share a form; the label is the least id. ``held``: id, work_id, form.
 
-    Every form is a star around its least id; the stars are contracted until no edge is left, however many rounds that
-    takes. In a round each end of an edge hooks onto the id of least hash within two steps, and on to where that one
-    hooks; hashes only fall, so no circle arises, a star ends in one round and chains shrink by a constant share.
-    Writes the hooks and the edges of each round.
+    Every form is a star around its least id; the stars are contracted until no edge is left.
     """
-    nodes = held.select("id", "work_id", "form").distinct()
-    hub = nodes.groupBy("work_id", "form").agg(F.min("id").alias("hub"))
-    edges = cut(nodes.join(hub, ["work_id", "form"]).where(F.col("id") != F.col("hub")).select(F.col("id").alias("u"), F.col("hub").alias("v")).distinct(), "edges")
-    label = held.select("id").distinct().withColumn("label", F.col("id"))
-    steps: list[DataFrame] = []
-    while edges.limit(1).count():
-        salt = F.lit(len(steps))
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        mark = lambda c: F.struct(F.xxhash64(c, salt).alias("h"), F.col(c).alias("to"))
-        near = both.groupBy("u").agg(F.min(mark("v")).alias("m")).select("u", F.least(mark("u"), "m").alias("m"))
-        second = both.join(near, "u").groupBy("v").agg(F.min("m").getField("to").alias("to")).withColumnRenamed("v", "u")
-        hook = cut(second, "hooks")
-        to = hook.join(hook.select(F.col("u").alias("to"), F.col("to").alias("next")), "to").select("u", F.col("next").alias("to"))
-        left = edges.join(to.withColumnRenamed("to", "a"), "u").join(to.select(F.col("u").alias("v"), F.col("to").alias("b")), "v").where(F.col("a") != F.col("b"))
-        new = cut(left.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct(), "edges")
-        label = label.join(to.select(F.col("u").alias("label"), "to"), "label", "left").select("id", F.coalesce("to", "label").alias("label"))
-        steps.append(hook)
-        release(edges)
-        edges = new
-    release(edges)
-    if not steps:
-        return label
-    label = cut(label, "labels")
-    for hook in steps:
-        release(hook)
-    least = label.groupBy("label").agg(F.min("id").alias("least"))
-    return label.join(least, "label").select("id", F.col("least").alias("label"))
+    label = components(stars(held.select("id", "work_id", "form").distinct(), ["work_id", "form"])).withColumnRenamed("node", "id")
+    return held.select("id").distinct().join(label, "id", "left").select("id", F.coalesce("label", "id").alias("label"))
 
 
 def linked(entities: DataFrame) -> DataFrame:
