@@ -162,6 +162,13 @@ def stale_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bl.stale_documents(docs, Base(spark, sf_dir).texts().where("text is not null"))
 
 
+@query("stale_documents_edited", "select doc_key id from documents where doc_key is not null and text is not null and 'sha256:' || sha256(replace(text, 'a', 'b')) is distinct from raw_text_hash")
+def stale_documents_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check of stored hashes after an edit of the texts, which is to find every document it touched."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_key").alias("id"), "raw_text_hash")
+    return bl.stale_documents(docs, Base(spark, sf_dir).texts().where("text is not null").withColumn("text", F.replace("text", F.lit("a"), F.lit("b"))))
+
+
 @query(
     "stale_blocks",
     f"""with {_BL}, j as (select b.id, b.doc_id, case when d.text is null then 'no raw text' when 'sha256:' || sha256(b.text_slice) is distinct from b.hash then 'hash differs' when substr(d.text, b.start_offset + 1, b.end_offset - b.start_offset) is distinct from b.text_slice then 'slice differs' end problem
@@ -367,6 +374,31 @@ def wrong_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.wrong_hashes(Base(spark, sf_dir).segments)
 
 
+def _cut_short(b: Base) -> DataFrame:
+    """Segments that have lost their first character."""
+    return b.segments.withColumn("text_slice", F.substring("text_slice", 2, 1_000_000_000))
+
+
+@query(
+    "broken_spans_edited",
+    f"""with {_ALL}, e as (select 'Entity' obj_type, id obj_id, unnest(range(len(evidence_refs))) pos, unnest(evidence_refs) e from en union all select 'Event', id, unnest(range(len(evidence_refs))), unnest(evidence_refs) from ev
+      union all select 'Claim', id, unnest(range(len(evidence_refs))), unnest(evidence_refs) from cl union all select 'Relation', id, unnest(range(len(evidence_refs))), unnest(evidence_refs) from re),
+    s2 as (select id, substr(text_slice, 2) text_slice from sg),
+    j as (select obj_type, obj_id, cast(pos as int) pos, e.segment_id segment_id, case when not coalesce(e.span_start >= 0 and e.span_end > e.span_start and e.span_end <= length(s.text_slice), false) then 'span'
+      when 'sha256:' || sha256(substr(s.text_slice, e.span_start + 1, e.span_end - e.span_start)) is distinct from e.quote_hash then 'hash' end problem from e join s2 s on s.id = e.segment_id)
+    select * from j where problem is not null""",
+)
+def broken_spans_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check of spans against segments that have lost a character: what it must find."""
+    b = Base(spark, sf_dir)
+    return ev.broken_spans(ev.exploded(b.objects()), _cut_short(b))
+
+
+@query("wrong_hashes_edited", f"with {_SEG} select id from sg where 'sha256:' || sha256(substr(text_slice, 2)) is distinct from hash")
+def wrong_hashes_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ev.wrong_hashes(_cut_short(Base(spark, sf_dir)))
+
+
 # ------------------------------------------------------------------ references and gates
 
 
@@ -481,6 +513,12 @@ def unknown_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va.unknown_types(table(spark, sf_dir, "objects")).select("obj_type").distinct()
 
 
+@query("unknown_types_edited", "select distinct obj_type || 's' obj_type from objects where obj_type is not null")
+def unknown_types_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes spelled in the plural are unknown."""
+    return va.unknown_types(table(spark, sf_dir, "objects").where("obj_type is not null").withColumn("obj_type", F.concat("obj_type", F.lit("s")))).select("obj_type").distinct()
+
+
 # ------------------------------------------------------------------ relations and resolution
 
 _ELIG = f"""{_CL}, {_EN}, el as (select c.*, case when modality is distinct from 'asserted' then 'modality' when polarity is distinct from 'positive' then 'polarity' when not exists (select 1 from en where en.id = c.subject) then 'subject'
@@ -891,6 +929,13 @@ def double_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sy.double_ids({"Segment": b.segments, **b.objects()})
 
 
+@query("double_ids_edited", f"with {_EN} select id, 2 classes from en")
+def double_ids_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities that stand as events too have double ids."""
+    e = Base(spark, sf_dir).entities
+    return sy.double_ids({"Entity": e, "Event": e})
+
+
 def _document_rows(b: Base) -> DataFrame:
     """Document rows of the texts that have objects."""
     docs = bl.documents(b.texts()).withColumn("doc_id", F.col("id"))
