@@ -486,7 +486,7 @@ LEAST_READ = 12
 LEAST_HAN = 6
 
 
-def cells(points: DataFrame, cell_items: int = 8, fan: int = 4) -> DataFrame:
+def cells(points: DataFrame, cell_items: int = 12, fan: int = 8) -> DataFrame:
     """``points`` (work_id, form, r) spread over cells: work_id, cell, form, r, home. Writes a table per level.
 
     The first cell of a form is its work and script. Every cell of more than ``cell_items`` home forms draws ``fan``
@@ -501,18 +501,20 @@ def cells(points: DataFrame, cell_items: int = 8, fan: int = 4) -> DataFrame:
         level += 1
         size = at.where("home").groupBy("work_id", "cell").agg(F.count("*").alias("n"), F.max("above").alias("above"))
         big = size.where((F.col("n") > cell_items) & (F.col("above").isNull() | (F.col("n") < 0.9 * F.col("above")))).select("work_id", "cell", "n")
+        if big.limit(1).count() == 0:
+            return at
         h = F.xxhash64("form", F.lit(level))
         drawn = at.where("home").join(big, ["work_id", "cell"]).groupBy("work_id", "cell", "n", F.pmod(h, F.lit(fan)).alias("k")).agg(F.min(F.struct(h.alias("h"), "form")).getField("form").alias("pivot"))
-        pivots = cut(drawn.groupBy("work_id", "cell", "n").agg(F.sort_array(F.collect_list("pivot")).alias("pivots")), "pivots")
-        if pivots.limit(1).count() == 0:
-            release(pivots)
-            return at
-        dist = at.join(pivots, ["work_id", "cell"]).withColumn("d", F.transform("pivots", lambda p: F.levenshtein(F.col("form"), p))).withColumn("least", F.array_min("d"))
-        spots = dist.select("work_id", "cell", "form", "r", "home", "n", F.posexplode("d").alias("i", "far"), "least", (F.array_position("d", F.col("least")) - 1).alias("own"))
-        moved = spots.where(F.col("far") <= F.col("least") + 2 * F.col("r")).select("work_id", F.xxhash64("cell", "i").alias("cell"), "form", "r", (F.col("home") & (F.col("i") == F.col("own"))).alias("home"), F.col("n").alias("above"))
-        new = cut(at.join(pivots.select("work_id", "cell"), ["work_id", "cell"], "left_anti").unionByName(moved), "cells")
+        pivots = drawn.groupBy("work_id", "cell", "n").agg(F.sort_array(F.collect_list("pivot")).alias("pivots"))
+        # a form of a cell that is not split stays where it is
+        dist = at.join(pivots, ["work_id", "cell"], "left").withColumn("d", F.transform("pivots", lambda p: F.levenshtein(F.col("form"), p))).withColumn("least", F.array_min("d"))
+        spots = dist.select("work_id", "cell", "form", "r", "home", "above", "n", F.posexplode_outer("d").alias("i", "far"), "least", (F.array_position("d", F.col("least")) - 1).alias("own"))
+        stays = F.col("n").isNull()
+        moved = spots.where(stays | (F.col("far") <= F.col("least") + 2 * F.col("r"))).select(
+            "work_id", F.when(stays, F.col("cell")).otherwise(F.xxhash64("cell", "i")).alias("cell"), "form", "r", F.when(stays, F.col("home")).otherwise(F.col("home") & (F.col("i") == F.col("own"))).alias("home"), F.when(stays, F.col("above")).otherwise(F.col("n")).alias("above")
+        )
+        new = cut(moved, "cells")
         release(at)
-        release(pivots)
         at = new
 
 
@@ -524,7 +526,7 @@ def _word_by_word(x: F.Column, y: F.Column) -> F.Column:
     return (F.size(a) != F.size(b)) | F.forall(F.zip_with(a, b, near), lambda ok: ok)
 
 
-def radius_join(full: DataFrame, cell_items: int = 8, fan: int = 4) -> DataFrame:
+def radius_join(full: DataFrame, cell_items: int = 12, fan: int = 8) -> DataFrame:
     """work_id, form_a < form_b: all pairs of different forms of one work within the smaller of their radii. Writes the cells.
 
     ``full``: work_id, form (distinct). Home forms meet all forms of their cell, and the edit distance itself decides. Two
