@@ -71,7 +71,8 @@ class Base:
         """The objects with their ids and foreign keys only, so that nothing else is read and shuffled."""
         names = {"Entity": "entities", "Event": "kg_events", "Claim": "claims", "Relation": "relations"}
         keys = {c: tuple(k.field.split(".")[0] for k in rf.FOREIGN_KEYS if k.obj_type == c) for c in names}
-        return {c: current(table(self.spark, self.dir, n), only=("doc_id", *keys[c])) for c, n in names.items()}
+        more = {"Claim": ("modality", "polarity")}
+        return {c: current(table(self.spark, self.dir, n), only=("doc_id", *keys[c], *more.get(c, ()))) for c, n in names.items()}
 
     def refs(self) -> DataFrame:
         return rf.refs(self.keyed())
@@ -674,7 +675,8 @@ stt as (select sg.doc_id, sg.id segment_id, case when ig.segment_id is not null
 
 
 def _statuses(b: Base) -> DataFrame:
-    return co.status(b.segments, b.refs(), b.claims, b.residuals(), b.ignores())
+    keyed = b.keyed()
+    return co.status(current(table(b.spark, b.dir, "segments"), only=("doc_id",)), rf.refs(keyed), keyed["Claim"], b.residuals(), b.ignores())
 
 
 @query("coverage_status", f"with {_STATUS} select doc_id, segment_id, status, status in ('partial', 'raw_only', 'uncovered') or high or doubt as raw_fallback, object_count from stt")
