@@ -253,14 +253,54 @@ def _answers(b: Base) -> DataFrame:
     return cache.answers(cache.entries(table(b.spark, b.dir, "cache_entries")))
 
 
-@query("candidates_parsed")
+_MODALITIES = "('asserted', 'reported', 'claimed_by_source', 'uncertain', 'hypothetical', 'conditional', 'inferred')"
+_ANSWERS = """cc as (select * from cache_entries where cache_key is not null qualify row_number() over (partition by cache_key order by loaded_at desc nulls last) = 1),
+an as (select doc_id, batch_index, arg_max(response.raw_text, (created_at, cache_key)) raw_text from cc where response.raw_text is not null and doc_id is not null group by 1, 2)"""
+# a comma before a closing bracket, outside of strings, which DuckDB reads over
+_TRAILING = """regexp_matches(regexp_replace({0}, '"(?:[^"\\\\]|\\\\.)*"', '""', 'g'), ',\\s*[\\]}}]')"""
+# a fence at either end goes; then the whole text, what stands between the outer brackets, or every complete object of it
+_CAND = f"""{_ANSWERS}, bd as (select doc_id, batch_index, regexp_replace(regexp_replace(regexp_replace(raw_text, '^\\s*```[a-zA-Z]*\\s*\\n?', ''), '\\n?\\s*```\\s*$', ''), '^\\s+|\\s+$', '', 'g') t from an),
+tr0 as (select *, regexp_extract(t, '(?s)\\[.*\\]') m from bd),
+tr as (select *, case when json_valid(t) and not {_TRAILING.format('t')} then t when m <> '' and json_valid(m) and not {_TRAILING.format('m')} then m end j from tr0),
+wr as (select *, case when j is null then null when json_type(j) = 'OBJECT' then coalesce(case when json_type(j, '$.candidates') = 'ARRAY' then json_extract(j, '$.candidates') end, case when json_type(j, '$.results') = 'ARRAY' then json_extract(j, '$.results') end, case when json_type(j, '$.data') = 'ARRAY' then json_extract(j, '$.data') end,
+  case when json_type(j, '$.items') = 'ARRAY' then json_extract(j, '$.items') end, json_array(cast(j as json))) else cast(j as json) end a from tr),
+el as (select doc_id, batch_index, false recovered, x, row_number() over (partition by doc_id, batch_index order by k) - 1 raw_index from (select doc_id, batch_index, unnest(json_extract(a, '$[*]')) x, unnest(range(cast(json_array_length(a) as bigint))) k from wr where a is not null and json_type(a) = 'ARRAY') where json_type(x) = 'OBJECT'
+  union all select doc_id, batch_index, true, cast(x as json), row_number() over (partition by doc_id, batch_index order by k) - 1 from (select doc_id, batch_index, unnest(regexp_extract_all(t, '\\{{(?:[^{{}}"]|"(?:[^"\\\\]|\\\\.)*")*\\}}')) x, unnest(range(len(regexp_extract_all(t, '\\{{(?:[^{{}}"]|"(?:[^"\\\\]|\\\\.)*")*\\}}')))) k from wr where a is null)
+    where json_valid(x) and json_exists(x, '$.t') and (json_exists(x, '$.n') or json_exists(x, '$.sid'))),
+fl as (select doc_id, batch_index, cast(raw_index as int) raw_index, recovered, x, json_extract_string(x, '$.t') t from el where json_type(x, '$.t') = 'VARCHAR'),
+cd as (select *, t in ('E', 'EV', 'C') known, case when t in ('E', 'EV') then case when json_type(x, '$.n') = 'VARCHAR' then json_extract_string(x, '$.n') else '' end end name,
+  case when t in ('E', 'EV') then case when json_exists(x, '$.k') then json_extract_string(x, '$.k') else 'other' end end kind,
+  case when t = 'C' and json_type(x, '$.s') = 'VARCHAR' then json_extract_string(x, '$.s') end subject, case when t = 'C' and json_type(x, '$.p') = 'VARCHAR' then json_extract_string(x, '$.p') end predicate, case when t = 'C' then json_extract_string(x, '$.o') end as object,
+  case when t = 'C' and json_extract_string(x, '$.m') in {_MODALITIES} then json_extract_string(x, '$.m') end modality,
+  case when t = 'C' then case when json_extract_string(x, '$.pol') in ('positive', 'negative') then json_extract_string(x, '$.pol') else 'positive' end end polarity,
+  case when t = 'C' and json_exists(x, '$.pol') then json_extract_string(x, '$.pol') when t = 'C' then 'positive' end said from fl),
+cw as (select *, list_filter([case when not known then 'unknown type' end, case when name is not null and trim(name) = '' then 'missing name' end, case when t = 'C' and json_type(x, '$.m') <> 'NULL' and modality is null then 'unknown modality' end,
+  case when t = 'C' and said is distinct from polarity then 'unknown polarity' end], lambda w: w is not null) warnings,
+  case when not known then [] when json_type(x, '$.sid') = 'VARCHAR' then [json_extract_string(x, '$.sid')] when json_type(x, '$.sid') = 'ARRAY' then list_transform(list_filter(json_extract(x, '$.sid[*]'), lambda e: json_type(e) = 'VARCHAR'), lambda e: json_extract_string(e, '$')) else [] end sids,
+  case when not known then [] when json_type(x, '$.q') = 'VARCHAR' then [json_extract_string(x, '$.q')] when json_type(x, '$.q') = 'ARRAY' then list_transform(list_filter(json_extract(x, '$.q[*]'), lambda e: json_type(e) = 'VARCHAR'), lambda e: json_extract_string(e, '$')) else [] end quotes from cd)"""
+
+
+@query(
+    "candidates_parsed",
+    f"""with {_CAND} select doc_id, batch_index, raw_index, recovered, t, case when known then json_extract_string(x, '$.lid') end lid, name, kind, subject, predicate, object, modality, polarity, array_to_string(sids, '|') sids, array_to_string(quotes, '|') quotes, array_to_string(warnings, '|') warnings from cw""",
+)
 def candidates_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ca.candidates(_answers(Base(spark, sf_dir)))
     flat = lambda c: F.array_join(F.coalesce(c, F.array().cast("array<string>")), "|")
     return rows.select("doc_id", "batch_index", "raw_index", "recovered", "t", "lid", "name", "kind", "subject", "predicate", "object", "modality", "polarity", flat("sids").alias("sids"), flat("quotes").alias("quotes"), flat("warnings").alias("warnings"))
 
 
-@query("candidates_expanded")
+@query(
+    "candidates_expanded",
+    f"""with {_CAND}, {_SEG}, nu as (select *, json_extract_string(x, '$.lid') lid, doc_id || case t when 'E' then '_ent_' when 'EV' then '_evt_' else '_clm_' end || printf('%04d', row_number() over (partition by doc_id, t order by batch_index, raw_index)) id from cw where known),
+    lo as (select doc_id, batch_index, lid, arg_max(id, raw_index) entity_id from nu where t = 'E' and lid is not null group by 1, 2, 3),
+    rep as (select distinct nu.id from (select id, unnest(sids) sid from nu where t = 'C' and modality is null) nu join sg on sg.id = nu.sid where sg.segment_type in ('dialogue', 'heading', 'list_item', 'table_row')),
+    pl as (select id, doc_id, batch_index, unnest(range(len(p))) pos, unnest(p) lid from (select id, doc_id, batch_index, case when json_type(x, '$.p') = 'VARCHAR' then [json_extract_string(x, '$.p')] when json_type(x, '$.p') = 'ARRAY' then list_transform(list_filter(json_extract(x, '$.p[*]'), lambda e: json_type(e) = 'VARCHAR'), lambda e: json_extract_string(e, '$')) else [] end p from nu where t = 'EV')),
+    pn as (select pl.id, string_agg(coalesce(lo.entity_id, pl.lid), '|' order by pos) parts from pl left join lo using (doc_id, batch_index, lid) group by 1)
+    select nu.id, nu.doc_id, t, name, coalesce(a.entity_id, subject) subject, predicate, coalesce(b.entity_id, object) as object, case when t = 'C' and modality is null then case when rep.id is null then 'asserted' else 'reported' end else modality end modality, polarity,
+      case when t = 'EV' then coalesce(pn.parts, '') end participants
+    from nu left join lo a on a.doc_id = nu.doc_id and a.batch_index = nu.batch_index and a.lid = nu.subject left join lo b on b.doc_id = nu.doc_id and b.batch_index = nu.batch_index and b.lid = nu.object left join rep on rep.id = nu.id left join pn on pn.id = nu.id""",
+)
 def candidates_expanded(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Base(spark, sf_dir)
     rows = cut(ca.with_ids(ca.candidates(_answers(b))), "candidates")
@@ -268,7 +308,7 @@ def candidates_expanded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("id", "doc_id", "t", "name", "subject", "predicate", "object", "modality", "polarity", F.array_join("participants", "|").alias("participants"))
 
 
-@query("candidate_warnings")
+@query("candidate_warnings", f"with {_CAND} select t, warning, count(*) n from (select t, unnest(warnings) warning from cw) group by 1, 2")
 def candidate_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ca.warnings_of(ca.candidates(_answers(Base(spark, sf_dir)))).groupBy("t", "warning").agg(F.count("*").alias("n"))
 
@@ -893,27 +933,31 @@ def symbol_bases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sy.bases({"Entity": Base(spark, sf_dir).entities}).select("package", "id", "base")
 
 
-@query("symbols_assigned")
-def symbols_assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = Base(spark, sf_dir)
-    return sy.assign({"Segment": b.segments, **b.objects()})
-
-
-@query(
-    "symbol_bases_all",
-    f"""with {_ALL}, u as (
+_SYMBOLS = f"""{_ALL}, u as (
       select doc_id package, 'Segment' obj_type, id, case when contains(id, '_seg_') then 'seg_' || regexp_extract(id, '.*_seg_(.*)$', 1) else 'seg_zh_' || substr(sha256(id), 1, 6) end base from sg
       union all select doc_id, 'Entity', id, case when norm is not null then 'ent_' || norm else 'ent_zh_' || substr(sha256(coalesce(name, '') || id), 1, 6) end from (select *, case when regexp_full_match(name, '[A-Za-z0-9_]+') and regexp_matches(name, '[A-Za-z0-9]') then lower(name) when regexp_matches(name, '[A-Za-z0-9]') then lower(array_to_string(regexp_extract_all(name, '[A-Za-z0-9]+'), '_')) end norm from en)
       union all select doc_id, 'Event', id, case when norm is not null then 'evt_' || norm else 'evt_zh_' || substr(sha256(coalesce(name, '') || id), 1, 6) end from (select *, case when regexp_full_match(name, '[A-Za-z0-9_]+') and regexp_matches(name, '[A-Za-z0-9]') then lower(name) when regexp_matches(name, '[A-Za-z0-9]') then lower(array_to_string(regexp_extract_all(name, '[A-Za-z0-9]+'), '_')) end norm from ev)
       union all select doc_id, 'Claim', id, case when norm is not null and length(norm) <= 30 then 'claim_' || norm else 'claim_zh_' || substr(sha256(key || id), 1, 6) end from (select *, case when regexp_full_match(key, '[A-Za-z0-9_]+') and regexp_matches(key, '[A-Za-z0-9]') then lower(key) when regexp_matches(key, '[A-Za-z0-9]') then lower(array_to_string(regexp_extract_all(key, '[A-Za-z0-9]+'), '_')) end norm from (select *, coalesce(subject, '') || '_' || coalesce(predicate, '') || '_' || coalesce(object_ref, '') as key from cl))
-      union all select doc_id, 'Relation', id, case when contains(id, '_rel_clm_') then 'rel_clm_' || regexp_extract(id, '.*_rel_clm_(.*)$', 1) else 'rel_' || printf('%04d', row_number() over (partition by doc_id order by id) - 1) end from re)
-    select * from u""",
-)
+      union all select doc_id, 'Relation', id, case when contains(id, '_rel_clm_') then 'rel_clm_' || regexp_extract(id, '.*_rel_clm_(.*)$', 1) else 'rel_' || printf('%04d', row_number() over (partition by doc_id order by id) - 1) end from re)"""
+
+
+@query("symbol_bases_all", f"with {_SYMBOLS} select * from u")
 def symbol_bases_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Base(spark, sf_dir)
     return sy.bases({"Segment": b.segments, **b.objects()})
 
 
+# numbered symbols that are another's own base (rare) are not numbered again here
+@query(
+    "symbols_assigned",
+    f"""with {_SYMBOLS}, k as (select *, row_number() over (partition by package, base order by list_position(['Segment', 'Entity', 'Event', 'Claim', 'Relation'], obj_type), id) - 1 k from u)
+    select package, obj_type, id, case when k = 0 then base else base || '_' || k end symbol, case obj_type when 'Segment' then 'text' when 'Entity' then 'entities' when 'Event' then 'events' when 'Claim' then 'claims' else 'derived' end as module from k""",
+)
+def symbols_assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = Base(spark, sf_dir)
+    return sy.assign({"Segment": b.segments, **b.objects()})
+
+
 @query("symbol_clashes", "select 0 clashes, 0 unnamed")
 def symbol_clashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Symbols that stand twice in a package, and objects without one: none may be left."""
