@@ -442,7 +442,8 @@ def typed(rows: DataFrame, graph: DataFrame, name: str, max_columns: int = 2000)
 def evidence(rows: DataFrame) -> DataFrame:
     """The evidence table: obj_type, obj_id, json_path, parent_id, segment_id."""
     seg = F.col("columns").getItem("segment_id")
-    return rows.where((F.col("table_name") == "evidence") & seg.isNotNull()).select("obj_type", "obj_id", "json_path", "parent_id", seg.alias("segment_id"))
+    both = seg.isNotNull() & F.map_contains_key("columns", F.lit("quote_hash"))  # a member called evidence may be something else
+    return rows.where((F.col("table_name") == "evidence") & both).select("obj_type", "obj_id", "json_path", "parent_id", seg.alias("segment_id"))
 
 
 def qualifiers(rows: DataFrame, name: str = "qualifiers") -> DataFrame:

@@ -28,6 +28,11 @@ def test_paths_parents_and_strings_that_hold_json(spark):
     ]
 
 
+def test_a_member_called_evidence_need_not_be_one(spark):
+    data = {"evidence": [{"segment_id": "s1"}, {"segment_id": "s2", "quote_hash": None}, {"quote_hash": "h"}], "more": {"evidence": {"segment_id": "s3", "quote_hash": ["x"]}}}
+    assert [(r[2], r[4]) for r in found(spark, [("A", "1", json.dumps(data), 1)])] == [("$.evidence[1]", "s2"), ("$.more.evidence", "s3")]
+
+
 def test_current_row_broken_rows_and_nulls(spark):
     good = json.dumps({"segment_id": "s", "quote_hash": "h"})
     assert found(spark, [("A", "1", good, 1), ("A", "1", good[:-2], 2), ("A", "2", good[:-2], 1), ("A", "2", good, 2), ("A", "2", good, 2), ("A", "3", None, 1), ("A", None, good, 1), ("A", "4", '{"segment_id": NaN, "quote_hash": 1}', 1)]) == [("A", "2", "$", "2", "s")]
